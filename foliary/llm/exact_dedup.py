@@ -25,6 +25,9 @@ STATE = {
     "spark.sql.streaming.stateStore.providerClass": ROCKS,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    # many small stores: no space set aside for logs, and only changes are uploaded
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -97,15 +100,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         run_stream(spark, feed, f"{state}/checkpoint", f"{state}/out")
         best = latest_state(spark, f"{state}/out")
 
-    # hits: rows of a digest seen before or again. Their bytes are read where the locators say.
-    # doc_id is scan data, so that a repeated text's other rows stay spread over the join.
+    # hits: rows of a digest seen before or again. All texts move once, to their digests; rows of
+    # digests that are alone stop there, and only hits are written for the comparison of bytes.
     marked = arrivals.join(best, "digest")
-    hits = marked.filter("n > 1").select("digest", "file", "place", F.col("best.file").alias("best_file"), F.col("best.place").alias("best_place"))
-    pairs = rows.join(hits, ["file", "place"]).select("digest", "doc_id", "text", "file", "place", "best_file", "best_place")
-    kept_text = rows.select(F.col("file").alias("best_file"), F.col("place").alias("best_place"), F.col("text").alias("best_text"))
-    best_rows = best.filter("n > 1").select(F.col("best.file").alias("best_file"), F.col("best.place").alias("best_place"))
-    kept_text = kept_text.join(best_rows, ["best_file", "best_place"])
-    differ = pairs.join(kept_text, ["best_file", "best_place"]).filter(F.col("text") != F.col("best_text"))
+    texts = rows.withColumn("digest", F.unhex(F.sha2(F.col("text"), 256)))
+    hits = best.filter("n > 1").select("digest", F.col("best.file").alias("best_file"), F.col("best.place").alias("best_place"))
+    pairs = common.written(texts.join(hits, "digest"), "hits")
+    kept_text = pairs.filter("file = best_file and place = best_place").select("digest", F.col("text").alias("best_text"))
+    differ = pairs.join(kept_text, "digest").filter(F.col("text") != F.col("best_text"))
     differ = common.written(differ.select("digest", "doc_id", "text", "file", "place"), "collisions")
 
     # normally empty: rows whose bytes differ from their digest's best row form groups by bytes
