@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, fingerprints, language, mixing, ngram_join, packing, sharding, token_counts, token_files
+from . import exact_dedup, fingerprints, language, mixing, ngram_join, packing, passages, sharding, token_counts, token_files
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op2_packing": packing.op2_packing,
     "op3_language": language.op3_language,
     "op4_mixing": mixing.op4_mixing,
+    "op5_passages": passages.op5_passages,
     "op6_sharding": sharding.op6_sharding,
     "op7_fingerprints": fingerprints.op7_fingerprints,
     "op8_ngram_join": ngram_join.op8_ngram_join,
