@@ -1,6 +1,971 @@
-"""Registered queries of the library and their SQL."""
+"""Registered queries of the library and, where SQL can express them, their SQL.
+
+Every query runs over whole tables derived from the given ones (see `views`).
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import helpers, names, text
+from ..operators import assemble, classify, identity, indexes, journal, reports, staging
+from ..rules.doc_types import DOC_TYPES
+from ..rules.folders import FOLDER_PATTERNS, FOLDERS, TEMPLATES
+from ..sources import readers
+from .views import tables, view, with_views
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None, needs: tuple[str, ...] = ()):
+    """Register a query; `sql` follows a WITH clause of the views in `needs`."""
+
+    def register(f):
+        QUERIES[name] = f
+        if sql is not None:
+            ORACLES[name] = (with_views(*needs) + "\n" if needs else "") + sql.strip()
+        return f
+
+    return register
+
+
+# ---------------------------------------------------------------- SQL fragments
+PERMANENT = " OR ".join(f"contains(coalesce(not_read_because, ''), '{p}')" for p in journal.PERMANENT)
+NO_TEXT = " OR ".join(f"starts_with(coalesce(not_read_because, ''), '{p}')" for p in journal.NO_TEXT)
+DEFINITIVE = f"(was_read OR {PERMANENT} OR starts_with(file_name, '~$') OR (ocr_ok AND ({NO_TEXT})))"
+REREAD = "(reader_version < 3 OR (reader_version < 4 AND contains(coalesce(not_read_because, ''), 'no reader for')))"
+LATEST = f""", best AS (SELECT * FROM (SELECT *, {DEFINITIVE} AS definitive, row_number() OVER (PARTITION BY id ORDER BY CASE WHEN was_read THEN 2 WHEN {DEFINITIVE} THEN 1 ELSE 0 END DESC, _seq DESC) AS rn
+  FROM journal WHERE NOT {REREAD}) WHERE rn = 1)"""
+EXT = "CASE WHEN contains(name, '.') THEN lower(split_part(name, '.', -1)) ELSE '' END"
+IMAGES = ", ".join(f"'{x}'" for x in journal.IMAGES)
+READ_HASH = ", read_hash AS (SELECT DISTINCT hash FROM best WHERE was_read AND hash IS NOT NULL)"
+STATUS = f"""{LATEST}{READ_HASH}, status AS (
+  SELECT l.id, l.exp, l.name, l.size, l.hash,
+    CASE WHEN b.definitive AND b.was_read THEN 'read' WHEN b.definitive THEN 'resolved without text' WHEN r.hash IS NOT NULL THEN 'copy of a read file'
+         WHEN {EXT} IN ({IMAGES}) OR coalesce(b.not_read_because, '') = '{journal.NEEDS_OCR}' THEN 'pending: OCR'
+         WHEN b.id IS NULL THEN 'pending: never read' ELSE 'pending: failed' END AS status
+  FROM file_listing l LEFT JOIN best b ON l.id = b.id LEFT JOIN read_hash r ON l.hash = r.hash)"""
+DIGITS = "CAST(('0x' || substr(md5(k), {0}, 8)) AS BIGINT)"
+
+
+def md5_mod(key: str, n: int) -> str:
+    r = "0"
+    for i in range(4):
+        r = f"((({r}) * 4294967296 + CAST(('0x' || substr(md5({key}), {8 * i + 1}, 8)) AS BIGINT)) % {n})"
+    return r
+
+
+KEY = "coalesce(nullif(hash, ''), id)"
+OWNER = "CASE " + " ".join(f"WHEN {md5_mod(KEY, 12)} IN ({', '.join(map(str, p))}) THEN '{t}'" for t, p in staging.TEAMS.items()) + " END"
+PLAN = STATUS + f", plan AS (SELECT *, {md5_mod(KEY, 24)} AS half_shard, {OWNER} AS team FROM status)"
+MB = "(size / 1048576.0)"
+BUCKET = f"CASE WHEN {MB} < 0.1 THEN 0 WHEN {MB} < 0.5 THEN 1 WHEN {MB} < 1 THEN 2 WHEN {MB} < 2 THEN 3 WHEN {MB} < 5 THEN 4 ELSE 5 END"
+PAGES = "CASE " + " ".join(f"WHEN {BUCKET} = {b} THEN {p}" for b, p in staging.PAGES.items()) + " END"
+HOURS = f"""{PLAN}, work AS (SELECT *, CASE WHEN hash IS NOT NULL AND row_number() OVER (PARTITION BY hash ORDER BY id) > 1 THEN 2.0::DOUBLE / 3600
+   WHEN status = 'pending: OCR' THEN pages / 743 + 4.0::DOUBLE / 3600 WHEN lower(name) LIKE '%.pdf' THEN 0.61::DOUBLE * pages / 743 + 5.0::DOUBLE / 3600 ELSE 5.0::DOUBLE / 3600 END AS hours
+  FROM (SELECT *, CAST(CASE WHEN {EXT} IN ({IMAGES}) THEN 1.0 WHEN {MB} >= 5 THEN {MB} * 6 ELSE {PAGES} END AS DOUBLE) AS pages FROM plan WHERE status LIKE 'pending%'))"""
+J = ("journal",)
+SPLIT = """, parts AS (SELECT *, CASE WHEN starts_with(lower(trim(folder)), 'closed - ') THEN substr(trim(folder), 10) ELSE trim(folder) END AS t FROM case_folders)"""
+
+
+# ---------------------------------------------------------------- sources, as far as tables go
+@query("file_listing_paths", "SELECT id, name, size, hash, '/Matters/' || exp || CASE WHEN coalesce(sub, '') <> '' THEN '/' || sub ELSE '' END AS path FROM file_listing", ("file_listing",))
+def _(spark, sf):
+    sub = F.coalesce("sub", F.lit(""))
+    return view(spark, sf, "file_listing").select("id", "name", "size", "hash", F.concat_ws("/", F.lit("/Matters"), "exp", F.when(sub != "", sub)).alias("path"))
+
+
+@query("corrupt_line_report", "SELECT source AS file, count(*) AS corrupt_lines FROM documents GROUP BY source")
+def _(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    parsed = docs.select(F.col("source").alias("file"), F.from_json("text", readers.JOURNAL, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
+    return readers.corrupt_line_report(parsed.select("file", "r.*"))
+
+
+CRM_TYPED = """SELECT CAST(matter_id AS STRING) AS matter_id, matter, CASE WHEN stage = '(RM Migration - Do Not Use)' THEN stage ELSE stage END AS stage, coalesce(case_type, '(sin tipo)') AS case_type,
+  client, email, book_value, CAST(strftime(signed, '%Y-%m') AS STRING) AS month, CAST(year(signed) AS INT) AS year, paid, not_in_use FROM matters"""
+
+
+@query("crm_export_typed", CRM_TYPED, ("matters",))
+def _(spark, sf):
+    m = view(spark, sf, "matters")
+    raw = m.select(
+        F.col("matter_id").cast("string").alias("Record ID"), F.concat(F.lit(" "), "matter", F.lit("  ")).alias("Matter Name"), F.concat(F.lit("🚫 "), "stage").alias("Matter Stage"),
+        F.col("case_type").alias("Case Type"), F.date_format("signed", "yyyy-MM-dd HH:mm:ss").alias("Retainer Signed Date"), F.when(F.col("paid"), "2024-01-05").otherwise("never").alias("Initial Payment Date"),
+        F.col("book_value").cast("string").alias("Book Value"), F.concat("client", F.lit(" ("), "email", F.lit(");Other (other@example.org)")).alias("Associated Contact"),
+    )
+    out = readers.typed_crm(raw, "2026-01-01")
+    return out.select("matter_id", "matter", "stage", "case_type", "client", "email", "book_value", "month", "year", "paid", "not_in_use")
+
+
+@query("json_line")
+def _(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return docs.select("doc_id", text.json_line(F.struct("doc_id", "lang", "text")).alias("line"))
+
+
+# ---------------------------------------------------------------- texts and names
+@query("extension_of", f"SELECT id, {EXT} AS extension FROM file_listing", ("file_listing",))
+def _(spark, sf):
+    return view(spark, sf, "file_listing").select("id", text.extension_of(F.col("name")).alias("extension"))
+
+
+NORM = "trim(regexp_replace(regexp_replace(lower({0}), '[^a-z0-9 ]+', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query("normalize_names", f"SELECT k, trim(regexp_replace(lower(regexp_replace(folder, '^\\d+[_\\-. ]+', '')), '[^a-z0-9]+', ' ', 'g')) AS folder_key, {NORM.format('folder')} AS name_key FROM case_folders", ("case_folders",))
+def _(spark, sf):
+    return view(spark, sf, "case_folders").select("k", text.normalize_folder_name(F.col("folder")).alias("folder_key"), text.normalize_name(F.col("folder")).alias("name_key"))
+
+
+@query("extract_state_indexes", """SELECT id, CASE WHEN es_carpeta AND ruta LIKE '%Matters' AND contains(name, 'Index# ') THEN CAST(712000 + CAST(substr(id, 2) AS BIGINT) AS STRING) || '-' || CAST(2010 + CAST(substr(id, 2) AS BIGINT) % 12 AS STRING)
+  ELSE '' END AS numbers FROM drive_items WHERE id LIKE 'D%'""", ("drive_items",))
+def _(spark, sf):
+    d = view(spark, sf, "drive_items").filter("startswith(id, 'D')")
+    return d.select("id", F.array_join(names.extract_state_indexes(F.col("name")), ",").alias("numbers"))
+
+
+@query("extract_case_numbers")
+def _(spark, sf):
+    d = view(spark, sf, "doc_texts")
+    return d.select("doc_id", F.array_join(names.extract_case_numbers(F.col("text")), ",").alias("numbers"))
+
+
+@query("split_case_name", "SELECT k, base, internal_id, index_number, closed FROM case_folders", ("case_folders",))
+def _(spark, sf):
+    s = names.split_case_name(F.col("folder"))
+    return view(spark, sf, "case_folders").select("k", s["base"].alias("base"), s["internal_id"].alias("internal_id"), s["index_number"].alias("index_number"), s["closed"].alias("closed"))
+
+
+@query("compose_case_name", "SELECT k, folder FROM case_folders", ("case_folders",))
+def _(spark, sf):
+    f = names.compose_case_name(F.concat(F.lit(" - "), "base", F.lit(" -")), F.col("internal_id"), F.when(F.col("index_number") != "0", F.col("index_number")), F.col("section"))
+    return view(spark, sf, "case_folders").select("k", f.alias("folder"))
+
+
+@query("ssn", "SELECT doc_id, regexp_matches(text, '\\b\\d{3}-\\d{2}-\\d{4}\\b') AS has_ssn, md5(regexp_replace(text, '\\b\\d{3}-\\d{2}-(\\d{4})\\b', 'XXX-XX-\\1', 'g')) AS masked FROM doc_texts", ("doc_texts",))
+def _(spark, sf):
+    return view(spark, sf, "doc_texts").select("doc_id", text.contains_ssn(F.col("text")).alias("has_ssn"), F.md5(text.mask_ssn(F.col("text"))).alias("masked"))
+
+
+LONG = """, t AS (SELECT *, regexp_extract_all(text, '[A-Za-z]{2,}') AS w FROM doc_texts), r AS (SELECT *, CASE WHEN len(w) = 0 THEN 0.0::DOUBLE ELSE len(list_filter(w, lambda x: len(x) >= 4))::DOUBLE / len(w) END AS long_words,
+  length(regexp_replace(text, '[^\\pL]+', '', 'g'))::DOUBLE / greatest(length(regexp_replace(text, '[\\s\\x{85}\\x{a0}\\x{1c}-\\x{1f}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+', '', 'g')), 1) AS letters FROM t)"""
+
+
+@query("text_measures", LONG + " SELECT doc_id, round(letters, 9) AS letters, round(long_words, 9) AS long_words FROM r", ("doc_texts",))
+def _(spark, sf):
+    t = F.col("text")
+    return view(spark, sf, "doc_texts").select("doc_id", F.round(text.letter_ratio(t), 9).alias("letters"), F.round(text.long_word_ratio(t), 9).alias("long_words"))
+
+
+@query("needs_ocr", LONG + """ SELECT doc_id, CASE WHEN length(text)::DOUBLE / greatest(pages, 1) < 100 THEN TRUE WHEN letters < 0.45 AND long_words < 0.25 THEN TRUE ELSE FALSE END AS flag FROM r""", ("doc_texts",))
+def _(spark, sf):
+    n = text.needs_ocr(F.col("text"), F.col("pages"))
+    return view(spark, sf, "doc_texts").select("doc_id", n["flag"].alias("flag"))
+
+
+@query("strip_efiling_stamps", "SELECT doc_id, length(text) AS n FROM doc_texts", ("doc_texts",))
+def _(spark, sf):
+    stamped = F.concat(F.lit("FILED: KINGS COUNTY CLERK 01/02/2024\nNYSCEF DOC. NO. 12\n"), "text", F.lit("\nPage 3 of 12"))
+    return view(spark, sf, "doc_texts").select("doc_id", (F.length(text.strip_efiling_stamps(stamped)) - 2).alias("n"))
+
+
+@query("looks_like_noise", LONG + """, c AS (SELECT doc_id, trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160)) AS x, len(w) AS n, long_words FROM r)
+SELECT doc_id, CASE WHEN length(x) < 60 THEN FALSE WHEN n = 0 THEN TRUE WHEN n < 5 THEN long_words = 0 ELSE long_words < 0.25 END AS noise FROM c""", ("doc_texts",))
+def _(spark, sf):
+    return view(spark, sf, "doc_texts").select("doc_id", text.looks_like_noise(F.col("text")).alias("noise"))
+
+
+@query("looks_like_code")
+def _(spark, sf):
+    return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", text.looks_like_code(F.col("html")).alias("code"))
+
+
+@query("sniff_content")
+def _(spark, sf):
+    return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", text.sniff_content(F.encode("html", "UTF-8"), F.lit("download"), look_inside=False).alias("kind"))
+
+
+@query("decode_text", "SELECT doc_id, md5(text) AS text_md5, CASE WHEN text IS NULL OR trim(text) = '' THEN 'the text file is empty' ELSE '' END AS failure FROM documents WHERE text IS NOT NULL")
+def _(spark, sf):
+    d = spark.read.parquet(f"{sf}/documents.parquet").filter("text is not null").select("doc_id", helpers.decode_text(F.encode("text", "UTF-8")).alias("r"))
+    return d.select("doc_id", F.md5("r.text").alias("text_md5"), F.col("r.failure").alias("failure"))
+
+
+@query("html_to_text")
+def _(spark, sf):
+    p = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", helpers.html_to_text(F.col("html")).alias("text"))
+    return p.select("page_id", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+@query("password_candidates")
+def _(spark, sf):
+    t = F.concat("text", F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("\nPassword: Key-"), "doc_id", F.lit("."))).otherwise(""))
+    return view(spark, sf, "doc_texts").select("doc_id", F.array_join(text.password_candidates(t), "|").alias("candidates"))
+
+
+@query("address_keys", "SELECT matter_id, CASE WHEN matter_id % 6 = 1 THEN CAST(100 + matter_id % 50 AS STRING) || 'alpha' ELSE '' END AS keys FROM matters", ("matters",))
+def _(spark, sf):
+    m = view(spark, sf, "matters")
+    return m.select("matter_id", F.array_join(F.filter(names.address_keys(F.col("matter")), lambda k: k.endswith("alpha")), ",").alias("keys"))
+
+
+@query("matter_markers", "SELECT matter_id, CASE WHEN matter_id % 6 = 2 AND case_type = 'RESPA' THEN 'appeal,respa' WHEN matter_id % 6 = 2 THEN 'appeal' WHEN case_type = 'RESPA' THEN 'respa' ELSE '' END AS markers FROM matters", ("matters",))
+def _(spark, sf):
+    return view(spark, sf, "matters").select("matter_id", F.array_join(names.matter_markers(F.col("matter")), ",").alias("markers"))
+
+
+@query("person_tokens", "SELECT k, array_to_string(list_sort(list_distinct(list_filter(string_split(" + NORM.format("base") + ", ' '), lambda x: len(x) >= 3 AND x NOT IN ('lane')))), ',') AS people FROM case_folders", ("case_folders",))
+def _(spark, sf):
+    return view(spark, sf, "case_folders").select("k", F.array_join(names.person_tokens(F.col("base")), ",").alias("people"))
+
+
+@query("is_generic_matter", "SELECT matter_id, matter_id % 6 NOT IN (0, 1) AS generic FROM matters", ("matters",))
+def _(spark, sf):
+    return view(spark, sf, "matters").select("matter_id", names.is_generic_matter(F.col("matter"), F.col("client")).alias("generic"))
+
+
+@query("name_in_matter")
+def _(spark, sf):
+    return view(spark, sf, "case_folders").select("k", names.name_in_matter(F.concat(F.lit("Foreclosure - "), F.replace("base", F.lit(","), F.lit("")))).alias("named"))
+
+
+@query("name_similarity")
+def _(spark, sf):
+    return view(spark, sf, "case_folders").select("k", F.round(names.name_similarity(F.col("folder"), F.col("base")), 6).alias("similarity"))
+
+
+@query("is_client_of_folder", "SELECT k, k % 2 = 0 AS is_client FROM case_folders", ("case_folders",))
+def _(spark, sf):
+    c = view(spark, sf, "case_folders").withColumn("surname", F.substring_index("base", ",", 1))
+    person = F.when(F.col("k") % 2 == 0, F.concat(F.lit("J "), "surname")).otherwise("Q Zyxwvut")
+    return identity.is_client_of_folder(c.withColumn("person", person), "person", "folder").select("k", "is_client")
+
+
+@query("one_char_apart", "SELECT k, levenshtein(index_number, CAST(2100 + k AS STRING) || '-' || CAST(2015 + (k + 1) % 10 AS STRING)) = 1 AS apart FROM case_folders WHERE index_number <> '0'", ("case_folders",))
+def _(spark, sf):
+    other = F.concat((F.lit(2100) + F.col("k")).cast("string"), F.lit("-"), (F.lit(2015) + (F.col("k") + 1) % 10).cast("string"))
+    return view(spark, sf, "case_folders").filter("index_number <> '0'").select("k", names.one_char_apart(F.col("index_number"), other).alias("apart"))
+
+
+def tree(spark: SparkSession, sf: str) -> DataFrame:
+    return indexes.derive_location(view(spark, sf, "drive_items"), "archive")
+
+
+TREE = """, seg AS (SELECT *, list_filter(string_split(split_part(ruta, '/archive', 2), '/'), lambda x: x <> '') AS p FROM drive_items),
+tree AS (SELECT * FROM (SELECT id, name, es_carpeta, size, p[1] AS location, CASE WHEN len(p) >= 2 THEN p[2] WHEN es_carpeta THEN name END AS client_folder, CAST(CASE WHEN len(p) <= 1 THEN 2 ELSE len(p) + 1 END AS INT) AS level FROM seg)
+  WHERE location IN ('Active Matters', 'Closed Matters', 'Matters') AND coalesce(client_folder, '') <> '')"""
+
+
+@query("derive_location", TREE + " SELECT id, location, client_folder, level FROM tree", ("drive_items",))
+def _(spark, sf):
+    return tree(spark, sf).select("id", "location", "client_folder", "level")
+
+
+# ---------------------------------------------------------------- classification and routing
+def sql_pattern(p: str) -> str:
+    return p.replace("'", "''")
+
+
+def sql_rank(column: str, rules, pattern: int, also: str | None = None) -> str:
+    """First rule that fits, in RE2: no look-around in these patterns."""
+    whens = []
+    for i, r in rules:
+        p = sql_pattern(r[pattern] or r[1])
+        test = f"regexp_matches({column}, '(?im){p}')"
+        whens.append(f"WHEN {test}" + (f" OR regexp_matches({also}, '(?im){p}')" if also else "") + f" THEN {i}")
+    return "CASE " + " ".join(whens) + " END"
+
+
+ALL = list(enumerate(DOC_TYPES))
+NAME_RANK = sql_rank("name", ALL, 5, "regexp_replace(name, '[_\\-.]+', ' ', 'g')")
+TITLE_RANK = sql_rank("left(text, 300)", [(i, r) for i, r in ALL if not r[6]], 1)
+HEAD_RANK, ANY_RANK = sql_rank("left(text, 900)", ALL, 1), sql_rank("text", ALL, 1)
+
+
+@query("classify_by_name", f"SELECT id, {NAME_RANK} AS type_rank FROM file_listing", ("file_listing",))
+def _(spark, sf):
+    return classify.with_name_type(view(spark, sf, "file_listing"), "name", "type_rank").select("id", "type_rank")
+
+
+@query("classify_by_text", f", r AS (SELECT doc_id, {TITLE_RANK} AS a, {HEAD_RANK} AS b, {ANY_RANK} AS c FROM doc_texts) SELECT doc_id, coalesce(a, b, c) AS type_rank, CASE WHEN a IS NOT NULL OR b IS NOT NULL THEN 'titulo' WHEN c IS NOT NULL THEN 'mencion' ELSE '' END AS place FROM r", ("doc_texts",))
+def _(spark, sf):
+    return classify.with_text_type(view(spark, sf, "doc_texts"), "text").select("doc_id", F.col("text_type.rank").alias("type_rank"), F.col("text_type.where").alias("place"))
+
+
+RULES = "rules AS (SELECT * FROM (VALUES " + ", ".join(
+    "(" + ", ".join([str(i), "'" + sql_pattern(r[0]) + "'", *("NULL" if x is None else "'" + sql_pattern(x) + "'" for x in (r[2], r[3], r[4]))]) + ")" for i, r in ALL
+) + ") t(rank, type, f, c, certainty))"
+ROUTE = f""", {RULES}, n AS (SELECT *, {NAME_RANK} AS nr, left(text, 6000) AS t6 FROM doc_texts), n2 AS (SELECT n.*, r.type AS ntype, r.certainty AS ncert, CASE WHEN template = 'FCRA' THEN r.c ELSE r.f END AS ndest FROM n LEFT JOIN rules r ON r.rank = nr),
+ x AS (SELECT *, CASE WHEN ndest IS NULL THEN {TITLE_RANK.replace('left(text, 300)', 'left(t6, 300)')} END AS a, CASE WHEN ndest IS NULL THEN {HEAD_RANK.replace('left(text, 900)', 'left(t6, 900)')} END AS b, CASE WHEN ndest IS NULL THEN {ANY_RANK.replace('(text,', '(t6,')} END AS c0 FROM n2),
+ y AS (SELECT x.*, r.type AS ttype, r.certainty AS tcert, CASE WHEN template = 'FCRA' THEN r.c ELSE r.f END AS tdest FROM x LEFT JOIN rules r ON r.rank = coalesce(a, b, c0))
+SELECT doc_id, coalesce(ndest, tdest, '') AS goes_to, CASE WHEN ndest IS NOT NULL THEN ntype ELSE coalesce(ttype, '') END AS document_type, CASE WHEN ndest IS NOT NULL THEN ncert WHEN tdest IS NOT NULL THEN tcert ELSE '' END AS certainty,
+ CASE WHEN ndest IS NOT NULL THEN 'el nombre' WHEN tdest IS NOT NULL THEN 'el contenido (' || CASE WHEN a IS NOT NULL OR b IS NOT NULL THEN 'titulo' ELSE 'mencion' END || ')' ELSE '' END AS decided_by FROM y"""
+
+
+@query("route_document", ROUTE, ("doc_texts",))
+def _(spark, sf):
+    return classify.route_document(view(spark, sf, "doc_texts"), "name", "text", "template").select("doc_id", "goes_to", "document_type", "certainty", "decided_by")
+
+
+@query("evidence_line")
+def _(spark, sf):
+    d = classify.with_text_type(view(spark, sf, "doc_texts"), "text").withColumn("r", F.col("text_type.rank"))
+    return classify.evidence_line(d, "text", "r").select("doc_id", "evidence")
+
+
+@query("file_record")
+def _(spark, sf):
+    d = view(spark, sf, "doc_texts").select(
+        F.col("doc_id").alias("id"), F.col("name").alias("file_name"), F.lit("").alias("subfolder"), (F.col("doc_id") * 100_000).alias("size"), "text",
+        F.lit("plain").alias("read_with"), F.lit("").alias("failure"), "template")
+    return classify.file_record(d, mask=True, with_text=False)
+
+
+FOLDER_VALUES = ", ".join("(" + ", ".join("NULL" if x is None else "'" + sql_pattern(x) + "'" for x in r) + ")" for r in FOLDERS)
+WORD_ROW = "CASE " + " ".join(f"WHEN regexp_matches(key, '{sql_pattern(r[0])}') THEN {i}" for i, r in enumerate(FOLDER_PATTERNS)) + " END"
+PATTERN_VALUES = ", ".join("(" + ", ".join([str(i), *("NULL" if x is None else "'" + sql_pattern(x) + "'" for x in r[1:])]) + ")" for i, r in enumerate(FOLDER_PATTERNS))
+MAP = f""", t AS (SELECT * FROM (VALUES {FOLDER_VALUES}) t(key, f, c, cert)), pt AS (SELECT * FROM (VALUES {PATTERN_VALUES}) t(i, f, c, cert)),
+k AS (SELECT id, name, CASE WHEN CAST(regexp_extract(id, '[0-9]+') AS BIGINT) % 2 = 0 THEN 'FCRA' ELSE 'Foreclosure' END AS template, trim(regexp_replace(lower(regexp_replace(name, '^\\d+[_\\-. ]+', '')), '[^a-z0-9]+', ' ', 'g')) AS key FROM drive_items WHERE es_carpeta),
+m AS (SELECT k.*, a.key IS NOT NULL AS ha, a.f AS af, a.c AS ac, a.cert AS acert, b.key IS NOT NULL AS hb, b.f AS bf, b.c AS bc, b.cert AS bcert, {WORD_ROW.replace('(key,', '(k.key,')} AS wi FROM k LEFT JOIN t a ON a.key = k.key LEFT JOIN t b ON b.key = regexp_replace(k.key, '(\\s+copy|\\s+\\d)$', '')),
+w AS (SELECT m.*, CASE WHEN ha THEN af WHEN hb THEN bf ELSE pt.f END AS f, CASE WHEN ha THEN ac WHEN hb THEN bc ELSE pt.c END AS c, CASE WHEN ha THEN acert WHEN hb THEN bcert ELSE pt.cert END AS cert FROM m LEFT JOIN pt ON pt.i = wi),
+z AS (SELECT *, CASE WHEN template = 'FCRA' THEN c ELSE f END AS chosen FROM w)
+SELECT id, coalesce(chosen, '00_Sin clasificar') AS destination, CASE WHEN cert IS NULL THEN 'no match' WHEN chosen IS NOT NULL THEN cert WHEN cert = 'ASK' THEN 'ASK' ELSE 'no place in this template' END AS certainty FROM z"""
+
+
+@query("map_folder", MAP, ("drive_items",))
+def _(spark, sf):
+    number = F.regexp_extract("id", "[0-9]+", 0).cast("long")
+    d = view(spark, sf, "drive_items").filter("es_carpeta").withColumn("template", F.when(number % 2 == 0, "FCRA").otherwise("Foreclosure"))
+    return classify.map_folder(d, "name", "template").select("id", "destination", "certainty")
+
+
+DESCRIBED = "(SELECT * FROM (VALUES " + ", ".join(f"('{sql_pattern(k)}', '{sql_pattern(v)}')" for k, v in classify.DESCRIPTIONS.items()) + ") t(type, description))"
+
+
+@query("describe_type", f", {RULES} SELECT id, coalesce(r.type, '') AS document_type, coalesce(d.description, '') AS description FROM (SELECT id, {NAME_RANK} AS nr FROM file_listing) f LEFT JOIN rules r ON r.rank = nr LEFT JOIN {DESCRIBED} d ON d.type = r.type", ("file_listing",))
+def _(spark, sf):
+    d = classify.with_name_type(view(spark, sf, "file_listing"), "name", "rank").select("id", "rank")
+    d = d.join(F.broadcast(classify.doc_types(spark).select("rank", F.col("name").alias("document_type"))), "rank", "left").withColumn("document_type", F.coalesce("document_type", F.lit("")))
+    return classify.describe_type(d).select("id", "document_type", "description")
+
+
+TEMPLATE_ROWS = ", ".join(f"('{t}', '{p}')" for t, ps in TEMPLATES.items() for p in ps)
+
+
+@query("missing_folders", f""", t AS (SELECT * FROM (VALUES {TEMPLATE_ROWS}) t(template, path)), have AS (SELECT DISTINCT exp AS folder, regexp_replace(CASE WHEN sub = 'General/' THEN '01_General' WHEN sub = 'LITIGATION/Motions/' THEN '03_Litigation/Motions' ELSE '' END, '/$', '') AS path FROM file_listing)
+SELECT c.folder, c.template, t.path FROM case_folders c JOIN t ON t.template = c.template LEFT JOIN have h ON h.folder = c.folder AND h.path = t.path WHERE h.path IS NULL""", ("file_listing",))
+def _(spark, sf):
+    sub = F.when(F.col("sub") == "General/", "01_General").when(F.col("sub") == "LITIGATION/Motions/", "03_Litigation/Motions").otherwise("")
+    have = view(spark, sf, "file_listing").select(F.col("exp").alias("folder"), sub.alias("path"))
+    return classify.missing_folders(view(spark, sf, "case_folders"), have).select("folder", "template", "path")
+
+
+@query("expected_folders_per_template", f", t AS (SELECT * FROM (VALUES {TEMPLATE_ROWS}) t(template, path)) SELECT c.template, count(*) AS folders FROM case_folders c JOIN t ON t.template = c.template GROUP BY c.template", ("case_folders",))
+def _(spark, sf):
+    return classify.expected_folders(view(spark, sf, "case_folders")).groupBy("template").agg(F.count(F.lit(1)).alias("folders"))
+
+
+@query("template_for_matter", "SELECT matter_id, CASE WHEN case_type IN ('ID Theft', 'RESPA') THEN 'FCRA' ELSE 'Foreclosure' END AS template FROM matters", ("matters",))
+def _(spark, sf):
+    return view(spark, sf, "matters").select("matter_id", classify.template_for_matter(F.col("case_type")).alias("template"))
+
+
+@query("validate_destinations", f", {RULES}, t AS (SELECT * FROM (VALUES {TEMPLATE_ROWS}) t(template, path)), u AS (SELECT type, 'Foreclosure' AS template, f AS path FROM rules UNION ALL SELECT type, 'FCRA', c FROM rules), bad AS (SELECT count(*) AS n FROM u LEFT JOIN t ON t.template = u.template AND t.path = u.path WHERE u.path IS NOT NULL AND t.path IS NULL) SELECT c.folder, bad.n AS invalid FROM case_folders c, bad", ("case_folders",))
+def _(spark, sf):
+    bad = classify.validate_destinations(spark).agg(F.count(F.lit(1)).alias("invalid")).withColumn("_k", F.lit(1))
+    return view(spark, sf, "case_folders").select("folder", F.lit(1).alias("_k")).join(F.broadcast(bad), "_k").drop("_k")
+
+
+@query("infer_case_template", TREE + " SELECT client_folder, CASE WHEN bool_or(level = 3 AND starts_with(name, '02_FCRA')) THEN 'FCRA' ELSE 'Foreclosure' END AS template FROM tree GROUP BY client_folder", ("drive_items",))
+def _(spark, sf):
+    return classify.infer_case_template(tree(spark, sf))
+
+
+@query("assemble_ocr_text", """ SELECT page, coalesce(string_agg(text, chr(10) ORDER BY round_even("top" / 12.0, 0), "left", "top", text) FILTER (WHERE confidence >= 0.55), '') AS text, count(*) FILTER (WHERE confidence >= 0.55) AS kept, count(*) FILTER (WHERE confidence < 0.55) AS discarded, min(confidence) FILTER (WHERE confidence >= 0.55) AS min_confidence FROM ocr_fragments GROUP BY page""", ("ocr_fragments",))
+def _(spark, sf):
+    return classify.assemble_ocr_text(view(spark, sf, "ocr_fragments")).drop("mean_confidence")
+
+
+# ---------------------------------------------------------------- reading state
+def both(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return view(spark, sf, "file_listing"), view(spark, sf, "journal")
+
+
+@query("record_state", f"SELECT id, attempt, {DEFINITIVE} AS definitive, {REREAD} AS must_reread FROM journal", J)
+def _(spark, sf):
+    return view(spark, sf, "journal").select("id", "attempt", journal.is_definitive().alias("definitive"), journal.must_reread().alias("must_reread"))
+
+
+@query("latest_records", LATEST + " SELECT id, attempt, was_read, not_read_because FROM best", J)
+def _(spark, sf):
+    return journal.latest_records(view(spark, sf, "journal")).select("id", "attempt", "was_read", "not_read_because")
+
+
+@query("repeated_reads", f"SELECT count(*) AS attempts, count(DISTINCT id) AS files, count(*) - count(DISTINCT id) AS superseded FROM journal WHERE NOT {REREAD}", J)
+def _(spark, sf):
+    return journal.repeated_reads(view(spark, sf, "journal"))
+
+
+@query("first_original_by_hash", LATEST + " SELECT hash, min(id) AS id FROM best WHERE was_read AND hash IS NOT NULL GROUP BY hash", J)
+def _(spark, sf):
+    return journal.first_original_by_hash(journal.latest_records(view(spark, sf, "journal"))).select("hash", "id")
+
+
+@query("copy_text_from_original", LATEST + ", o AS (SELECT hash, min(id) AS id FROM best WHERE was_read AND hash IS NOT NULL GROUP BY hash) SELECT l.id, o.id AS copied_from FROM file_listing l JOIN o ON l.hash = o.hash LEFT JOIN best b ON b.id = l.id WHERE b.id IS NULL", J)
+def _(spark, sf):
+    listing, j = both(spark, sf)
+    return journal.copy_text_from_original(listing, journal.latest_records(j)).select("id", "copied_from")
+
+
+@query("reading_status", STATUS + " SELECT id, exp, status FROM status", J)
+def _(spark, sf):
+    return journal.reading_status(*both(spark, sf)).select("id", "exp", "status")
+
+
+def ocr_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return journal.ocr_queue(view(spark, sf, "journal"), view(spark, sf, "file_listing"))
+
+
+QUEUE = LATEST + ", queue AS (SELECT id, not_read_because AS reason FROM best WHERE NOT definitive AND (starts_with(coalesce(not_read_because, ''), 'needs OCR') OR starts_with(coalesce(not_read_because, ''), 'OCR')))"
+
+
+@query("pending_files", QUEUE + f" SELECT l.id FROM file_listing l LEFT JOIN best b ON b.id = l.id AND b.definitive LEFT JOIN queue q ON q.id = l.id WHERE b.id IS NULL AND q.id IS NULL AND {EXT} NOT IN ({IMAGES})", J)
+def _(spark, sf):
+    return journal.pending_files(*both(spark, sf), ocr_ids(spark, sf), "no_ocr").select("id")
+
+
+@query("pending_files_ocr_only", QUEUE + f" SELECT l.id FROM file_listing l LEFT JOIN best b ON b.id = l.id AND b.definitive LEFT JOIN queue q ON q.id = l.id WHERE b.id IS NULL AND (q.id IS NOT NULL OR {EXT} IN ({IMAGES}))", J)
+def _(spark, sf):
+    return journal.pending_files(*both(spark, sf), ocr_ids(spark, sf), "ocr_only").select("id")
+
+
+@query("ocr_queue", QUEUE + " SELECT id, reason FROM queue", J)
+def _(spark, sf):
+    return ocr_ids(spark, sf)
+
+
+@query("ocr_queue_report", QUEUE + f", im AS (SELECT count(*) AS n FROM file_listing l LEFT JOIN best b ON b.id = l.id AND b.definitive WHERE b.id IS NULL AND {EXT} IN ({IMAGES})) SELECT 'reason: ' || reason AS what, count(*) AS count FROM queue GROUP BY reason UNION ALL SELECT 'pending images', n FROM im UNION ALL SELECT 'not in the listing', 0", J)
+def _(spark, sf):
+    listing, j = both(spark, sf)
+    return journal.ocr_queue_report(j, listing)
+
+
+@query("restrict_to_list", "SELECT id FROM file_listing WHERE hash IS NULL", ("file_listing",))
+def _(spark, sf):
+    listing = view(spark, sf, "file_listing")
+    return journal.restrict_to_list(listing, listing.filter("hash is null").select("id")).select("id")
+
+
+@query("carry_over_records", LATEST + " SELECT id, attempt FROM best WHERE definitive AND id NOT IN (SELECT id FROM journal WHERE reader_version = 3)", J)
+def _(spark, sf):
+    listing, j = both(spark, sf)
+    return journal.carry_over_records(j, listing.select("id"), j.filter("reader_version = 3").select("id")).select("id", "attempt")
+
+
+@query("drop_own_outputs", "SELECT id FROM file_listing WHERE NOT regexp_matches(name, '^Claude-.*\\.jsonl?$')", ("file_listing",))
+def _(spark, sf):
+    return journal.drop_own_outputs(view(spark, sf, "file_listing")).select("id")
+
+
+@query("dedupe_delta", "SELECT id, max(attempt) AS attempt FROM journal GROUP BY id", J)
+def _(spark, sf):
+    return journal.dedupe_delta(view(spark, sf, "journal"), "attempt").select("id", "attempt")
+
+
+@query("small_sample_per_case", STATUS + """ SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY exp ORDER BY CASE WHEN status = 'read' THEN 0 ELSE 1 END, CASE lower(split_part(name, '.', -1)) WHEN 'docx' THEN 0 WHEN 'pdf' THEN 1 WHEN 'doc' THEN 2 WHEN 'msg' THEN 3 ELSE 4 END, size, id) AS n FROM status) WHERE n <= 5""", J)
+def _(spark, sf):
+    status = journal.reading_status(*both(spark, sf)).withColumn("already_read", F.col("status") == "read")
+    return journal.small_sample_per_case(status, 5).select("id")
+
+
+@query("order_work_queue", f"""SELECT id, CAST(CASE WHEN {EXT} IN ({IMAGES}) THEN 0 WHEN size <= 5242880 THEN 2 ELSE 4 END + CASE WHEN hash IS NOT NULL AND row_number() OVER (PARTITION BY hash ORDER BY size, id) > 1 THEN 1 ELSE 0 END AS INT) AS "group", CAST(sum(CASE WHEN l_suppkey % 17 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY id) AS INT) AS times_broken FROM file_listing""", ("file_listing",))
+def _(spark, sf):
+    listing = view(spark, sf, "file_listing")
+    out = journal.order_work_queue(listing, listing.filter("l_suppkey % 17 = 0").select("id"))
+    return out.select("id", F.col("group").cast("int").alias("group"), F.col("times_broken").cast("int").alias("times_broken"))
+
+
+COPIES = LATEST + ", o AS (SELECT hash, min(id) AS id FROM best WHERE was_read AND hash IS NOT NULL GROUP BY hash), rec AS (SELECT id, caso, was_read, CAST(NULL AS STRING) AS copied_from FROM best UNION ALL SELECT l.id, l.exp, TRUE, o.id FROM file_listing l JOIN o ON l.hash = o.hash LEFT JOIN best b ON b.id = l.id WHERE b.id IS NULL), bad AS (SELECT id FROM best WHERE was_read AND md5(id) < '2')"
+COPIES += ", kept AS (SELECT * FROM rec WHERE NOT (was_read AND id IN (SELECT id FROM bad)) AND (copied_from IS NULL OR copied_from NOT IN (SELECT id FROM bad)))"
+
+
+def with_copies(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    listing, j = both(spark, sf)
+    best = journal.latest_records(j)
+    copies = journal.copy_text_from_original(listing, best).select("id", F.col("exp").alias("caso"), F.lit(True).alias("was_read"), "copied_from")
+    records = best.select("id", "caso", "was_read", F.lit(None).cast("string").alias("copied_from")).unionByName(copies)
+    return records, best.filter("was_read and md5(id) < '2'").select("id")
+
+
+@query("cascade_invalidate", COPIES + " SELECT id, copied_from FROM kept", J)
+def _(spark, sf):
+    return journal.cascade_invalidate(*with_copies(spark, sf)).select("id", "copied_from")
+
+
+@query("reopened_cases", COPIES + " SELECT DISTINCT caso FROM rec WHERE id NOT IN (SELECT id FROM kept)", J)
+def _(spark, sf):
+    return journal.reopened_cases(*with_copies(spark, sf))
+
+
+@query("truncated_reads_from_log", """, a AS (SELECT *, CASE WHEN kind IN ('ARRANQUE', 'FIN') THEN 1 ELSE 0 END AS e FROM reader_log), b AS (SELECT *, coalesce(sum(e) OVER (PARTITION BY log ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + CASE WHEN kind = 'ARRANQUE' THEN 1 ELSE 0 END AS session FROM a),
+c AS (SELECT *, lag(kind) OVER (PARTITION BY log, session ORDER BY seq) AS pk, lag(detail) OVER (PARTITION BY log, session ORDER BY seq) AS pd, sum(CASE WHEN kind = 'NO LEIDO' AND contains(detail, 'CUDA error') THEN 1 ELSE 0 END) OVER (PARTITION BY log, session ORDER BY seq) AS nth FROM b)
+SELECT log, seq, pd AS file, CASE WHEN kind = 'NO LEIDO' THEN 'CUDA error' ELSE 'restart' END AS because FROM c WHERE pk = 'LEIDO' AND ((kind = 'NO LEIDO' AND contains(detail, 'CUDA error') AND nth = 1) OR kind = 'FIN')""", ("reader_log",))
+def _(spark, sf):
+    return journal.truncated_reads_from_log(view(spark, sf, "reader_log"))
+
+
+# ---------------------------------------------------------------- sharding and staging
+def status_of(spark: SparkSession, sf: str) -> DataFrame:
+    return journal.reading_status(*both(spark, sf))
+
+
+@query("md5_shard", f"SELECT id, {KEY} AS share_key, CAST({md5_mod(KEY, 12)} AS INT) AS shard FROM file_listing", ("file_listing",))
+def _(spark, sf):
+    return view(spark, sf, "file_listing").select("id", staging.share_key().alias("share_key"), staging.md5_shard(staging.share_key(), 12).alias("shard"))
+
+
+@query("shard_filter", f"SELECT id FROM file_listing WHERE {md5_mod(KEY, 24)} IN (0, 12)", ("file_listing",))
+def _(spark, sf):
+    return staging.shard_filter(view(spark, sf, "file_listing"), [0], 12).select("id")
+
+
+@query("unique_work", STATUS + f", k AS (SELECT DISTINCT {KEY} AS key FROM status WHERE status LIKE 'pending%') SELECT CAST({md5_mod('key', 12)} AS INT) AS shard, count(*) AS contents FROM k GROUP BY 1", J)
+def _(spark, sf):
+    return staging.unique_work(status_of(spark, sf).filter(F.col("status").startswith("pending")), 12)
+
+
+@query("allocate_shards", STATUS + f", k AS (SELECT count(DISTINCT {KEY}) AS n FROM status WHERE status LIKE 'pending%'), t AS (SELECT * FROM (VALUES ('a', 8, 2, 4.0), ('b', 4, 1, 4.0), ('c', 1, 1, 0.5)) t(team, s, p, r)) SELECT team, CAST(s AS INT) AS shards, round(n * s / 13.0::DOUBLE, 6) AS files, round(n * s / 13.0::DOUBLE / (p * r) / 60, 6) AS hours FROM t, k", J)
+def _(spark, sf):
+    left = status_of(spark, sf).filter(F.col("status").startswith("pending")).select(staging.share_key().alias("k")).distinct().count()
+    out = staging.allocate_shards(spark, [("a", 2, 4.0), ("b", 1, 4.0), ("c", 1, 0.5)], left)
+    return out.select("team", F.size("shards").alias("shards"), F.round("files", 6).alias("files"), F.round("hours", 6).alias("hours"))
+
+
+@query("pages_by_size_bucket", f"SELECT {BUCKET} AS bucket, avg(1 + l_linenumber) AS pages FROM (SELECT l_linenumber, round(size / 1048576.0, 1) * 1048576.0 AS size FROM file_listing) GROUP BY 1", ("file_listing",))
+def _(spark, sf):
+    line = F.concat(F.lit("01/02 03:04:05  LEIDO    "), "name", F.lit("  ("), F.format_string("%.1f", F.col("size") / 1048576.0), F.lit(" MB, "), F.col("l_linenumber") + 1, F.lit(" pag.)"))
+    return staging.pages_by_size_bucket(view(spark, sf, "file_listing").select(line.alias("value")))
+
+
+def work_of(spark: SparkSession, sf: str) -> DataFrame:
+    return staging.estimate_hours(staging.planned(status_of(spark, sf)), staging.default_pages(spark))
+
+
+@query("estimate_hours", HOURS + " SELECT team, CAST(half_shard AS INT) AS half_shard, round(sum(hours), 6) AS hours FROM work GROUP BY team, half_shard", J)
+def _(spark, sf):
+    return staging.loads(work_of(spark, sf)).select("team", "half_shard", F.round("hours", 6).alias("hours"))
+
+
+@query("rebalance")
+def _(spark, sf):
+    work = work_of(spark, sf)
+    moved = staging.apply_moves(work, staging.rebalance(staging.loads(work)))
+    return moved.groupBy("team").agg(F.count(F.lit(1)).alias("files"), F.round(F.sum("hours"), 6).alias("hours"))
+
+
+@query("check_plan", PLAN + """, p AS (SELECT * FROM plan WHERE status LIKE 'pending%') SELECT 'ids unique' AS "check", count(*) = count(DISTINCT id) AS ok FROM p UNION ALL SELECT 'each content in one team', coalesce(bool_and(n = 1), TRUE) FROM (SELECT count(DISTINCT team) AS n FROM p WHERE hash IS NOT NULL GROUP BY hash) UNION ALL SELECT 'lists add up', count(*) = count(team) FROM p""", J)
+def _(spark, sf):
+    return staging.check_plan(staging.planned(status_of(spark, sf)))
+
+
+@query("case_state", STATUS + """ SELECT exp, count(*) AS files, round(sum(size) / 1073741824.0::DOUBLE, 2) AS gb, count(*) FILTER (WHERE status = 'read') AS read, count(*) FILTER (WHERE status = 'copy of a read file') AS copies, count(*) FILTER (WHERE status LIKE 'pending%') AS pending, CASE WHEN count(*) FILTER (WHERE status LIKE 'pending%') = 0 THEN 'si' ELSE 'no' END AS complete FROM status GROUP BY exp""", J)
+def _(spark, sf):
+    return staging.case_state(status_of(spark, sf))
+
+
+@query("stage_lists", PLAN + " SELECT team, id FROM plan WHERE status LIKE 'pending%'", J)
+def _(spark, sf):
+    return staging.planned(status_of(spark, sf)).filter(F.col("status").startswith("pending")).select("team", "id")
+
+
+# ---------------------------------------------------------------- assembly
+COMPLETE = LATEST + READ_HASH + ", complete AS (SELECT l.exp, count(*) AS files, bool_and(coalesce(b.definitive, FALSE) OR r.hash IS NOT NULL) AS complete FROM file_listing l LEFT JOIN best b ON b.id = l.id LEFT JOIN read_hash r ON r.hash = l.hash GROUP BY l.exp)"
+
+
+@query("complete_cases", COMPLETE + " SELECT exp, files, complete FROM complete", J)
+def _(spark, sf):
+    listing, j = both(spark, sf)
+    return assemble.complete_cases(listing, journal.latest_records(j))
+
+
+SUMMARY = LATEST + ", tot AS (SELECT exp, count(*) AS n FROM file_listing GROUP BY exp), summary AS (SELECT caso AS matter, count(*) AS files_described, count(*) FILTER (WHERE was_read) AS files_read, count(*) FILTER (WHERE contains_ssn) AS files_with_ssn, array_to_string(list_sort(list_distinct(list(pages_read))), ',') AS pages, tot.n AS files_in_matter, round(count(*) / tot.n::DOUBLE, 3) AS coverage, count(*) < tot.n AS partial FROM best JOIN tot ON tot.exp = caso GROUP BY caso, tot.n)"
+
+
+def summary_of(spark: SparkSession, sf: str) -> DataFrame:
+    listing, j = both(spark, sf)
+    return assemble.case_summary(journal.latest_records(j), listing.groupBy("exp").agg(F.count(F.lit(1)).alias("files")))
+
+
+@query("case_summary", SUMMARY + " SELECT * FROM summary", J)
+def _(spark, sf):
+    s = summary_of(spark, sf)
+    return s.select("matter", "files_described", "files_read", "files_with_ssn", F.array_join("pages_read_per_file", ",").alias("pages"), "files_in_matter", "coverage", "partial")
+
+
+@query("assemble_case_records", LATEST + """, o AS (SELECT hash, min(id) AS id FROM best WHERE was_read AND hash IS NOT NULL GROUP BY hash) SELECT l.id, CASE WHEN contains(l.sub, '/') THEN regexp_replace(l.sub, '/[^/]*$', '') ELSE '(folder root)' END AS subfolder,
+CASE WHEN b.definitive THEN 'own' WHEN o.id IS NOT NULL THEN 'copy' WHEN b.id IS NOT NULL THEN 'failure' ELSE 'nothing' END AS source, CASE WHEN NOT coalesce(b.definitive, FALSE) THEN o.id END AS copied_from,
+CASE WHEN b.definitive THEN b.not_read_because WHEN o.id IS NOT NULL THEN NULL WHEN b.id IS NOT NULL THEN b.not_read_because ELSE 'not read in this stage' END AS not_read_because FROM file_listing l LEFT JOIN best b ON b.id = l.id LEFT JOIN o ON o.hash = l.hash""", J)
+def _(spark, sf):
+    listing, j = both(spark, sf)
+    return assemble.assemble_case_records(listing, journal.latest_records(j), incomplete=True).select("id", "subfolder", "source", "copied_from", "not_read_because")
+
+
+LIVE = "live AS (SELECT exp, id FROM file_listing WHERE l_orderkey % 50 <> 0 UNION ALL SELECT folder, 'new' || CAST(k AS STRING) FROM case_folders WHERE k % 20 = 0)"
+
+
+@query("compare_live", COMPLETE + f""", {LIVE}, ok AS (SELECT l.id FROM file_listing l LEFT JOIN best b ON b.id = l.id LEFT JOIN read_hash r ON r.hash = l.hash WHERE coalesce(b.definitive, FALSE) OR r.hash IS NOT NULL),
+z AS (SELECT coalesce(l.exp, v.exp) AS exp, l.id AS a, v.id AS b, ok.id AS ok FROM file_listing l FULL JOIN live v ON l.exp = v.exp AND l.id = v.id LEFT JOIN ok ON ok.id = l.id),
+g AS (SELECT exp, count(a) AS files, count(b) AS live, count(*) FILTER (WHERE b IS NOT NULL AND a IS NULL) AS added, count(*) FILTER (WHERE a IS NOT NULL AND b IS NULL) AS removed, count(*) FILTER (WHERE a IS NOT NULL AND ok IS NULL) AS unread FROM z GROUP BY exp)
+SELECT exp, added, removed, unread, CASE WHEN live = 0 THEN 'sin_carpeta' WHEN unread > 0 THEN 'incompletos' WHEN added > 0 OR removed > 0 THEN 'cambiados' ELSE 'sin cambios' END AS kind FROM g WHERE files > 0""", J)
+def _(spark, sf):
+    listing, j = both(spark, sf)
+    live = listing.filter("l_orderkey % 50 <> 0").select("exp", "id").union(view(spark, sf, "case_folders").filter("k % 20 = 0").select("folder", F.concat(F.lit("new"), "k")))
+    best = journal.latest_records(j)
+    ok = best.filter(journal.is_definitive()).select("id")
+    read = best.filter("was_read and hash is not null").select("hash").distinct()
+    ok = ok.union(listing.join(read, "hash", "left_semi").select("id"))
+    return assemble.compare_live(listing, live, ok).select("exp", "added", "removed", "unread", "kind")
+
+
+@query("split_base_by_team", LATEST + f""", asg AS (SELECT folder AS exp, 'team' || CAST(k % 3 AS STRING) AS team FROM case_folders), f AS (SELECT l.id, l.hash, a.team FROM file_listing l JOIN asg a ON a.exp = l.exp), o AS (SELECT hash, min(id) AS id FROM journal WHERE was_read AND hash IS NOT NULL AND NOT {REREAD} GROUP BY hash)
+SELECT team, f.id FROM f JOIN best b ON b.id = f.id UNION SELECT f.team, o.id FROM f JOIN o ON o.hash = f.hash""", J)
+def _(spark, sf):
+    listing, j = both(spark, sf)
+    asg = view(spark, sf, "case_folders").select(F.col("folder").alias("expediente"), F.concat(F.lit("team"), (F.col("k") % 3).cast("string")).alias("equipo"))
+    return assemble.split_base_by_team(asg, listing, j)
+
+
+@query("changed_cases", SUMMARY + " SELECT matter, files_described FROM summary WHERE CAST(substr(md5(matter), 1, 1) AS STRING) < '8' OR files_described % 2 = 1", J)
+def _(spark, sf):
+    s = summary_of(spark, sf)
+    before = s.filter("substr(md5(matter), 1, 1) >= '8'").select("matter", (F.col("files_described") - F.col("files_described") % 2).alias("files"))
+    return assemble.changed_cases(s, before).select("matter", "files_described")
+
+
+OLD = "old AS (SELECT k, CASE WHEN k % 4 = 0 THEN folder ELSE base || CASE WHEN closed THEN ' - Closed' ELSE '' END || ' - ' || CAST(900000 + k AS STRING) || ' - ' || index_number END AS caso FROM case_folders)"
+
+
+@query("resolve_current_name", f""", {OLD}, n AS (SELECT base, index_number, closed, count(*) AS n, min(folder) AS name FROM case_folders GROUP BY 1, 2, 3) SELECT o.caso, CASE WHEN o.k % 4 = 0 THEN o.caso WHEN n.n = 1 THEN n.name END AS current, CASE WHEN o.k % 4 = 0 THEN 'same' WHEN n.n = 1 THEN 'renamed' ELSE 'ambiguous' END AS result FROM old o JOIN case_folders c ON c.k = o.k JOIN n ON n.base = c.base AND n.index_number = c.index_number AND n.closed = c.closed""", ("case_folders",))
+def _(spark, sf):
+    c = view(spark, sf, "case_folders")
+    renamed = F.concat("base", F.when(F.col("closed"), " - Closed").otherwise(""), F.lit(" - "), (F.lit(900000) + F.col("k")).cast("string"), F.lit(" - "), "index_number")
+    return assemble.resolve_current_name(c.select(F.when(F.col("k") % 4 == 0, F.col("folder")).otherwise(renamed).alias("caso")), c.select("folder"))
+
+
+@query("longest_prefix_destination", """, f AS (SELECT id, '/Matters/' || exp || '/' || sub || name AS path, exp AS caso, sub, k FROM file_listing l JOIN case_folders c ON c.folder = l.exp)
+SELECT id, CASE WHEN k % 2 = 0 AND sub = 'LITIGATION/Motions/' THEN 'New ' || CAST(k AS STRING) WHEN k % 2 = 0 AND starts_with(sub, 'LITIGATION') THEN 'New' WHEN k % 3 = 0 THEN 'Now ' || caso ELSE '' END AS "case",
+CASE WHEN k % 2 = 0 AND sub = 'LITIGATION/Motions/' THEN 'Sub' WHEN k % 3 = 0 AND sub <> '' THEN regexp_replace(sub, '/$', '') ELSE '' END AS subfolder FROM f""", ("file_listing",))
+def _(spark, sf):
+    c = view(spark, sf, "case_folders")
+    files = view(spark, sf, "file_listing").select("id", F.concat(F.lit("/Matters/"), "exp", F.lit("/"), "sub", "name").alias("path"), F.col("exp").alias("caso"))
+    even = c.filter("k % 2 = 0")
+    moves = even.select(F.concat(F.lit("/Matters/"), "folder", F.lit("/LITIGATION")).alias("origin"), F.lit("New").alias("destination"))
+    moves = moves.union(even.select(F.concat(F.lit("/Matters/"), "folder", F.lit("/LITIGATION/Motions")), F.concat(F.lit("New "), F.col("k").cast("string"), F.lit("/Sub"))))
+    name_map = c.filter("k % 3 = 0").select(F.col("folder").alias("nombre_origen"), F.concat(F.lit("Now "), "folder").alias("nombre_actual"))
+    return assemble.longest_prefix_destination(files, moves, name_map)
+
+
+@query("unique_case_by_origin", "SELECT base AS origin, min(folder) AS current FROM case_folders GROUP BY base HAVING count(*) = 1", ("case_folders",))
+def _(spark, sf):
+    return assemble.unique_case_by_origin(view(spark, sf, "case_folders").select(F.col("base").alias("nombre_origen"), F.col("folder").alias("nombre_actual")))
+
+
+@query("files_per_case", TREE + ", m AS (SELECT folder, 'Now ' || folder AS current FROM case_folders WHERE k % 2 = 0) SELECT m.current, count(*) AS files FROM tree t JOIN m ON m.folder = t.client_folder WHERE NOT t.es_carpeta GROUP BY m.current", ("drive_items",))
+def _(spark, sf):
+    name_map = view(spark, sf, "case_folders").filter("k % 2 = 0").select(F.col("folder").alias("nombre_origen"), F.concat(F.lit("Now "), "folder").alias("nombre_actual"))
+    return assemble.files_per_case(tree(spark, sf), name_map)
+
+
+@query("sibling_passwords", """, f AS (SELECT id, exp, sub, size, l_partkey % 10 = 9 AS secret FROM file_listing), p AS (SELECT * FROM f WHERE secret AND size < 5242880) SELECT f.id, count(*) AS n FROM f JOIN p ON f.exp = p.exp AND f.sub = p.sub AND f.id <> p.id GROUP BY f.id""", ("file_listing",))
+def _(spark, sf):
+    f = view(spark, sf, "file_listing").select("id", "exp", F.col("sub").alias("sub_folder"), "size", F.when(F.col("l_partkey") % 10 == 9, "password.txt").otherwise(F.col("name")).alias("name"))
+    texts = f.filter("name = 'password.txt'").select("id", F.concat(F.lit("Password: "), "id").alias("text"))
+    return assemble.sibling_passwords(f, texts).select("id", F.size("passwords").cast("long").alias("n"))
+
+
+@query("resume_worklist", "SELECT id AS origen FROM file_listing WHERE l_linenumber % 3 <> 0", ("file_listing",))
+def _(spark, sf):
+    f = view(spark, sf, "file_listing")
+    log = f.select(F.col("id").alias("origen"), F.when(F.col("l_linenumber") % 3 == 0, "ok").otherwise("error").alias("estado"))
+    return assemble.resume_worklist(f.select(F.col("id").alias("origen")), log)
+
+
+@query("outcome_counts", "SELECT CASE WHEN l_linenumber % 3 = 0 THEN 'ok' ELSE 'error' END AS estado, count(*) AS n FROM file_listing GROUP BY 1", ("file_listing",))
+def _(spark, sf):
+    f = view(spark, sf, "file_listing")
+    return assemble.outcome_counts(f.select(F.when(F.col("l_linenumber") % 3 == 0, "ok").otherwise("error").alias("estado")))
+
+
+# ---------------------------------------------------------------- case numbers
+#: Numbers in drive names follow from their rows, so SQL needs no look-around.
+FOUND = TREE + """, kf AS (SELECT 'S' || CAST(k AS STRING) AS s, k FROM case_folders), found AS (
+ SELECT client_folder, location, name, level, 'subcarpeta' AS origin, CAST(712000 + CAST(substr(id, 2) AS BIGINT) AS STRING) || '-' || CAST(2010 + CAST(substr(id, 2) AS BIGINT) % 12 AS STRING) AS index_number FROM tree WHERE starts_with(id, 'D') AND contains(name, 'Index#')
+ UNION ALL SELECT client_folder, location, name, level, 'subcarpeta', split_part(name, ' - ', -1) FROM tree WHERE starts_with(id, 'N') AND split_part(name, ' - ', -1) <> '0'
+ UNION ALL SELECT client_folder, location, name, level, 'subcarpeta', split_part(name, ' ', 1) FROM tree WHERE starts_with(id, 'S') AND contains(name, ' (Foreclosure)')
+ UNION ALL SELECT client_folder, location, name, level, 'archivo', regexp_extract(name, ' (534[0-9]{3})_2020.pdf', 1) || '-2020' FROM tree WHERE starts_with(id, 'F') AND regexp_matches(name, ' 534[0-9]{3}_2020.pdf')),
+h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY index_number, client_folder ORDER BY origin, level, name, location) AS rn FROM found) WHERE rn = 1),
+known AS (SELECT DISTINCT index_number FROM case_folders WHERE index_number <> '0'), hv AS (SELECT h.*, k.index_number IS NOT NULL AS in_crm FROM h LEFT JOIN known k ON k.index_number = h.index_number)"""
+D = ("drive_items",)
+
+
+def harvest(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    t = tree(spark, sf)
+    known = view(spark, sf, "case_folders").filter("index_number <> '0'").select("index_number")
+    return indexes.harvest_indexes(t, known), t
+
+
+@query("harvest_indexes", FOUND + " SELECT index_number, client_folder, origin, level, in_crm FROM hv", D)
+def _(spark, sf):
+    return harvest(spark, sf)[0].select("index_number", "client_folder", "origin", "level", "in_crm")
+
+
+DOC_WORDS = ", ".join(f"'{w}'" for w in indexes.DOCUMENT_WORDS)
+ORGANIZED = f"""SELECT client_folder, CASE WHEN bool_or(sub AND num) THEN 'POR CASO' WHEN NOT bool_or(sub) THEN 'PLANA' WHEN bool_and(cat) FILTER (WHERE sub) THEN 'POR DOCUMENTO' ELSE 'MIXTA' END AS organization
+ FROM (SELECT client_folder, es_carpeta AND level = 3 AS sub, contains(name, ' (Foreclosure)') AS num, len(list_filter(string_split(regexp_replace(lower(name), '[^a-z ]+', ' ', 'g'), ' '), lambda w: w IN ({DOC_WORDS}))) > 0 AS cat FROM tree) GROUP BY client_folder"""
+
+
+@query("folder_organization", TREE + " " + ORGANIZED, D)
+def _(spark, sf):
+    return indexes.folder_organization(tree(spark, sf))
+
+
+@query("index_summary_by_folder", FOUND + """, g AS (SELECT client_folder, count(DISTINCT index_number) AS indexes, count(*) FILTER (WHERE NOT in_crm) AS new, count(*) FILTER (WHERE in_crm) AS known, array_to_string(list_sort(list_distinct(list(index_number))), '; ') AS list FROM hv GROUP BY client_folder), t AS (SELECT client_folder, min(location) AS location FROM tree GROUP BY client_folder)
+SELECT t.client_folder, t.location, coalesce(indexes, 0) AS indexes, coalesce(new, 0) AS new, coalesce(known, 0) AS known, coalesce(list, '') AS list FROM t LEFT JOIN g ON g.client_folder = t.client_folder""", D)
+def _(spark, sf):
+    return indexes.index_summary_by_folder(*harvest(spark, sf))
+
+
+@query("harvest_totals", FOUND + """, a AS (SELECT count(*) AS items, count(DISTINCT client_folder) AS folders FROM tree), b AS (SELECT count(DISTINCT index_number) AS indexes, count(DISTINCT index_number) FILTER (WHERE in_crm) AS known, count(DISTINCT index_number) FILTER (WHERE NOT in_crm) AS new, count(DISTINCT client_folder) AS folders_with FROM hv)
+SELECT *, folders - folders_with AS folders_without FROM a, b""", D)
+def _(spark, sf):
+    return indexes.harvest_totals(*harvest(spark, sf))
+
+
+def task_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """The new cases, and the old folders by their base names alone."""
+    c = view(spark, sf, "case_folders")
+    cols = lambda p, name, loc: c.select(F.concat(F.lit(p), "k").alias("id"), name.alias("name"), F.lit(True).alias("es_carpeta"), F.lit(0).cast("long").alias("size"), loc.alias("location"), name.alias("client_folder"), F.lit(2).alias("level"), "k")
+    old = cols("O", F.concat("base", F.lit(" "), F.col("k").cast("string")), F.col("section")).filter("k % 6 <> 0")
+    named = F.concat("base", F.lit(" "), F.col("k").cast("string"), F.lit(" - "), "internal_id", F.lit(" - "), "index_number")
+    return old.union(cols("N", named, F.lit("Matters")))
+
+
+TASKS = """, tasks AS (SELECT k, base || ' ' || CAST(k AS STRING) || ' - ' || internal_id || ' - ' || index_number AS new_folder, CASE WHEN k % 6 <> 0 THEN base || ' ' || CAST(k AS STRING) END AS old_folder, CASE WHEN k % 6 <> 0 THEN section END AS area, internal_id, index_number AS declared FROM case_folders)"""
+C = ("case_folders",)
+
+
+@query("verification_tasks", TASKS + " SELECT new_folder, old_folder, area, internal_id, declared FROM tasks WHERE declared <> '0'", C)
+def _(spark, sf):
+    return indexes.verification_tasks(task_tree(spark, sf)).select("new_folder", "old_folder", "area", "internal_id", "declared")
+
+
+@query("candidate_documents", TREE + f" SELECT id, CAST(rank AS INT) AS rank FROM (SELECT id, row_number() OVER (PARTITION BY client_folder ORDER BY CASE WHEN {EXT} = 'docx' THEN 0 ELSE 1 END, size, id) AS rank FROM tree WHERE NOT es_carpeta AND size < 15728640 AND {EXT} IN ('docx', 'pdf')) WHERE rank <= 6", D)
+def _(spark, sf):
+    return indexes.candidate_documents(tree(spark, sf)).select("id", "rank")
+
+
+def caption_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Three documents per old folder; what their captions say follows from k."""
+    c = view(spark, sf, "case_folders").filter("k % 6 <> 0")
+    rows = c.select("k", F.concat("base", F.lit(" "), F.col("k").cast("string")).alias("client_folder"), "index_number", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("rank"))
+    wrong = F.concat((F.lit(723000) + F.col("k") % 50).cast("string"), F.lit("/2019"))
+    said = (
+        F.when(F.col("k") % 7 == 0, "nothing here")
+        .when((F.col("rank") == 1) | (F.col("k") % 4 == 0), F.concat(F.lit("Index No. "), wrong))
+        .otherwise(F.concat(F.lit("Index No. "), F.regexp_replace("index_number", "-", "/")))
+    )
+    failure = F.when(F.col("k") % 11 == 0, "HTTP 429").otherwise("")
+    return rows.select("client_folder", "rank", F.concat(F.lit("doc "), F.col("rank").cast("string")).alias("name"), said.alias("text"), F.lit("docx").alias("read_with"), failure.alias("failure"))
+
+
+VERDICTS = TASKS + """, verdicts AS (SELECT new_folder, old_folder, area, declared, k, CASE WHEN k % 6 = 0 THEN 'sin carpeta de origen' WHEN k % 11 = 0 THEN 'no se pudo descargar (HTTP 429)' WHEN k % 7 = 0 THEN 'sin senal' WHEN k % 4 = 0 THEN 'NO COINCIDE' ELSE 'confirma' END AS verdict,
+  CASE WHEN k % 6 = 0 OR k % 11 = 0 OR k % 7 = 0 THEN '' WHEN k % 4 = 0 THEN CAST(723000 + k % 50 AS STRING) || '-2019' ELSE declared END AS found, CAST(CASE WHEN k % 6 = 0 OR k % 11 = 0 THEN 0 WHEN k % 7 = 0 OR k % 4 = 0 THEN 3 ELSE 2 END AS BIGINT) AS files_read FROM tasks WHERE declared <> '0')"""
+
+
+def verdicts_of(spark: SparkSession, sf: str) -> DataFrame:
+    return indexes.verify_indexes(indexes.verification_tasks(task_tree(spark, sf)), caption_documents(spark, sf))
+
+
+#: Declared numbers of fewer than four digits before the year don't occur: 2100 + k lies above 2035.
+@query("verify_indexes", VERDICTS + " SELECT new_folder, verdict, found, files_read FROM verdicts", C)
+def _(spark, sf):
+    return verdicts_of(spark, sf).select("new_folder", "verdict", "found", "files_read")
+
+
+@query("explain_mismatches", VERDICTS + """, bad AS (SELECT * FROM verdicts WHERE verdict = 'NO COINCIDE'), n AS (SELECT found, count(DISTINCT old_folder) > 5 AS t FROM bad GROUP BY found), s AS (SELECT old_folder, count(*) > 1 AS split FROM bad GROUP BY old_folder)
+SELECT new_folder, CASE WHEN levenshtein(declared, bad.found) = 1 THEN 'casi-coincidencia: un digito' WHEN s.split THEN 'cliente partido en varios matters' WHEN n.t THEN 'solo aparece un indice de plantilla' ELSE 'queda por explicar' END AS cause FROM bad JOIN n ON n.found = bad.found JOIN s ON s.old_folder = bad.old_folder""", C)
+def _(spark, sf):
+    return indexes.explain_mismatches(verdicts_of(spark, sf)).select("new_folder", "cause")
+
+
+def discovered(spark: SparkSession, sf: str) -> DataFrame:
+    # without an index of their own, the documents show the wrong number, or two numbers
+    tasks = indexes.verification_tasks(task_tree(spark, sf), without_index=True)
+    docs = caption_documents(spark, sf).withColumn("text", F.regexp_replace("text", "No. 0$", "No. 745678/2015"))
+    return indexes.discover_indexes(tasks, docs)
+
+
+DISCOVERED = TASKS + """, d AS (SELECT new_folder, k, CASE WHEN k % 6 = 0 THEN 'sin carpeta de origen' WHEN k % 11 = 0 THEN 'no se pudo descargar (HTTP 429)' WHEN k % 7 = 0 THEN 'sin senal' ELSE 'propone (corroborado)' END AS verdict FROM tasks WHERE declared = '0'),
+disc AS (SELECT new_folder, verdict, CASE WHEN verdict <> 'propone (corroborado)' THEN '' WHEN k % 4 = 0 THEN CAST(723000 + k % 50 AS STRING) || '-2019' ELSE '745678-2015' END AS proposed, CAST(CASE WHEN verdict = 'propone (corroborado)' THEN 2 ELSE 0 END AS BIGINT) AS in_documents, CASE WHEN verdict = 'propone (corroborado)' AND k % 4 <> 0 THEN CAST(723000 + k % 50 AS STRING) || '-2019' ELSE '' END AS others FROM d)"""
+
+
+@query("discover_indexes", DISCOVERED + " SELECT * FROM disc", C)
+def _(spark, sf):
+    return discovered(spark, sf).select("new_folder", "verdict", "proposed", "in_documents", "others")
+
+
+@query("firm_proposals", DISCOVERED + " SELECT new_folder, proposed FROM disc WHERE proposed <> '' AND proposed NOT IN (SELECT '723000-2019')", C)
+def _(spark, sf):
+    declared = view(spark, sf, "case_folders").select(F.lit("723000-2019").alias("declared"))
+    return indexes.firm_proposals(discovered(spark, sf), declared).select("new_folder", "proposed")
+
+
+@query("rows_to_redo", DISCOVERED + ", many AS (SELECT proposed FROM disc WHERE proposed <> '' GROUP BY proposed HAVING count(*) > 1) SELECT 'plantilla' AS criterion, new_folder FROM disc WHERE proposed IN (SELECT proposed FROM many) UNION ALL SELECT 'sin-senal', new_folder FROM disc WHERE verdict = 'sin senal' UNION ALL SELECT 'fallidas', new_folder FROM disc WHERE contains(verdict, 'no se pudo descargar')", C)
+def _(spark, sf):
+    d = discovered(spark, sf)
+    out = [indexes.rows_to_redo(d, c).select(F.lit(c).alias("criterion"), "new_folder") for c in ("plantilla", "sin-senal", "fallidas")]
+    return out[0].union(out[1]).union(out[2])
+
+
+@query("verdict_counts", VERDICTS + " SELECT verdict, count(*) AS n FROM verdicts GROUP BY verdict", C)
+def _(spark, sf):
+    return reports.verdict_counts(verdicts_of(spark, sf))
+
+
+# ---------------------------------------------------------------- identity
+@query("useful_surnames", "SELECT k, CASE WHEN length(split_part(base, ',', 1)) > 3 THEN lower(split_part(base, ',', 1)) ELSE '' END AS surnames FROM case_folders", C)
+def _(spark, sf):
+    return view(spark, sf, "case_folders").select("k", F.array_join(identity.useful_surnames(F.col("folder")), ",").alias("surnames"))
+
+
+def cases_and_docs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Captions that name a case of each folder's own, its number, both or nothing."""
+    c = view(spark, sf, "case_folders")
+    own = F.concat(F.lit("q"), F.translate(F.col("k").cast("string"), "0123456789", "abcdefghij"), F.lit("zz"))
+    cases = c.select(F.concat(own, F.lit(" surname, Pat - "), "internal_id", F.lit(" - "), "index_number").alias("folder"), F.concat(own, F.lit(" surname, Pat")).alias("base"), "index_number", "k", own.alias("own"))
+    said = F.when(F.col("k") % 4 == 0, F.concat(F.lit("Supreme Court "), "own", F.lit(" surname against Bank"))).when(F.col("k") % 4 == 1, F.lit("plain")).otherwise(F.concat(F.lit("caption "), "own", F.lit(" surname")))
+    numbers = F.when((F.col("k") % 4 != 0) & (F.col("index_number") != "0") & (F.col("k") % 4 != 3), F.array("index_number")).otherwise(F.array().cast("array<string>"))
+    docs = cases.select(F.col("k").alias("doc_id"), said.alias("text"), numbers.alias("numbers"), numbers.alias("caption_numbers"))
+    return cases.select("folder", "base", "index_number"), docs
+
+
+@query("cases_in_text", "SELECT k AS doc_id, k FROM case_folders WHERE k % 4 <> 1", C)
+def _(spark, sf):
+    cases, docs = cases_and_docs(spark, sf)
+    found = identity.cases_in_text(docs, cases)
+    return found.select("doc_id", (names.split_case_name(F.col("folder"))["internal_id"].try_cast("long") - 600000).alias("k"))
+
+
+@query("resolve_case", """SELECT k AS doc_id, CASE WHEN k % 4 IN (1, 2) AND index_number <> '0' THEN k WHEN k % 4 <> 1 THEN k END AS k, CASE WHEN k % 4 = 2 AND index_number <> '0' THEN 'both signals agree: index number and surname' WHEN k % 4 = 1 AND index_number <> '0' THEN 'index number only, the surname is not inside' WHEN k % 4 <> 1 THEN 'surname only, no index number' ELSE 'nothing in the document ties it to a case' END AS reason, k % 4 = 2 AND index_number <> '0' AS confirmed FROM case_folders""", C)
+def _(spark, sf):
+    cases, docs = cases_and_docs(spark, sf)
+    r = identity.resolve_case(docs, cases)
+    return r.select("doc_id", (names.split_case_name(F.col("folder"))["internal_id"].try_cast("long") - 600000).alias("k"), "reason", "confirmed")
+
+
+@query("matter_features", "SELECT matter_id, CASE WHEN matter_id % 6 = 0 THEN CAST(700000 + matter_id % 40 AS STRING) || '-2023' ELSE '' END AS indexes, matter_id % 6 NOT IN (0, 1) AS generic FROM matters", ("matters",))
+def _(spark, sf):
+    f = identity.matter_features(view(spark, sf, "matters"))
+    return f.select("matter_id", F.array_join("indexes", ",").alias("indexes"), "generic")
+
+
+@query("compare_matters")
+def _(spark, sf):
+    f = identity.matter_features(view(spark, sf, "matters"))
+    cols = ["matter_id", "matter", "indexes", "files", "addresses", "markers", "people", "generic"]
+    side = lambda p: f.select("client", *[F.col(c).alias(p + c) for c in cols])
+    pairs = side("a_").join(side("b_"), "client").filter("a_matter_id < b_matter_id")
+    return identity.compare_matters(pairs).select("a_matter_id", "b_matter_id", "verdict", "reason")
+
+
+@query("classify_client_matters")
+def _(spark, sf):
+    return identity.classify_client_matters(view(spark, sf, "matters"))
+
+
+# ---------------------------------------------------------------- reports
+M = ("matters",)
+KEPT = " WHERE NOT not_in_use"
+
+
+def matters_of(spark: SparkSession, sf: str) -> DataFrame:
+    return view(spark, sf, "matters")
+
+
+@query("filter_matters", "SELECT matter_id FROM matters WHERE NOT not_in_use AND regexp_matches(stage, '(?i)fin') AND regexp_matches(coalesce(case_type, ''), '(?i)fore') AND regexp_matches(matter || ' ' || client || ' ' || email, '(?i)customer#0+') AND signed >= TIMESTAMP '1995-01-01' AND signed <= TIMESTAMP '1997-12-31' AND paid", M)
+def _(spark, sf):
+    return reports.filter_matters(matters_of(spark, sf), "fin", "fore", "customer#0+", "1995-01-01", "1997-12-31", paid=True).select("matter_id")
+
+
+@query("summary_by", "SELECT case_type, count(*) AS matters, count(book_value) AS with_value, round(coalesce(sum(book_value), 0), 2) AS total_value, count(*) FILTER (WHERE paid) AS paid, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 1) AS percent FROM matters WHERE NOT not_in_use GROUP BY case_type", M)
+def _(spark, sf):
+    return reports.summary_by(reports.filter_matters(matters_of(spark, sf)), "case_type")
+
+
+@query("by_month", "SELECT strftime(signed, '%Y-%m') AS month, count(*) AS matters, round(coalesce(sum(book_value), 0), 2) AS total_value, count(*) FILTER (WHERE paid) AS paid FROM matters GROUP BY 1 ORDER BY 1 DESC LIMIT 12", M)
+def _(spark, sf):
+    return reports.by_month(matters_of(spark, sf))
+
+
+@query("overall_kpis", "SELECT count(*) AS matters, count(DISTINCT client) AS clients, count(book_value) AS with_value, round(sum(book_value), 2) AS total_value, count(*) FILTER (WHERE paid) AS paid, CAST(min(signed) AS DATE) AS first_signed, CAST(max(signed) AS DATE) AS last_signed FROM matters", M)
+def _(spark, sf):
+    return reports.overall_kpis(matters_of(spark, sf))
+
+
+@query("top_matters", "SELECT matter_id, book_value FROM matters WHERE book_value IS NOT NULL ORDER BY book_value DESC, matter_id LIMIT 20", M)
+def _(spark, sf):
+    return reports.top_matters(matters_of(spark, sf)).select("matter_id", "book_value")
+
+
+@query("missing_values", "SELECT 'book_value' AS column, count(*) FILTER (WHERE book_value IS NULL) AS missing, round(100.0::DOUBLE * count(*) FILTER (WHERE book_value IS NULL) / count(*), 1) AS percent FROM matters UNION ALL SELECT 'case_type', count(*) FILTER (WHERE case_type IS NULL), round(100.0::DOUBLE * count(*) FILTER (WHERE case_type IS NULL) / count(*), 1) FROM matters", M)
+def _(spark, sf):
+    return reports.missing_values(matters_of(spark, sf), ["book_value", "case_type", "client", "email"])
+
+
+@query("file_type_profile", f"SELECT exp, extension, files, mb, CAST(rank AS INT) AS rank FROM (SELECT exp, {EXT} AS extension, count(*) AS files, round(sum(size) / 1048576.0::DOUBLE, 2) AS mb, row_number() OVER (PARTITION BY exp ORDER BY count(*) DESC, {EXT}) AS rank FROM file_listing GROUP BY exp, {EXT}) WHERE rank <= 10", ("file_listing",))
+def _(spark, sf):
+    return reports.file_type_profile(view(spark, sf, "file_listing"))
+
+
+@query("search_cases", "SELECT exp, count(*) AS files FROM file_listing WHERE contains(lower(exp), 'doe') GROUP BY exp", ("file_listing",))
+def _(spark, sf):
+    return reports.search_cases(view(spark, sf, "file_listing"), "Doe")
+
+
+@query("stratified_sample", "SELECT folder FROM (SELECT folder, template, section, row_number() OVER (PARTITION BY template, section ORDER BY folder) AS r, (SELECT count(*) FROM (SELECT DISTINCT template, section FROM case_folders)) AS s FROM case_folders) ORDER BY r > greatest(floor(30 / s), 1), template, section, folder LIMIT 30", C)
+def _(spark, sf):
+    return reports.stratified_sample(view(spark, sf, "case_folders"), 30).select("folder")
+
+
+@query("type_certainty_counts", f", {RULES}, n AS (SELECT certainty, count(*) AS types FROM rules GROUP BY certainty), f AS (SELECT r.certainty, count(*) AS files FROM (SELECT {NAME_RANK} AS nr FROM file_listing) x JOIN rules r ON r.rank = nr GROUP BY r.certainty) SELECT n.certainty, n.types, coalesce(f.files, 0) AS files FROM n LEFT JOIN f ON f.certainty = n.certainty", ("file_listing",))
+def _(spark, sf):
+    ranked = classify.with_name_type(view(spark, sf, "file_listing"), "name", "rank").select("rank")
+    files = ranked.join(F.broadcast(classify.doc_types(spark).select("rank", "certainty")), "rank").groupBy("certainty").agg(F.count(F.lit(1)).alias("files"))
+    return reports.type_certainty_counts(spark).join(files, "certainty", "left").fillna(0, ["files"])
+
+
+@query("archive_yield", "SELECT source AS archive, count(*) FILTER (WHERE doc_id % 3 <> 0 AND trim(text) <> '') AS read, count(*) AS entries, round(sum(CASE WHEN doc_id % 3 <> 0 AND trim(text) <> '' THEN n_chars ELSE 0 END) / 1048576.0::DOUBLE, 2) AS mb_read, round(sum(n_chars) / 1048576.0::DOUBLE, 2) AS mb FROM documents GROUP BY source")
+def _(spark, sf):
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    return reports.archive_yield(d.select(F.col("source").alias("archive"), F.col("n_chars").alias("size"), F.when(F.col("doc_id") % 3 != 0, F.col("text")).alias("text")))
+
+
+# ---------------------------------------------------------------- sinks and streams, read back
+from . import stored  # noqa: E402
+
+QUERIES.update(stored.QUERIES)
+ORACLES.update({
+    "case_jsonl": with_views("journal") + LATEST + " SELECT caso, count(*) + 1 AS lines FROM best GROUP BY caso",
+    "stage_list_files": with_views("journal") + PLAN + " SELECT team, count(*) AS ids FROM plan WHERE status LIKE 'pending%' GROUP BY team",
+    "read_journals": with_views("journal") + LATEST + " SELECT id, attempt FROM best",
+    "stream_latest_records": with_views("journal") + LATEST + " SELECT id, attempt, was_read FROM best",
+    "stream_dedupe_delta": with_views("journal") + " SELECT id, max(attempt) AS attempt FROM journal GROUP BY id",
+    "stream_complete_cases": with_views("journal") + COMPLETE + " SELECT exp, files FROM complete WHERE complete",
+    "stream_journal_chunks": with_views("journal") + " SELECT count(*) AS lines, count(DISTINCT id) AS ids FROM journal",
+    "reading_rate": """SELECT epoch_ms(s * 300000) AS start, epoch_ms(s * 300000 + 3600000) AS "end", count(*) AS files FROM (SELECT unnest(range((epoch_ms(ts) // 300000) - 11, (epoch_ms(ts) // 300000) + 1)) AS s FROM events WHERE event_type <> 'error') GROUP BY s""",
+})
