@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Stands for a null identifier inside operators; the largest, so that it never is the smallest of a class.
+NO_ID = 2**63 - 1
 #: A word is a maximal run of anything but space, tab, line feed, vertical tab, form feed and return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -87,3 +89,11 @@ def place_among(borders: list[int], key: Column) -> Column:
     blocks = F.size(F.filter(coarse, lambda b: b <= key))
     start = F.greatest(blocks - 1, F.lit(0)) * step
     return F.coalesce(start + F.size(F.filter(F.slice(every, start + 1, F.lit(step)), lambda b: b <= key)), F.lit(0)).cast("int")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it until no column of the table has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

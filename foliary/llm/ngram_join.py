@@ -11,18 +11,18 @@ with enough such shingles, need none at all.
    document has, and the unit lists each document's shared shingles in order.
 2. Grouped prefix join. Documents with equal sets form a class. Classes with identical prefixes and
    sizes collapse into one group; groups are posted under their prefix's shingles and pairs
-   are filtered by size and position. Not all pairs of a list are made: in each round the list's
-   pivot meets the others, and lists whose members are connected already rest. After
-   `rounds` rounds, only pairs of documents not connected yet are made, all of them.
+   are filtered by size and position. Not all pairs of a list are made: in each of `rounds` rounds a
+   group meets a pivot of its lists, and lists whose members are connected already rest. Then
+   the pairs of documents not connected yet are made, all of them.
 3. Verification. Group pairs are expanded to their members, and the overlap counted on whole sets.
 
 Hashes have 40 bits inside a bucket beside the bucket's own: for two unrelated texts of a thousand
 shingles each, the chance that one seems shared is below one in a million.
 
 Cases: a null or blank text has an empty set and is linked with nothing; texts of fewer than five
-words have one shingle, the whole; equal texts are linked; rows that repeat an id are one document
-with the union of nothing but their own rows: each row is returned, with the smallest id
-that any of them reaches; an empty table gives no rows; other columns aren't read.
+words have one shingle, the whole; equal texts are linked; rows that repeat an id are linked by
+their texts alone, and each is returned; a null id never is the smallest of a class that has
+another; an empty table gives no rows; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -215,10 +215,22 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def could_link(percent: int):
-    """Size and position filters of two postings x and y."""
+    """Size and position filters of two postings x and y, which count only where a run of shared shingles starts."""
     small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    anew = ~F.coalesce(F.col("x.prev") == F.col("y.prev"), F.lit(False))
     room = 1 + F.least(F.col("x.n") - F.col("x.place") - 1, F.col("y.n") - F.col("y.place") - 1)
-    return (100 * small >= percent * large) & ((100 + percent) * room >= percent * (F.col("x.n") + F.col("y.n")))
+    return anew & (100 * small >= percent * large) & ((100 + percent) * room >= percent * (F.col("x.n") + F.col("y.n")))
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (id, group, label) after new links (a, b). Only the labels that links join are worked on, so each
+    link is used once and what is connected already stays contracted to one node."""
+    a = labels.select(F.col("id").alias("a"), F.col("label").alias("la"))
+    b = labels.select(F.col("id").alias("b"), F.col("label").alias("lb"))
+    joined = links.join(a, "a").join(b, "b").filter("la <> lb").select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct()
+    found = components(joined).select(F.col("id").alias("label"), F.col("label").alias("new"))
+    out = labels.join(found, "label", "left").select("id", "group", F.coalesce("new", "label").alias("label"))
+    return common.written(out, "labelled")
 
 
 def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -226,7 +238,7 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
     spark = docs.sparkSession
     if bits is None:  # some buckets per shuffle partition even out their sizes
         bits = min(20, max(4, (2 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length()))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(common.NO_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     every = shared_sets(rows, percent, bits)
     live = every.filter("take > 0")
 
@@ -242,25 +254,22 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
     members = named.join(named.groupBy("prefix").agg(F.min("id").alias("group")), "prefix").select("id", "group")
     members = common.written(members, "groups")
     heads = members.filter("id = group").select("group")
-    posts = sets.join(heads, F.col("id") == F.col("group")).select(
-        "group", "n", "alone", F.posexplode(F.slice("tokens", 1, F.col("take").cast("int"))).alias("k", "token"))
-    posts = posts.select("token", "group", "n", (F.col("alone") + F.col("k")).alias("place"))
+    # each posting also has the shingle before it in its prefix: two sets that share it met there already
+    mine = F.slice("tokens", 1, F.col("take").cast("int"))
+    shifted = F.concat(F.array(F.lit(None).cast("long")), F.slice("tokens", 1, (F.col("take") - 1).cast("int")))
+    posts = sets.join(heads, F.col("id") == F.col("group")).select("group", "n", "alone", F.posexplode(F.arrays_zip(mine.alias("token"), shifted.alias("prev"))).alias("k", "t"))
+    posts = posts.select("t.token", "group", "n", (F.col("alone") + F.col("k")).alias("place"), "t.prev").filter("token is not null")
     lists = posts.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token")
     posts = common.written(posts.join(lists, "token"), "postings")
 
     # within groups: members meet the group's head
-    links = verified(members.filter("id <> group").select(F.col("group").alias("a"), F.col("id").alias("b")), sets, percent)
-    links = common.written(links, "links")
-
-    def labelled(links: DataFrame) -> DataFrame:
-        """id, group, label of all members."""
-        found = components(links)
-        return common.written(members.join(found, "id", "left").select("id", "group", F.coalesce("label", "id").alias("label")), "labelled")
+    labels = members.withColumn("label", F.col("id"))
+    labels = merged(labels, verified(members.filter("id <> group").select(F.col("group").alias("a"), F.col("id").alias("b")), sets, percent))
 
     def unfinished(posts: DataFrame, labels: DataFrame) -> DataFrame:
         """Postings of lists whose members are not all connected, with their groups' labels."""
         of_group = labels.groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        marked = posts.join(of_group, "group")
+        marked = posts.select("token", "group", "n", "place", "prev").join(of_group, "group")
         rest = marked.groupBy("token").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).filter("l < h").select("token")
         return common.written(marked.join(rest, "token"), "unfinished")
 
@@ -270,19 +279,19 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
         y = labels.select(F.col("group").alias("y"), F.col("id").alias("b"), F.col("label").alias("lb"))
         return groups.join(x, "x").join(y, "y").filter("la <> lb").select("a", "b")
 
-    labels = labelled(links)
-    for _ in range(rounds):
+    # rounds only connect cheaply: a group meets one pivot, the one that most of its lists have
+    for i in range(rounds):
         posts = unfinished(posts, labels)
         if posts.isEmpty():
             break
-        pivots = posts.groupBy("token").agg(F.min(F.struct("group", "n", "place", "lo", "hi")).alias("p"))
+        pick = F.min if i % 2 == 0 else F.max
+        pivots = posts.groupBy("token").agg(pick(F.struct("group", "n", "place", "prev", "lo", "hi")).alias("p"))
         pivots = pivots.select("token", "p.*").alias("y")
         met = posts.alias("x").join(pivots, F.col("x.token") == F.col("y.token")).filter(F.col("x.group") != F.col("y.group"))
         open_ = ~((F.col("x.lo") == F.col("x.hi")) & (F.col("x.hi") == F.col("y.lo")) & (F.col("y.lo") == F.col("y.hi")))
-        groups = met.filter(could_link(percent) & open_).select(F.col("x.group").alias("x"), F.col("y.group").alias("y")).distinct()
-        links = common.written(links.union(verified(expanded(groups, labels), sets, percent)), "links")
-        posts = met.select("x.token", "x.group", "x.n", "x.place")
-        labels = labelled(links)
+        votes = met.filter(could_link(percent) & open_).groupBy(F.col("x.group").alias("x"), F.col("y.group").alias("y")).agg(F.count(F.lit(1)).alias("votes"))
+        groups = votes.groupBy("x").agg(F.max_by("y", F.struct("votes", "y")).alias("y"))
+        labels = merged(labels, verified(expanded(groups, labels), sets, percent))
 
     # the rest: all pairs that are not connected yet. In each list, groups of the commonest label meet
     # only the others, so a large connected group makes no pairs with itself.
@@ -299,16 +308,17 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
     groups = met.select(F.col("x.group").alias("x"), F.col("y.group").alias("y")).distinct()
     mixed = labels.groupBy("group").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h").select(F.col("group").alias("x"), F.col("group").alias("y"))
     pairs = expanded(groups.union(mixed), labels)
-    links = common.written(links.union(verified(pairs, sets, percent)), "links")
+    labels = merged(labels, verified(pairs, sets, percent))
 
     # labels back to documents: the class's smallest id, then the component's
     names = sets.select("id", "digest", "doc")
-    label = labelled(links).select("id", "label").join(names, "id")
+    label = labels.select("id", "label").join(names, "id")
     smallest = label.groupBy("label").agg(F.min("doc").alias("component"))
     label = label.join(smallest, "label").select("digest", "component")
     out = every.join(label, "digest", "left")
     own = F.when(F.col("take") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"))
+    named = lambda c: F.nullif(c, F.lit(common.NO_ID))
+    return out.select(named(F.col("doc_id")).alias("doc_id"), "n_shingles", named(own).alias("component_id"))
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
