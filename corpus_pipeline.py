@@ -33,12 +33,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: whole passes, and one more where the mix takes at
     least half of its words again. Documents that the mix doesn't reach go."""
-    taken = mixing.mix(docs, carry=())
-    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    times = taken.filter("size > 0").select("doc_id", times.alias("_times")).filter("_times > 0")
-    times = times.groupBy("doc_id").agg(F.max("_times").alias("_times"))
-    out = docs.join(times, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return out.select(*docs.columns)
+    taken = mixing.mix(docs).filter("size > 0")
+    key, copies, copy = (common.free_name(docs, c) for c in ("_id", "_copies", "_copy"))
+    times = taken.groupBy(F.col("doc_id").alias(key)).agg(F.max(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias(copies))
+    out = docs.join(times.filter(F.col(copies) > 0), F.col("doc_id").eqNullSafe(F.col(key)))
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

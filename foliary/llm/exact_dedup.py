@@ -137,16 +137,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The kept rows with all their columns."""
-    spark = docs.sparkSession
-    marks = exact_dedup(docs)
-    place = ["_metadata.file_path", "_metadata.row_index"]
+    file, place = common.free_name(docs, "_file"), common.free_name(docs, "_place")
+    where = [F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(place)]
     try:
-        rows = docs.select("*", F.col(place[0]).alias("_file"), F.col(place[1]).alias("_place"))
+        rows = docs.select("*", *where)
     except AnalysisException:
-        rows = common.written(docs, "documents").select("*", F.col(place[0]).alias("_file"), F.col(place[1]).alias("_place"))
-        marks = exact_dedup(rows.drop("_file", "_place"))
-    kept = marks.filter("kept").select(F.col("file").alias("_file"), F.col("place").alias("_place"))
-    return rows.join(kept, ["_file", "_place"], "left_semi").select(*docs.columns)
+        docs = common.written(docs, "documents")
+        rows = docs.select("*", *where)
+    kept = exact_dedup(docs).filter("kept").select(F.col("file").alias(file), F.col("place").alias(place))
+    return rows.join(kept, [file, place], "left_semi").select(*docs.columns)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ with ASCII letters lower-cased; a linear layer and a softmax give the languages.
 are trained by stochastic gradient descent in numpy on a bounded sample of labelled rows. As mean and
 layer are both linear, prediction folds them into one small table: a score per n-gram and
 language. A temperature fitted on rows the training did not see calibrates the softmax, and a
-document is rejected if its calibrated confidence lies below what all but `reject` of those rows reach.
+document is rejected if its calibrated confidence lies below what all but `reject` of those rows reach,
+and little above an even chance.
 
 Cases: a null text, or one without a letter, is `und` with score 0 and rejected; rows with a null
 language are predicted but not learned from; with nothing to learn from, every row is `und`;
@@ -52,7 +53,7 @@ def counted(text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
     for lo in range(0, len(data), SLICE):
         for g in grams(data[max(0, lo - max(ORDERS) + 1) : lo + SLICE] if lo else data[:SLICE], bits):
             total += np.bincount(g, minlength=1 << bits)
-    at = np.flatnonzero(total)
+    at = np.flatnonzero(total).astype(np.int32)
     return at, (total[at] / max(1, total.sum())).astype(np.float32)
 
 
@@ -103,7 +104,8 @@ def calibrate(scores: np.ndarray, labels: np.ndarray, reject: float) -> tuple[fl
 
     best = min(np.geomspace(0.02, 5, 60), key=lambda t: -(aim * log_p(t)).sum())
     top = np.exp(log_p(best)).max(axis=1)
-    return float(best), float(min(0.5, np.quantile(top, reject)))
+    # mixed texts are texts too: no bound lies far above the even chance of 1 / classes
+    return float(best), float(min(1 / classes + (1 - 1 / classes) / 8, np.quantile(top, reject)))
 
 
 class Model:
@@ -168,7 +170,7 @@ def held_out(doc_id) -> F.Column:
 
 
 def fit(
-    docs: DataFrame, most_rows: int = 1000, most_languages: int = 200, bits: int = 15, reject: float = 0.0005,
+    docs: DataFrame, most_rows: int = 500, most_languages: int = 200, bits: int = 15, reject: float = 0.0005,
     id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
 ) -> Model:
     """Fit on at most `most_rows` rows of each of the `most_languages` commonest labels, drawn by a hash of
@@ -204,8 +206,9 @@ def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
         for texts in batches:
             yield sent.value.predict(texts)
 
-    found = docs.drop("lang_pred", "score", "rejected").withColumn("_found", predict(F.col(text_col)))
-    return found.select(*[c for c in found.columns if c != "_found"], "_found.*")
+    rest = docs.drop("lang_pred", "score", "rejected")
+    name = common.free_name(rest, "_found")
+    return rest.withColumn(name, predict(F.col(text_col))).select(*rest.columns, f"{name}.*")
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
