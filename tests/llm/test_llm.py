@@ -202,6 +202,18 @@ def test_passages(spark, odd, none):
     assert {(7, 6), (8, 6), (9, 6)} <= pairs
 
 
+def test_all_passages_of_a_pair(spark):
+    one, two = prose(40, 60), prose(41, 60)
+    broken = one.split()
+    broken[::6] = prose(42, 10).split()
+    rows = [(0, one + " " + prose(43, 25) + " " + two), (1, one + " " + prose(44, 25) + " " + two)]  # the gap leaves one region
+    rows += [(2, " ".join(broken) + " " + prose(45, 30) + " " + prose(46, 60)), (3, prose(46, 60))]
+    got = passages.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["match_id"], r["start_word"], r["n_words"], r["match_start"]) for r in got) == [(1, 0, 0, 60, 0), (1, 0, 85, 60, 85), (3, 2, 0, 60, 90)]
+    a, b = (shingles.text_shingles([t])[0] for t in (one, " ".join(broken) + " " + prose(47, 90) + " " + one))
+    assert passages.matches(a, b, 46, 75) == [(0, 55, 150, 205, 1.0)]  # not the first place of each shingle
+
+
 def test_compact_windows_are_those_of_the_definition():
     r = np.random.default_rng(5)
     s, doc, width = r.integers(0, 2**63, 120, dtype=np.uint64), np.repeat([0, 1, 2], [70, 5, 45]), 8
