@@ -214,6 +214,22 @@ def test_all_passages_of_a_pair(spark):
     assert passages.matches(a, b, 46, 75) == [(0, 55, 150, 205, 1.0)]  # not the first place of each shingle
 
 
+def led_passage(seed, line=25):
+    """50 words in whose first `line` lie the minima of all functions, so that whoever has those leads its lists."""
+    for k in itertools.count(seed):
+        s = shingles.text_shingles([prose(k, 50)])[0]
+        if all(shingles.mixed(s ^ shingles.mixed(np.uint64([f + 1]))).argmin() <= line - shingles.WIDTH for f in range(passages.HASHES)):
+            return prose(k, 50)
+
+
+def test_a_matched_template_keeps_other_passages_of_the_pair(spark):
+    template, other = prose(50, 60), led_passage(1000)
+    line = " ".join(other.split()[:25])
+    texts = [template + " " + prose(51, 60) + " " + line + " " + prose(52, 60), prose(53, 60) + " " + other + " " + prose(54, 60), template + " " + prose(55, 60) + " " + other + " " + prose(56, 60)]
+    got = passages.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["match_id"], r["start_word"], r["n_words"]) for r in got) == [(2, 0, 0, 60), (2, 1, 120, 50)]
+
+
 def test_compact_windows_are_those_of_the_definition():
     r = np.random.default_rng(5)
     s, doc, width = r.integers(0, 2**63, 120, dtype=np.uint64), np.repeat([0, 1, 2], [70, 5, 45]), 8
