@@ -230,6 +230,27 @@ def test_a_matched_template_keeps_other_passages_of_the_pair(spark):
     assert sorted((r["doc_id"], r["match_id"], r["start_word"], r["n_words"]) for r in got) == [(2, 0, 0, 60), (2, 1, 120, 50)]
 
 
+def test_repeats_are_found_whoever_leads_the_lists(spark):
+    other = led_passage(1000)
+    line = " ".join(other.split()[:25])
+    texts = [prose(60 + k, 60) + " " + line + " " + prose(80 + k, 60) for k in range(6)]  # more than there are rounds
+    texts += [prose(100 + k, 60 + k) + " " + other + " " + prose(110 + k, 60) for k in range(3)]
+    got = passages.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["match_id"], r["start_word"], r["n_words"], r["match_start"], r["similarity"]) for r in got) == [(7, 6, 61, 50, 60, 1.0), (8, 6, 62, 50, 60, 1.0)]
+
+
+@pytest.mark.parametrize("place", [0, 10, 22, 23, 45])
+def test_repeated_runs_share_a_half(spark, place):
+    """Wherever the minimum of the passage lies."""
+    lowest = lambda k: int(shingles.mixed(shingles.text_shingles([prose(k, 50)])[0] ^ shingles.mixed(np.uint64([1]))).argmin())
+    other = prose(next(k for k in itertools.count(2000) if lowest(k) == place), 50)
+    rows = [(k, prose(120 + k, 40) + " " + other + " " + prose(130 + k, 40), "x") for k in range(2)] + [(2, None, "x"), (3, other, "x"), (4, "short", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, sig string").select("doc_id", "text")
+    every = df.mapInArrow(passages.window_batches(46), passages.WINDOWS)
+    got = passages.repeated_runs(every, df, 46).collect()
+    assert sorted((r["doc_id"], r["c"], r["pivot"], r["pc"]) for r in got) == [(1, 40, 0, 40), (3, 0, 0, 40)]
+
+
 def test_compact_windows_are_those_of_the_definition():
     r = np.random.default_rng(5)
     s, doc, width = r.integers(0, 2**63, 120, dtype=np.uint64), np.repeat([0, 1, 2], [70, 5, 45]), 8
