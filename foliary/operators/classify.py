@@ -134,6 +134,15 @@ def validate_destinations(spark: SparkSession, rules: list[tuple] = DOC_TYPES, t
     return used.join(flatten_template(spark, templates), ["template", "path"], "left_anti").select("name", "template", "path")
 
 
+def validate_routes(rows: DataFrame, rules: list[tuple] = DOC_TYPES, templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
+    """Rows (template, type_rank) with the path their type routes to (null: none) and whether their template has it."""
+    t = doc_types(rows.sparkSession, rules).select(F.col("rank").alias("type_rank"), "dest_foreclosure", "dest_fcra")
+    there = flatten_template(rows.sparkSession, templates).withColumn("_there", F.lit(True))
+    path = F.when(F.col("template") == "FCRA", F.col("dest_fcra")).otherwise(F.col("dest_foreclosure"))
+    routed = rows.join(F.broadcast(t), "type_rank", "left").withColumn("path", path).drop("dest_foreclosure", "dest_fcra")
+    return routed.join(F.broadcast(there), ["template", "path"], "left").withColumn("valid", F.when(F.col("path").isNotNull(), F.coalesce("_there", F.lit(False)))).drop("_there")
+
+
 def template_for_matter(kind: Column) -> Column:
     return F.when(kind.isin(FCRA_KINDS), "FCRA").otherwise("Foreclosure")
 

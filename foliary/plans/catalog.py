@@ -129,6 +129,13 @@ def _(spark, sf):
     return d.select("id", F.array_join(names.extract_state_indexes(F.col("name")), ",").alias("numbers"))
 
 
+@query("extract_state_indexes_all", """SELECT id, CASE WHEN starts_with(id, 'D') AND contains(name, 'Index# ') THEN CAST(712000 + CAST(substr(id, 2) AS BIGINT) AS STRING) || '-' || CAST(2010 + CAST(substr(id, 2) AS BIGINT) % 12 AS STRING)
+  WHEN starts_with(id, 'N') AND split_part(name, ' - ', -1) <> '0' THEN split_part(name, ' - ', -1) WHEN starts_with(id, 'S') AND contains(name, ' (Foreclosure)') THEN split_part(name, ' ', 1)
+  WHEN starts_with(id, 'F') AND regexp_matches(name, ' 534[0-9]{3}_2020.pdf') THEN regexp_extract(name, ' (534[0-9]{3})_2020.pdf', 1) || '-2020' ELSE '' END AS numbers FROM drive_items""", ("drive_items",))
+def _(spark, sf):
+    return view(spark, sf, "drive_items").select("id", F.array_join(names.extract_state_indexes(F.col("name")), ",").alias("numbers"))
+
+
 @query("extract_case_numbers")
 def _(spark, sf):
     d = view(spark, sf, "doc_texts")
@@ -196,6 +203,12 @@ def _(spark, sf):
     return d.select("doc_id", F.md5("r.text").alias("text_md5"), F.col("r.failure").alias("failure"))
 
 
+@query("decode_text_all", "SELECT doc_id, md5(coalesce(text, '')) AS text_md5, CASE WHEN text IS NULL OR trim(text) = '' THEN 'the text file is empty' ELSE '' END AS failure FROM documents")
+def _(spark, sf):
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", helpers.decode_text(F.encode("text", "UTF-8")).alias("r"))
+    return d.select("doc_id", F.md5("r.text").alias("text_md5"), F.col("r.failure").alias("failure"))
+
+
 @query("html_to_text")
 def _(spark, sf):
     p = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", helpers.html_to_text(F.col("html")).alias("text"))
@@ -214,6 +227,11 @@ def _(spark, sf):
     return m.select("matter_id", F.array_join(F.filter(names.address_keys(F.col("matter")), lambda k: k.endswith("alpha")), ",").alias("keys"))
 
 
+@query("address_keys_all")
+def _(spark, sf):
+    return view(spark, sf, "matters").select("matter_id", F.array_join(names.address_keys(F.col("matter")), ",").alias("keys"))
+
+
 @query("matter_markers", "SELECT matter_id, CASE WHEN matter_id % 6 = 2 AND case_type = 'RESPA' THEN 'appeal,respa' WHEN matter_id % 6 = 2 THEN 'appeal' WHEN case_type = 'RESPA' THEN 'respa' ELSE '' END AS markers FROM matters", ("matters",))
 def _(spark, sf):
     return view(spark, sf, "matters").select("matter_id", F.array_join(names.matter_markers(F.col("matter")), ",").alias("markers"))
@@ -381,6 +399,11 @@ def _(spark, sf):
     return view(spark, sf, "case_folders").select("folder", F.lit(1).alias("_k")).join(F.broadcast(bad), "_k").drop("_k")
 
 
+@query("validate_routes")
+def _(spark, sf):
+    return classify.validate_routes(classify.with_name_type(view(spark, sf, "file_listing"), "name", "type_rank")).select("id", "path", "valid")
+
+
 @query("infer_case_template", TREE + " SELECT client_folder, CASE WHEN bool_or(level = 3 AND starts_with(name, '02_FCRA')) THEN 'FCRA' ELSE 'Foreclosure' END AS template FROM tree GROUP BY client_folder", ("drive_items",))
 def _(spark, sf):
     return classify.infer_case_template(tree(spark, sf))
