@@ -29,9 +29,9 @@ DELTA = "source string, lang string, tokenizer string, docs long, tokens long"
 def bpe_counter(path: str):
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ids = tokens.encoder(path).ids
+        encode = tokens.encoder(path).batches
         for texts in batches:
-            yield pd.Series([len(ids(t)) // 4 for t in texts], dtype="int64")
+            yield pd.Series([len(x) // 4 for _, blobs in encode(list(texts)) for x in blobs], dtype="int64")
 
     return count
 

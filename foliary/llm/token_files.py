@@ -26,15 +26,14 @@ SCHEMA = "doc_id long, n_tokens long, ids array<int>"
 
 def encode_batches(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = tokens.encoder(path).ids, np.array([end_id], dtype="<u4").tobytes()
+        encode, end = tokens.encoder(path).batches, np.array([end_id], dtype="<u4").tobytes()
         for b in batches:
-            ids, texts = b.column("doc_id"), b.column("text")
-            for k in range(0, len(b), 256):  # bounded output
-                blobs = [encode(t) + end for t in texts[k : k + 256].to_pylist()]
-                ends = np.cumsum([0, *(len(x) // 4 for x in blobs)])
-                flat = pa.array(np.frombuffer(b"".join(blobs), dtype="<i4"), type=pa.int32())
+            ids = b.column("doc_id")
+            for at, blobs in encode(b.column("text").to_pylist()):  # bounded output
+                ends = np.cumsum([0, *(len(x) // 4 + 1 for x in blobs)])
+                flat = pa.array(np.frombuffer(b"".join(x + end for x in blobs), dtype="<i4"), type=pa.int32())
                 lists = pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), flat)
-                yield pa.RecordBatch.from_arrays([ids[k : k + 256], pa.array(np.diff(ends), type=pa.int64()), lists], names=["doc_id", "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([ids[at : at + len(blobs)], pa.array(np.diff(ends), type=pa.int64()), lists], names=["doc_id", "n_tokens", "ids"])
 
     return run
 
