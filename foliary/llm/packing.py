@@ -1,18 +1,22 @@
 """Best-fit packing of token sequences by hierarchical residual packing.
 
 Each input partition tokenizes its documents, cuts longer ones and packs its pieces best-fit
-decreasing. Bins that are full to within `slack` tokens are final. Underfull bins become items
-of the next round: groups of `fan_in` partitions merge, best-fit again, and so up the tree, until one
-group is left or a round no longer lowers the number of open bins. A task holds only a few
-integers per piece, and only of the bins of its group that are still open.
+decreasing. Bins that are full to within `slack` tokens are final. Underfull bins become items, one row a bin,
+of the next round: they are dealt into groups of about `most_items`, each packed best-fit, and so up the tree, until
+no two open bins anywhere fit into one. What can't fit any other open bin leaves the tree at once. When
+more than one group was packed, at most one bin a group is half empty, and one group of those and of as
+many bins with the most room settles the rest; so no group holds more than about `most_items` rows, however many
+partitions there are. The driver sees a histogram of bin lengths alone, `capacity` rows at most.
 
 Cases: a null text is empty and gives one piece, the end id alone; a document of exactly the
-capacity is one piece; equal rows are packed one by one; ties go to the bin opened first; an
-empty table gives no rows; columns other than identifier and text are not read.
+capacity is one piece; a very long text is cut into as many pieces as it needs, by the one task that reads it;
+equal rows are packed one by one; ties go to the bin opened first; an empty table gives no rows; columns
+other than identifier and text are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +29,8 @@ from pyspark.sql import functions as F
 from . import common, tokens
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
-BIN = "part long, bin long, offset long, bin_length long"
+BIN = "bin long, offset long, bin_length long"
+PLACED = "bin long, into long, shift long, bin_length long"
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -57,13 +62,14 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 
 def cut(texts: pd.Series, ids: pd.Series, path: str, capacity: int, end_id: int) -> pd.DataFrame:
-    encode, end, out = tokens.encoder(path).ids, np.array([end_id], dtype="<u4").tobytes(), []
-    width = 4 * capacity
-    for doc, text in zip(ids, texts):
-        blob = encode(text) + end
-        for k in range(0, len(blob), width):
-            part = blob[k : k + width]
-            out.append((doc, k // width, k // 4, len(part) // 4, zlib.crc32(part)))
+    encode, end, out = tokens.encoder(path).batches, np.array([end_id], dtype="<u4").tobytes(), []
+    width, docs = 4 * capacity, ids.tolist()
+    for at, blobs in encode(texts.tolist()):
+        for doc, blob in zip(docs[at:], blobs):
+            blob += end
+            for k in range(0, len(blob), width):
+                part = blob[k : k + width]
+                out.append((doc, k // width, k // 4, len(part) // 4, zlib.crc32(part)))
     return pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
 
@@ -72,8 +78,8 @@ def first_round(path: str, capacity: int, end_id: int):
         made = [cut(b["text"], b["doc_id"], path, capacity, end_id) for b in batches]
         rows = pd.concat(made) if made else pd.DataFrame()
         if len(rows):
-            rows["part"] = TaskContext.get().partitionId()
-            rows["bin"], rows["offset"] = best_fit(rows["length"].to_numpy(), capacity)
+            bins, rows["offset"] = best_fit(rows["length"].to_numpy(), capacity)
+            rows["bin"] = (TaskContext.get().partitionId() << 32) + bins
             rows["bin_length"] = rows.groupby("bin")["length"].transform("sum")
             yield rows
 
@@ -81,48 +87,70 @@ def first_round(path: str, capacity: int, end_id: int):
 
 
 def next_round(capacity: int):
+    """Bins of a group as items: into which bin each goes, named by the smallest of its bins, and where."""
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["part", "bin", "offset"], kind="stable")
-        key = rows[["part", "bin"]].to_numpy()
-        new = np.r_[True, (key[1:] != key[:-1]).any(axis=1)]
-        item = np.cumsum(new) - 1
-        bins, offsets = best_fit(rows["bin_length"].to_numpy()[new], capacity)
-        rows = rows.assign(part=rows["node"], bin=bins[item], offset=rows["offset"].to_numpy() + offsets[item])
-        rows["bin_length"] = rows.groupby("bin")["length"].transform("sum")
-        return rows.drop(columns="node")
+        rows = rows.sort_values("bin", kind="stable")
+        bins, shift = best_fit(rows["bin_length"].to_numpy(), capacity)
+        rows = rows.assign(new=bins, shift=shift)
+        whole = rows.groupby("new")
+        return pd.DataFrame({"bin": rows["bin"], "into": whole["bin"].transform("min"), "shift": shift, "bin_length": whole["bin_length"].transform("sum")})
 
     return run
 
 
+def longest_to_merge(lengths: dict[int, int], capacity: int, most_items: int, again: bool) -> int:
+    """Bins up to this length can still merge with another; 0 if no two bins can. `lengths` counts bins by length."""
+    order = sorted(lengths)
+    two = [n for n in order for _ in range(min(2, lengths[n]))][:2]
+    if len(two) < 2 or sum(two) > capacity:
+        return 0
+    reach = capacity - two[0]
+    if again and sum(c for n, c in lengths.items() if n <= reach) > most_items:
+        # only a bin that is half empty can take another: as many partners as there are of those will do
+        small = sum(c for n, c in lengths.items() if n <= capacity // 2)
+        for n in order:
+            if n > capacity // 2:
+                small -= lengths[n]
+            if n >= reach or n > capacity // 2 and small <= 0:
+                return min(n, reach)
+    return reach
+
+
+def merged(bins: DataFrame, capacity: int, most_items: int) -> DataFrame:
+    """Where each open bin (bin, bin_length) ends: bin, into, shift, bin_length. Bins that stay alone are in it too."""
+    placed = bins.select("bin", F.col("bin").alias("into"), F.lit(0).cast("long").alias("shift"), "bin_length")
+    for level in itertools.count():
+        heads = placed.filter("bin = into").select("bin", "bin_length")
+        lengths = {r["bin_length"]: r["count"] for r in heads.groupBy("bin_length").count().collect()}
+        reach = longest_to_merge(lengths, capacity, most_items, level > 0)
+        if not reach:
+            return placed
+        rows = sum(c for n, c in lengths.items() if n <= reach)
+        group = F.pmod(F.xxhash64("bin", F.lit(level)), F.lit(-(-rows // most_items))).alias("group")
+        dealt = heads.filter(F.col("bin_length") <= reach).select("*", group)
+        step = common.written(dealt.groupBy("group").applyInPandas(next_round(capacity), PLACED), "bins")
+        step = step.select(F.col("bin").alias("into"), F.col("into").alias("_into"), F.col("shift").alias("_shift"), F.col("bin_length").alias("_length"))
+        moved = placed.join(step, "into", "left")
+        moved = moved.select("bin", F.coalesce("_into", "into").alias("into"), (F.col("shift") + F.coalesce("_shift", F.lit(0))).alias("shift"), F.coalesce("_length", "bin_length").alias("bin_length"))
+        placed = common.written(moved, "placed")
+
+
 def pack(
-    docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, slack: int = 16, fan_in: int = 8,
+    docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, slack: int = 16, most_items: int = 100_000,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, sequence_length."""
-    schema = f"{PIECE}, {BIN}"
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = common.written(texts.mapInPandas(first_round(tokenizer, capacity, end_id), schema), "pieces")
-    done, level = [], 0
+    rows = common.written(texts.mapInPandas(first_round(tokenizer, capacity, end_id), f"{PIECE}, {BIN}"), "pieces")
     full = F.col("bin_length") >= capacity - slack
-    groups = (rows.agg(F.max("part")).first()[0] or 0) + 1
-    open_bins = None
-    while True:
-        bins = rows.filter(~full).select("part", "bin").distinct().count()
-        if groups == 1 or bins < 2 or open_bins == bins:
-            done.append(rows.withColumn("level", F.lit(level)))
-            break
-        open_bins = bins
-        done.append(rows.filter(full).withColumn("level", F.lit(level)))
-        groups = -(-groups // fan_in)
-        node = F.floor(F.col("part") / fan_in).alias("node")
-        merged = rows.filter(~full).select("*", node).groupBy("node").applyInPandas(next_round(capacity), schema)
-        rows, level = common.written(merged, "bins"), level + 1
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    # level, part and bin make the number; a level has under 2**24 parts and a part under 2**32 bins
-    number = F.shiftleft(F.col("level").cast("long"), 56) + F.shiftleft(F.col("part"), 32) + F.col("bin")
-    return out.select("doc_id", "piece", "start", "length", "ids_crc32", number.alias("sequence_id"), "offset", F.col("bin_length").alias("sequence_length"))
+    piece = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    done = rows.filter(full).select(*piece, F.col("bin").alias("sequence_id"), "offset", F.col("bin_length").alias("sequence_length"))
+    bins = rows.filter(~full).filter("offset = 0").select("bin", "bin_length")
+    placed = merged(common.written(bins, "open-bins"), capacity, most_items)
+    left = rows.filter(~full).drop("bin_length").join(placed, "bin")
+    left = left.select(*piece, F.col("into").alias("sequence_id"), (F.col("offset") + F.col("shift")).alias("offset"), F.col("bin_length").alias("sequence_length"))
+    return done.unionByName(left)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

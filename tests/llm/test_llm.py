@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -55,9 +56,15 @@ def clashing(spark):
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_ids_are_the_librarys(name):
     e = tokens.ChunkEncoder(tokens.public_path(name), most_cached=50)
+    plain = Tokenizer.from_file(tokens.public_path(name))
+    ids = lambda t: np.array(plain.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
     strange = ["it's IT'LL 's", "a\n\n b\r\n\tc  ", "x y z", "Σας ΣΑΣ İ", "é é", "<|endoftext|> <|startoftext|>", "1234 5.6,7!!..", "\x1c\x00", "ﬁ ª", "😀", " lead", "trail ", "ofanountan, ofanountan. (ofanountan)"]
-    for t in [x[1] for x in odd_rows() if x[1]] + strange:
-        assert e.ids(t) == e.whole(t), t
+    strange += ["a <|endoftext|> b", "x<|ENDOFTEXT|>", "<|startoftext|>a\nb", "two\nlines, here.\n\nand  more \n so", "\nlead", "end\n", "ein\nübel größe.\nÉté ñ", "a", "\n", " ", "x" * 300 + " y"]
+    texts = [x[1] for x in odd_rows() if x[1]] + strange
+    for t in texts:
+        assert e.ids(t) == ids(t), t
+    assert e.many([None, "", *texts]) == [b"", b"", *map(ids, texts)]
+    assert [x for _, b in e.batches(texts) for x in b] == list(map(ids, texts))
 
 
 # ------------------------------------------------------------------ 1
@@ -124,6 +131,29 @@ def test_packing(spark, odd, capacity):
     assert len(bins) <= total / capacity * 1.3 + 2
 
 
+@pytest.mark.parametrize("most_items", [8, 100_000])
+def test_no_two_open_bins_fit(spark, most_items):
+    """However small the groups: every bin is in one place, none overlaps, and no two could be one."""
+    r = random.Random(most_items)
+    sizes = [r.choice([3, 30, 51, 55, 60, 70, 85]) for _ in range(900)]
+    got = packing.merged(spark.createDataFrame(list(enumerate(sizes)), "bin long, bin_length long"), 100, most_items).collect()
+    assert sorted(x["bin"] for x in got) == list(range(900))
+    bins = {}
+    for x in got:
+        bins.setdefault(x["into"], []).append((x["shift"], sizes[x["bin"]], x["bin_length"]))
+    for b in bins.values():
+        assert all(s == sum(n for _, n, _ in sorted(b)[:i]) for i, (s, _, _) in enumerate(sorted(b)))
+        assert {w for _, _, w in b} == {sum(n for _, n, _ in b)} and b[0][2] <= 100
+    two = sorted(b[0][2] for b in bins.values())[:2]
+    assert sum(two) > 100
+
+
+def test_what_can_still_merge():
+    assert packing.longest_to_merge({60: 5}, 100, 10, False) == 0 and packing.longest_to_merge({30: 1}, 100, 10, False) == 0
+    assert packing.longest_to_merge({30: 1, 60: 5, 80: 9}, 100, 10, False) == 70
+    assert packing.longest_to_merge({30: 2, 55: 1, 60: 5, 65: 50}, 100, 10, True) == 60
+
+
 def test_packing_nothing(spark, none):
     assert packing.pack(none, tokens.public_path("word_bpe_49k.json")).count() == 0
 
