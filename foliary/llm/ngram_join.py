@@ -13,7 +13,9 @@ with enough such shingles, need none at all.
    sizes collapse into one group; groups are posted under their prefix's shingles and pairs
    are filtered by size and position. Not all pairs of a list are made: in each of `rounds` rounds a
    group meets a pivot of its lists, and lists whose members are connected already rest. Then
-   the pairs of documents not connected yet are made, all of them.
+   the pairs of documents not connected yet are made, all that can link: each set has a signature of
+   `SIGNATURE` bits, one per shingle by its hash, and the bits that one has and the other lacks bound the overlap
+   from above, exactly and inside the join, so near copies that are too far from each other make no pairs.
 3. Verification. Group pairs are expanded to their members, and the overlap counted on whole sets.
 
 Hashes have 40 bits inside a bucket beside the bucket's own: for two unrelated texts of a thousand
@@ -27,6 +29,7 @@ another; an empty table gives no rows; other columns aren't read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -42,10 +45,14 @@ from .shingles import text_shingles
 
 KEY_BITS = 40
 UNIT_BYTES = 6 << 20
+#: Chars of text that send their hashes to one bucket.
+BUCKET_CHARS = 8 << 20
+#: Bits of a set's signature.
+SIGNATURE = 512
 #: of a unit's rows: bucket rows go to buckets, the note goes to the unit's own end
 SENT = "bucket int, unit long, note boolean, keys binary, docs binary, counts binary"
 ANSWER = "unit long, bucket int, note boolean, keys binary, docs binary, counts binary"
-SETS = "doc_id long, n_shingles long, digest binary, alone long, take long, tokens array<long>"
+SETS = "doc_id long, n_shingles long, digest binary, alone long, take long, tokens array<long>, sig array<long>"
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:
@@ -191,9 +198,13 @@ def settle(percent: int):
         take = np.maximum(prefix - alone, 0)
         alive = np.repeat(take > 0, np.diff(ends))
         lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.where(take > 0, np.diff(ends), 0))], type=pa.int32()), pa.array(h[alive].astype(np.int64)))
+        words = SIGNATURE // 64
+        signs = np.zeros(n * words, dtype=np.uint64)
+        np.bitwise_or.at(signs, d * words + (h >> np.uint64(6)).astype(np.int64) % words, np.uint64(1) << (h & np.uint64(63)))
+        signs = pa.FixedSizeListArray.from_arrays(pa.array(signs.view(np.int64)), words).cast(pa.list_(pa.int64()))
         return pa.Table.from_arrays(
-            [pa.array(ids), pa.array(sizes), pa.array(digests, type=pa.binary()), pa.array(alone), pa.array(take), lists],
-            names=["doc_id", "n_shingles", "digest", "alone", "take", "tokens"],
+            [pa.array(ids), pa.array(sizes), pa.array(digests, type=pa.binary()), pa.array(alone), pa.array(take), lists, signs],
+            names=["doc_id", "n_shingles", "digest", "alone", "take", "tokens", "sig"],
         )
 
     return run
@@ -222,6 +233,27 @@ def could_link(percent: int):
     return anew & (100 * small >= percent * large) & ((100 + percent) * room >= percent * (F.col("x.n") + F.col("y.n")))
 
 
+def could_overlap(percent: int, every: str, some: str):
+    """Can a set of x and a set of y share enough? `every` is the signature of what all sets of a side have, `some` of what
+    any has: each bit of x's `every` that y's `some` lacks is a shingle of x, at least, that no set of y has."""
+
+    def lacks(a: str, b: str):
+        bits = [F.bit_count(F.col(f"{a}.{every}")[i].bitwiseAND(F.bitwise_not(F.col(f"{b}.{some}")[i]))) for i in range(SIGNATURE // 64)]
+        return functools.reduce(lambda p, q: p + q, bits)
+
+    most = F.least(F.col("x.shared") - lacks("x", "y"), F.col("y.shared") - lacks("y", "x"))
+    return (100 + percent) * most >= percent * (F.col("x.n") + F.col("y.n"))
+
+
+def of_groups(labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """group, lo, hi (labels of its members), shared (shingles that a member shares with any document), every and some (signatures)."""
+    words = range(SIGNATURE // 64)
+    named = labels.join(sets.select("id", (F.col("n") - F.col("alone")).alias("shared"), "sig"), "id")
+    both = [f(F.col("sig")[i]).alias(f"{name}{i}") for name, f in (("every", F.bit_and), ("some", F.bit_or)) for i in words]
+    found = named.groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("shared").alias("shared"), *both)
+    return found.select("group", "lo", "hi", "shared", *(F.array(*[F.col(f"{name}{i}") for i in words]).alias(name) for name in ("every", "some")))
+
+
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels (id, group, label) after new links (a, b). Only the labels that links join are worked on, so each
     link is used once and what is connected already stays contracted to one node."""
@@ -233,20 +265,20 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return common.written(out, "labelled")
 
 
-def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 3, bits: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per document: doc_id, n_shingles, component_id (the smallest id it reaches by links)."""
-    spark = docs.sparkSession
-    if bits is None:  # some buckets per shuffle partition even out their sizes
-        bits = min(20, max(4, (2 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length()))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(common.NO_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    if bits is None:  # buckets follow the corpus
+        chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+        bits = min(64 - KEY_BITS, max(4, (chars // BUCKET_CHARS).bit_length()))
     every = shared_sets(rows, percent, bits)
     live = every.filter("take > 0")
 
     # classes of equal sets, and groups of classes with identical prefixes and sizes
     classes = live.groupBy("digest").agg(F.min("doc_id").alias("id"))
-    first = live.select("doc_id", "digest", F.col("n_shingles").alias("n"), "alone", "take", "tokens")
+    first = live.select("doc_id", "digest", F.col("n_shingles").alias("n"), "alone", "take", "tokens", "sig")
     first = first.join(classes, (first["doc_id"] == classes["id"]) & (first["digest"] == classes["digest"])).drop(classes["digest"])
-    sets = common.written(first.dropDuplicates(["id", "digest"]).select("id", "digest", "n", "alone", "take", "tokens"), "sets")
+    sets = common.written(first.dropDuplicates(["id", "digest"]).select("id", "digest", "n", "alone", "take", "tokens", "sig"), "sets")
     # rows that repeat an id with different texts have different sets: a set is named by its row here
     sets = common.written(sets.withColumn("doc", F.col("id")).withColumn("id", F.monotonically_increasing_id()), "sets")
     prefix = F.sha2(F.concat_ws(",", F.transform(F.slice("tokens", 1, F.col("take").cast("int")), lambda t: t.cast("string")), F.col("n"), F.col("alone")), 256)
@@ -267,35 +299,40 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
     labels = merged(labels, verified(members.filter("id <> group").select(F.col("group").alias("a"), F.col("id").alias("b")), sets, percent))
 
     def unfinished(posts: DataFrame, labels: DataFrame) -> DataFrame:
-        """Postings of lists whose members are not all connected, with their groups' labels."""
-        of_group = labels.groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        marked = posts.select("token", "group", "n", "place", "prev").join(of_group, "group")
+        """Postings of lists whose members are not all connected, with what is known of their groups."""
+        marked = posts.select("token", "group", "n", "place", "prev").join(labels.groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi")), "group")
         rest = marked.groupBy("token").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).filter("l < h").select("token")
-        return common.written(marked.join(rest, "token"), "unfinished")
+        open_ = common.written(marked.drop("lo", "hi").join(rest, "token"), "unfinished")
+        return open_.join(of_groups(labels.join(open_.select("group").distinct(), "group"), sets), "group")
 
     def expanded(groups: DataFrame, labels: DataFrame) -> DataFrame:
-        """Members of pairs of groups (x, y) that are not connected."""
-        x = labels.select(F.col("group").alias("x"), F.col("id").alias("a"), F.col("label").alias("la"))
-        y = labels.select(F.col("group").alias("y"), F.col("id").alias("b"), F.col("label").alias("lb"))
-        return groups.join(x, "x").join(y, "y").filter("la <> lb").select("a", "b")
+        """Members of pairs of groups (x, y) that are not connected and could link."""
+        facts = sets.select("id", "n", (F.col("n") - F.col("alone")).alias("shared"), "sig")
+        asked = labels.join(groups.select(F.col("x").alias("group")).union(groups.select("y")).distinct(), "group").join(facts, "id")
+        x, y = (asked.select(F.col("group").alias(c), "id", "label", "n", "shared", "sig").alias(c) for c in ("x", "y"))
+        met = groups.alias("g").join(x, F.col("g.x") == F.col("x.x")).join(y, F.col("g.y") == F.col("y.y"))
+        met = met.filter((F.col("x.label") != F.col("y.label")) & could_overlap(percent, "sig", "sig"))
+        return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
-    # rounds only connect cheaply: a group meets one pivot, the one that most of its lists have
+    apart = ~((F.col("x.lo") == F.col("x.hi")) & (F.col("x.hi") == F.col("y.lo")) & (F.col("y.lo") == F.col("y.hi")))
+    possible = could_link(percent) & apart & could_overlap(percent, "every", "some")
+    # rounds only connect cheaply: a group meets one pivot, the one that most of its lists have. The first is the
+    # one with the least of its own, which most of its copies are near to; the others are drawn
     for i in range(rounds):
-        posts = unfinished(posts, labels)
+        posts = common.written(unfinished(posts, labels), "unfinished")
         if posts.isEmpty():
             break
-        pick = F.min if i % 2 == 0 else F.max
-        pivots = posts.groupBy("token").agg(pick(F.struct("group", "n", "place", "prev", "lo", "hi")).alias("p"))
+        own = (F.col("n") - F.col("shared")) / F.col("n") if i == 0 else F.lit(0.0)
+        pivots = posts.groupBy("token").agg(F.min(F.struct(own.alias("own"), F.xxhash64("group", F.lit(i)).alias("draw"), *posts.drop("token").columns)).alias("p"))
         pivots = pivots.select("token", "p.*").alias("y")
         met = posts.alias("x").join(pivots, F.col("x.token") == F.col("y.token")).filter(F.col("x.group") != F.col("y.group"))
-        open_ = ~((F.col("x.lo") == F.col("x.hi")) & (F.col("x.hi") == F.col("y.lo")) & (F.col("y.lo") == F.col("y.hi")))
-        votes = met.filter(could_link(percent) & open_).groupBy(F.col("x.group").alias("x"), F.col("y.group").alias("y")).agg(F.count(F.lit(1)).alias("votes"))
+        votes = met.filter(possible).groupBy(F.col("x.group").alias("x"), F.col("y.group").alias("y")).agg(F.count(F.lit(1)).alias("votes"))
         groups = votes.groupBy("x").agg(F.max_by("y", F.struct("votes", "y")).alias("y"))
         labels = merged(labels, verified(expanded(groups, labels), sets, percent))
 
-    # the rest: all pairs that are not connected yet. In each list, groups of the commonest label meet
-    # only the others, so a large connected group makes no pairs with itself.
-    posts = unfinished(posts, labels)
+    # the rest: all pairs that are not connected yet and could link. In each list, groups of the commonest label
+    # meet only the others, so a large connected group makes no pairs with itself.
+    posts = common.written(unfinished(posts, labels), "unfinished")
     sizes = posts.filter("lo = hi").groupBy("token", "lo").agg(F.count(F.lit(1)).alias("c"))
     commonest = sizes.groupBy("token").agg(F.max_by("lo", F.struct("c", "lo")).alias("top"))
     posts = common.written(posts.join(commonest, "token", "left"), "unfinished")
@@ -303,11 +340,10 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
     few = posts.filter(~F.coalesce(of_top, F.lit(False))).alias("x")
     all_ = posts.withColumn("is_top", F.coalesce(of_top, F.lit(False))).alias("y")
     once = F.col("y.is_top") | (F.col("x.group") < F.col("y.group"))
-    apart = ~((F.col("x.lo") == F.col("x.hi")) & (F.col("x.hi") == F.col("y.lo")) & (F.col("y.lo") == F.col("y.hi")))
-    met = few.join(all_, F.col("x.token") == F.col("y.token")).filter(once & apart & could_link(percent))
+    met = few.join(all_, F.col("x.token") == F.col("y.token")).filter(once & possible)
     groups = met.select(F.col("x.group").alias("x"), F.col("y.group").alias("y")).distinct()
     mixed = labels.groupBy("group").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h").select(F.col("group").alias("x"), F.col("group").alias("y"))
-    pairs = expanded(groups.union(mixed), labels)
+    pairs = expanded(common.written(groups.union(mixed), "pairs"), labels)
     labels = merged(labels, verified(pairs, sets, percent))
 
     # labels back to documents: the class's smallest id, then the component's
