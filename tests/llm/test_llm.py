@@ -248,7 +248,7 @@ def led_passage(seed, line=25):
     """50 words in whose first `line` lie the minima of all functions, so that whoever has those leads its lists."""
     for k in itertools.count(seed):
         s = shingles.text_shingles([prose(k, 50)])[0]
-        if all(shingles.mixed(s ^ shingles.mixed(np.uint64([f + 1]))).argmin() <= line - shingles.WIDTH for f in range(passages.HASHES)):
+        if all(shingles.mixed(s ^ shingles.mixed(np.uint64([f + 1]))).argmin() <= line - shingles.WIDTH for f in range(4)):
             return prose(k, 50)
 
 
@@ -269,18 +269,6 @@ def test_repeats_are_found_whoever_leads_the_lists(spark):
     assert sorted((r["doc_id"], r["match_id"], r["start_word"], r["n_words"], r["match_start"], r["similarity"]) for r in got) == [(7, 6, 61, 50, 60, 1.0), (8, 6, 62, 50, 60, 1.0)]
 
 
-@pytest.mark.parametrize("place", [0, 10, 22, 23, 45])
-def test_repeated_runs_share_a_half(spark, place):
-    """Wherever the minimum of the passage lies."""
-    lowest = lambda k: int(shingles.mixed(shingles.text_shingles([prose(k, 50)])[0] ^ shingles.mixed(np.uint64([1]))).argmin())
-    other = prose(next(k for k in itertools.count(2000) if lowest(k) == place), 50)
-    rows = [(k, prose(120 + k, 40) + " " + other + " " + prose(130 + k, 40), "x") for k in range(2)] + [(2, None, "x"), (3, other, "x"), (4, "short", "x")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, sig string").select("doc_id", "text")
-    every = df.mapInArrow(passages.window_batches(46), passages.WINDOWS)
-    got = passages.repeated_runs(every, df, 46).collect()
-    assert sorted((r["doc_id"], r["c"], r["pivot"], r["pc"]) for r in got) == [(1, 40, 0, 40), (3, 0, 0, 40)]
-
-
 def test_compact_windows_are_those_of_the_definition():
     r = np.random.default_rng(5)
     s, doc, width = r.integers(0, 2**63, 120, dtype=np.uint64), np.repeat([0, 1, 2], [70, 5, 45]), 8
@@ -299,6 +287,69 @@ def test_compact_windows_are_those_of_the_definition():
     assert set(zip(c.tolist(), l.tolist(), rr.tolist())) == want
 
 
+def test_joint_windows_are_runs_with_the_same_minima():
+    r = np.random.default_rng(6)
+    s, doc, run = r.integers(0, 40, 120, dtype=np.uint64), np.repeat([0, 1, 2], [70, 5, 45]), 8
+    sig, starts = passages.joint_windows(s, doc, run)
+    h = [shingles.mixed(s ^ shingles.mixed(np.uint64([k + 1]))) for k in range(passages.HASHES)]
+    minima = {i: tuple(int(x[i : i + run].min()) for x in h) for lo, hi in ((0, 70), (75, 120)) for i in range(lo, hi - run + 1)}
+    of = {}
+    for i in minima:
+        of.setdefault(minima[i], set()).add(int(sig[np.searchsorted(starts, i, side="right") - 1]))
+    assert all(len(x) == 1 for x in of.values()) and len(set.union(*of.values())) == len(of)
+
+
+def brute_passages(rows, width=46, percent=75):
+    """Pairs of rows that have similar windows of `width` shingles, and those that have equal ones."""
+    sets, like, same = [shingles.text_shingles([t])[0] for _, t in rows], set(), set()
+    for (i, a), (j, b) in itertools.combinations(enumerate(sets), 2):
+        bs = [set(b[k : k + width].tolist()) for k in range(len(b) - width + 1)]
+        for k in range(len(a) - width + 1):
+            w = set(a[k : k + width].tolist())
+            if len(w & set(b.tolist())) * (100 + percent) >= 2 * percent * len(w):
+                best = max((len(w & x) / len(w | x) for x in bs), default=0)
+                if 100 * best >= percent:
+                    like.add((rows[j][0], rows[i][0]))
+                if best == 1:
+                    same.add((rows[j][0], rows[i][0]))
+    return like, same
+
+
+def linked(pairs):
+    """Representative of each document that pairs connect."""
+    of = {}
+    find = lambda x: x if of.setdefault(x, x) == x else find(of[x])
+    for a, b in pairs:
+        of[max(find(a), find(b))] = min(find(a), find(b))
+    return {x: find(x) for x in list(of)}
+
+
+@pytest.mark.parametrize("line,own", [(30, 25), (40, 20), (40, 12)])
+def test_passages_against_brute_force(spark, line, own):
+    """Pairs that repeat a passage, most of which all pairs have in common; every other pair has a word changed."""
+    common_line, rows = prose(300 + line, line), []
+    for k in range(16):
+        passage = (common_line + " " + prose(400 + k, own)).split()
+        for side in range(2):
+            if side and k % 2:
+                passage[line + own // 2] = "changed"
+            rows.append((2 * k + side, prose(500 + 2 * k + side, 30 + k) + " " + " ".join(passage) + " " + prose(700 + 2 * k + side, 25)))
+    like, same = brute_passages(rows)
+    got = {(r["doc_id"], r["match_id"]) for r in passages.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got <= like
+    want, found = linked(like), linked(got)
+    assert len(same) >= 8 and all(found.get(a) == found.get(b) is not None for a, b in same)
+    assert sum(found.get(a, a) == found.get(b, b) for a, b in like) >= 0.9 * len(like)
+    assert set(found) <= set(want)
+
+
+def test_rows_of_passages_have_identities_of_their_own(spark):
+    shared = prose(61, 70)
+    rows = [(7, prose(62, 30) + " " + shared), (7, shared + " " + prose(63, 30)), (None, prose(64, 20) + " " + shared), (None, shared), (None, shared), (9, None)]
+    got = sorted(((r["doc_id"] or 0, r["match_id"] or 0) for r in passages.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert len(got) == 3 and {x for p in got for x in p} == {0, 7}
+
+
 # ------------------------------------------------------------------ 6
 def plain_jump(key, n):
     b, j = -1, 0
