@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from tokenizers import Tokenizer
 from pyspark.sql import functions as F
@@ -167,19 +168,40 @@ def test_best_fit_takes_the_tightest_bin():
 def test_language(spark, odd, none):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language.fit(docs)
-    got = language.identified(docs, model).withColumn("held", language.held_out(F.col("doc_id"))).filter("held").collect()
+    got = language.identified(docs, model).select("*", "found.*").withColumn("held", language.held_out(F.col("doc_id"))).filter("held").collect()
     assert sum(r["lang_pred"] == r["lang"] for r in got) >= 0.95 * len(got)
-    found = {r["text"]: r for r in language.identified(odd, model).collect()}
+    found = {r["text"]: r for r in language.identified(odd, model).select("text", "found.*").collect()}
     assert all(found[t]["lang_pred"] == "und" and found[t]["rejected"] for t in (None, "", " \n\t "))
     assert all(0 <= r["score"] <= 1 for r in found.values())
     assert language.identified(none, model).count() == 0
     nothing = language.fit(none)
-    assert {r["lang_pred"] for r in language.identified(odd, nothing).collect()} == {"und"}
+    assert {r["lang_pred"] for r in language.identified(odd, nothing).select("found.*").collect()} == {"und"}
+
+
+def test_junk_is_rejected_and_mixed_texts_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(docs)
+    r, rows = random.Random(5), docs.filter("length(text) > 300").select("lang", "text").collect()
+    junk = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(400)) for _ in range(40)] + ["zxqj vkwq pqzx jjkq " * 20, "x" * 500, "a 0123 4567 8910", "Привет, мир, как дела сегодня", "日本語のテキスト"]
+    mixed = []
+    for _ in range(100):
+        a, b = r.choice(rows), r.choice(rows)
+        if a["lang"] != b["lang"]:
+            mixed.append(a["text"][:1500] + " " + b["text"][:1500])
+    rejected = lambda texts: np.mean(model.predict(pd.Series(texts))["rejected"])
+    assert rejected(junk) >= 0.9 and rejected(mixed) <= 0.05 and rejected([x["text"] for x in rows]) <= 0.01
+
+
+def test_many_languages_need_no_table_for_each(spark):
+    """More labels than dimensions: the layer stays apart; none is left out."""
+    rows = [(40 * k + i, prose(1000 + k, 12) + " " + prose(1000 + k, 12), f"l{k:02}", "s", 1) for k in range(25) for i in range(12)]
+    model = language.fit(spark.createDataFrame(rows, SCHEMA))
+    assert len(model.languages) == 25 and model.layer is not None and model.scores(["ab", rows[0][1]]).shape == (2, 25)
 
 
 def test_scores_of_long_texts_are_those_of_one_pass():
     random_ = np.random.default_rng(1)
-    model = language.Model(["a", "b"], random_.normal(size=(1 << 10, 2)), 1.0, 0.0, 10)
+    model = language.Model(["a", "b"], random_.normal(size=(1 << 10, 2)), 10)
     text = prose(3, 150000)
     at, share = language.counted(text, 10)
     assert np.allclose(model.scores([text, "ab", text])[0], share @ model.table[at], atol=1e-3)
