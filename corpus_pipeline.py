@@ -14,8 +14,9 @@ from foliary.llm import common, exact_dedup, language, mixing, ngram_join, packi
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with enough confidence; the others go."""
-    found = language.identified(docs, language.fit(docs))
-    return found.filter(~F.col("rejected")).select(*docs.columns)
+    name = common.free_name(docs, "found")
+    found = language.identified(docs, language.fit(docs), name)
+    return found.filter(~F.col(name)["rejected"]).select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
