@@ -96,16 +96,49 @@ def test_token_counts(spark, odd, none, tmp_path):
     assert sum(t for _, t in read().values()) == sum(t for _, t in want.values()) - 60000 + 7
 
 
-def test_op1(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").toPandas().sort_values("doc_id").drop_duplicates("text", keep="last")
+def test_late_batches_count_once(spark, odd, tmp_path):
+    """Commits 1 and 3, a fold, then 2: late, but in; replays of folded batches change nothing; a fold that broke off doesn't count."""
+    book = token_counts.Rollup(spark, f"file://{tmp_path}/late")
+    counts = token_counts.counted(odd, {"words": common.words_of}, carry=("doc_id",))
+    part = lambda k: token_counts.signed(counts.filter(F.coalesce(F.col("doc_id"), F.lit(0)) % 3 == k))
+    assert book.commit(1, part(1)) and book.commit(3, part(0))
+    book.compact()
+    assert not book.commit(3, part(0)) and book.commit(2, part(2)) and not book.commit(2, part(2))
+    whole = {tuple(r[:3]): tuple(r[3:]) for r in token_counts.signed(counts).groupBy(*token_counts.KEYS).agg(F.sum("docs"), F.sum("tokens")).collect()}
+    read = lambda: {tuple(r[:3]): tuple(r[3:]) for r in book.totals().collect()}
+    assert read() == whole
+    (tmp_path / "late" / "base" / "fold=1" / "batches").mkdir(parents=True)
+    assert read() == whole
+    book.compact()
+    assert read() == whole and book.folded() == {1, 2, 3} and not book.commit(2, part(2))
+    with pytest.raises(ValueError):
+        book.totals(upto=2)
+
+
+def test_op1(spark, odd, clashing, tmp_path):
     e = tokens.ChunkEncoder(tokens.public_path("byte_bpe_50k.json"))
-    want = {}
-    for r in docs.itertuples():
-        for name, n in (("byte-bpe-1", len(e.ids(r.text)) // 4), ("chars-1", len(r.text))):
-            d, t = want.get((r.source, r.lang, name), (0, 0))
-            want[(r.source, r.lang, name)] = (d + 1, t + n)
-    got = token_counts.op1_token_counts(spark, SF).collect()
-    assert {(r["source"], r["lang"], r["tokenizer"]): (r["docs"], r["tokens"]) for r in got} == want
+    for name, df in (("given", spark.read.parquet(f"{SF}/documents.parquet")), ("odd", odd), ("clashing", clashing)):
+        df.write.parquet(f"file://{tmp_path}/{name}/documents.parquet")
+        want, best = {}, {}
+
+        def add(batch, source, lang, version, docs, n):
+            d, t = want.get((batch, source, lang, version), (0, 0))
+            want[(batch, source, lang, version)] = (d + docs, t + n)
+
+        sizes = lambda t: {"words-1": len(re.findall(common.WORD, t or "")), "byte-bpe-1": len(e.ids(t)) // 4, "chars-1": len(t or "")}
+        # nulls are the smallest of a struct's values
+        rank = lambda x: [(v is not None, v) for v in (x["doc_id"], x["source"], x["lang"])]
+        for r in df.select("doc_id", "text", "source", "lang").collect():
+            for version in ("words-1", "byte-bpe-1"):
+                add(1, r["source"], r["lang"], version, 1, sizes(r["text"])[version])
+            key = r["text"] or ""
+            best[key] = r if key not in best or rank(r) > rank(best[key]) else best[key]
+        for r in best.values():
+            for batch, versions in ((2, ("words-1", "byte-bpe-1")), (3, ("chars-1", "byte-bpe-1"))):
+                for version in versions:
+                    add(batch, r["source"], r["lang"], version, 1, sizes(r["text"])[version])
+        got = token_counts.op1_token_counts(spark, f"file://{tmp_path}/{name}").collect()
+        assert {(r["batch"], r["source"], r["lang"], r["tokenizer"]): (r["docs"], r["tokens"]) for r in got} == want
 
 
 # ------------------------------------------------------------------ 2
