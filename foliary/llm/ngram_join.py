@@ -265,7 +265,7 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return common.written(out, "labelled")
 
 
-def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 3, bits: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per document: doc_id, n_shingles, component_id (the smallest id it reaches by links)."""
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(common.NO_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     if bits is None:  # buckets follow the corpus
@@ -278,9 +278,9 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 3, bits: int |
     classes = live.groupBy("digest").agg(F.min("doc_id").alias("id"))
     first = live.select("doc_id", "digest", F.col("n_shingles").alias("n"), "alone", "take", "tokens", "sig")
     first = first.join(classes, (first["doc_id"] == classes["id"]) & (first["digest"] == classes["digest"])).drop(classes["digest"])
-    sets = common.written(first.dropDuplicates(["id", "digest"]).select("id", "digest", "n", "alone", "take", "tokens", "sig"), "sets")
+    first = first.dropDuplicates(["id", "digest"]).select(F.col("id").alias("doc"), "digest", "n", "alone", "take", "tokens", "sig")
     # rows that repeat an id with different texts have different sets: a set is named by its row here
-    sets = common.written(sets.withColumn("doc", F.col("id")).withColumn("id", F.monotonically_increasing_id()), "sets")
+    sets = common.written(first.withColumn("id", F.monotonically_increasing_id()), "sets")
     prefix = F.sha2(F.concat_ws(",", F.transform(F.slice("tokens", 1, F.col("take").cast("int")), lambda t: t.cast("string")), F.col("n"), F.col("alone")), 256)
     named = sets.select("id", "n", "alone", "take", prefix.alias("prefix"))
     members = named.join(named.groupBy("prefix").agg(F.min("id").alias("group")), "prefix").select("id", "group")
@@ -300,10 +300,9 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 3, bits: int |
 
     def unfinished(posts: DataFrame, labels: DataFrame) -> DataFrame:
         """Postings of lists whose members are not all connected, with what is known of their groups."""
-        marked = posts.select("token", "group", "n", "place", "prev").join(labels.groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi")), "group")
+        marked = posts.select("token", "group", "n", "place", "prev").join(of_groups(labels, sets), "group")
         rest = marked.groupBy("token").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).filter("l < h").select("token")
-        open_ = common.written(marked.drop("lo", "hi").join(rest, "token"), "unfinished")
-        return open_.join(of_groups(labels.join(open_.select("group").distinct(), "group"), sets), "group")
+        return common.written(marked.join(rest, "token"), "unfinished")
 
     def expanded(groups: DataFrame, labels: DataFrame) -> DataFrame:
         """Members of pairs of groups (x, y) that are not connected and could link."""
@@ -319,7 +318,7 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 3, bits: int |
     # rounds only connect cheaply: a group meets one pivot, the one that most of its lists have. The first is the
     # one with the least of its own, which most of its copies are near to; the others are drawn
     for i in range(rounds):
-        posts = common.written(unfinished(posts, labels), "unfinished")
+        posts = unfinished(posts, labels)
         if posts.isEmpty():
             break
         own = (F.col("n") - F.col("shared")) / F.col("n") if i == 0 else F.lit(0.0)
@@ -332,7 +331,7 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 3, bits: int |
 
     # the rest: all pairs that are not connected yet and could link. In each list, groups of the commonest label
     # meet only the others, so a large connected group makes no pairs with itself.
-    posts = common.written(unfinished(posts, labels), "unfinished")
+    posts = unfinished(posts, labels)
     sizes = posts.filter("lo = hi").groupBy("token", "lo").agg(F.count(F.lit(1)).alias("c"))
     commonest = sizes.groupBy("token").agg(F.max_by("lo", F.struct("c", "lo")).alias("top"))
     posts = common.written(posts.join(commonest, "token", "left"), "unfinished")
