@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .helpers import ascii_fold, container_kind
+from .helpers import ascii_fold, entities_decoded
 
 #: Fixed values.
 SSN = r"\b\d{3}-\d{2}-\d{4}\b"
@@ -31,6 +31,7 @@ LABELLED_PASSWORD = r"(?:passwords?|passcodes?|pass|pwd|clave|contrase\w*)\s*(?:
 #: Extensions that say nothing.
 MEANINGLESS = ["", "download", "crdownload", "part", "dat", "tmp", "bin", "file", "unknown"]
 TEXT_LIKE = ["txt", "html", "xml"]
+EXTENSION_LIKE = r"\A[a-z][a-z0-9]{0,5}\z"
 SPACES = r"\s\x{85}\x{a0}\x{1c}-\x{1f}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
@@ -126,6 +127,66 @@ def looks_like_code(text: Column) -> Column:
     return F.when(blank(text), False).otherwise(((signals >= 5) & (density > 0.03)) | (signals >= 30))
 
 
+def decode_text(content: Column) -> Column:
+    """Struct of text and failure: the text of bytes in the first of UTF-8, UTF-16, Windows-1252 and Latin-1 that fits.
+
+    UTF-16 without a byte order mark is little-endian; it fits if the bytes are pairs and no surrogate stands alone."""
+    data = F.coalesce(content, F.lit(b""))
+    latin = F.decode(data, "ISO-8859-1")
+    big = F.hex(F.substring(data, 1, 2)) == "FEFF"
+    marked = big | (F.hex(F.substring(data, 1, 2)) == "FFFE")
+    body = F.when(marked, F.substring(data, 3, 2**31 - 1)).otherwise(data)
+    # one unit of two bytes a word, the high byte first
+    units = F.regexp_replace(F.hex(body), "(..)(..)", F.when(big, F.lit("$1$2 ")).otherwise("$2$1 "))
+    alone = units.rlike("D[89AB].. (?!D[C-F])|(?<!D[89AB].. )D[C-F].. ")
+    pairs = (F.octet_length(data) % 2 == 0) & ~alone
+    wide = F.when(big, F.decode(body, "UTF-16BE")).otherwise(F.decode(body, "UTF-16LE"))
+    moved = {bytes([b]).decode("latin-1"): bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+    known = {k: v for k, v in moved.items() if v}
+    windows = F.translate(latin, "".join(known), "".join(known.values()))
+    unknown = "".join(k for k, v in moved.items() if not v)
+    text = (
+        F.when(F.is_valid_utf8(data.cast("string")), data.cast("string"))
+        .when(pairs, wide)
+        .when(~latin.rlike(f"[{unknown}]"), windows)
+        .otherwise(latin)
+    )
+    none = blank(text)
+    return F.struct(F.when(none, "").otherwise(text).alias("text"), F.when(none, "the text file is empty").otherwise("").alias("failure"))
+
+
+#: Tags whose end breaks the line.
+BLOCK_TAGS = ["p", "div", "br", "tr", "li", "h1", "h2", "h3", "td", "th"]
+
+
+def html_to_text(html: Column) -> Column:
+    """What a page shows: no scripts, styles, comments and tags; pieces between tags stripped and joined by spaces, a line
+    end for each closing block tag or cell, references decoded, never more than two line ends in a row."""
+    shown = F.regexp_replace(html, r"(?is)<!--.*?(?:-->|$)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|$)", "\u0002")
+    shown = F.regexp_replace(shown, rf"(?i)</(?:{'|'.join(BLOCK_TAGS)})\s*>", "\u0002\u0001\u0002")
+    shown = F.regexp_replace(shown, r"""<[a-zA-Z/!?][^<>"']*+(?:(?:"[^"]*"|'[^']*')[^<>"']*+)*+>""", "\u0002")
+    pieces = F.split(entities_decoded(F.coalesce(shown, F.lit(""))), "\u0002+")
+    pieces = F.transform(pieces, lambda p: F.when(p == "\u0001", "\n").otherwise(strip_spaces(p)))
+    return F.regexp_replace(F.array_join(F.filter(pieces, lambda p: p != ""), " "), "\n{3,}", "\n\n")
+
+
+#: What a container's member, or the type that it begins with, tells.
+MEMBERS = {"docx": "word/document.xml", "xlsb": "xl/workbook.bin", "xlsx": "xl/workbook.xml", "pptx": "ppt/presentation.xml"}
+STORED_TYPES = {"odt": "opendocument.text", "ods": "opendocument.spreadsheet"}
+
+
+def container_kind(content: Column) -> Column:
+    """What a zip container holds, by the names in its central directory; `zip` if it tells nothing or is cut off.
+
+    A directory entry is a signature, 24 bytes, the name's length, 16 bytes and the name. An open document begins with
+    a member `mimetype` that is stored as it is."""
+    raw = F.decode(content, "ISO-8859-1")
+    entry = lambda n: rf"PK\x01\x02[\s\S]{{24}}\x{len(n):02x}\x00[\s\S]{{16}}" + n.replace(".", r"\.")
+    begins = lambda kind: r"\APK\x03\x04[\s\S]{22}\x08\x00[\s\S]{2}mimetype[^P]{0,100}" + kind.replace(".", r"\.")
+    found = [(k, entry(n)) for k, n in MEMBERS.items()] + [(k, begins(n)) for k, n in STORED_TYPES.items()]
+    return F.coalesce(*[F.when(raw.rlike(pattern), F.lit(k)) for k, pattern in found], F.lit("zip"))
+
+
 def magic_kind(content: Column, look_inside: bool = True) -> Column:
     """Kind of bytes by their first bytes, null if unknown."""
     head = F.hex(F.substring(content, 1, 16))
@@ -165,11 +226,13 @@ def _any(conditions: list[Column]) -> Column:
 
 
 def sniff_content(content: Column, extension: Column, look_inside: bool = True) -> Column:
-    """The real extension by content; text-like answers count only where the given one says nothing."""
+    """The real extension by content. Text-like answers don't count where the given extension says something: it is
+    no placeholder, and short as extensions are, not the rest of a name with a full stop in it."""
     kind = magic_kind(content, look_inside)
     apple_double = F.hex(F.substring(content, 1, 4)) == "00051607"
-    says_nothing = F.lower(F.coalesce(extension, F.lit(""))).isin(MEANINGLESS)
-    return F.when(apple_double, "appledouble").when(kind.isin(TEXT_LIKE) & ~says_nothing, extension).otherwise(kind)
+    given = F.lower(F.coalesce(extension, F.lit("")))
+    says_something = ~given.isin(MEANINGLESS) & given.rlike(EXTENSION_LIKE)
+    return F.when(apple_double, "appledouble").when(kind.isin(TEXT_LIKE) & says_something, extension).otherwise(kind)
 
 
 def password_candidates(text: Column) -> Column:

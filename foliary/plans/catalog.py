@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import helpers, names, text
+from ..functions import names, text
 from ..operators import assemble, classify, identity, indexes, journal, reports, staging
 from ..rules.doc_types import DOC_TYPES
 from ..rules.folders import FOLDER_PATTERNS, FOLDERS, TEMPLATES
@@ -199,19 +199,19 @@ def _(spark, sf):
 
 @query("decode_text", "SELECT doc_id, md5(text) AS text_md5, CASE WHEN text IS NULL OR trim(text) = '' THEN 'the text file is empty' ELSE '' END AS failure FROM documents WHERE text IS NOT NULL")
 def _(spark, sf):
-    d = spark.read.parquet(f"{sf}/documents.parquet").filter("text is not null").select("doc_id", helpers.decode_text(F.encode("text", "UTF-8")).alias("r"))
+    d = spark.read.parquet(f"{sf}/documents.parquet").filter("text is not null").select("doc_id", text.decode_text(F.encode("text", "UTF-8")).alias("r"))
     return d.select("doc_id", F.md5("r.text").alias("text_md5"), F.col("r.failure").alias("failure"))
 
 
 @query("decode_text_all", "SELECT doc_id, md5(coalesce(text, '')) AS text_md5, CASE WHEN text IS NULL OR trim(text) = '' THEN 'the text file is empty' ELSE '' END AS failure FROM documents")
 def _(spark, sf):
-    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", helpers.decode_text(F.encode("text", "UTF-8")).alias("r"))
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", text.decode_text(F.encode("text", "UTF-8")).alias("r"))
     return d.select("doc_id", F.md5("r.text").alias("text_md5"), F.col("r.failure").alias("failure"))
 
 
 @query("html_to_text")
 def _(spark, sf):
-    p = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", helpers.html_to_text(F.col("html")).alias("text"))
+    p = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", text.html_to_text(F.col("html")).alias("text"))
     return p.select("page_id", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 

@@ -1,9 +1,12 @@
 """Golden cases of the functions, with invented names."""
 
+import io
+import zipfile
+
 import pytest
 from pyspark.sql import functions as F
 
-from foliary.functions import helpers, names, text
+from foliary.functions import names, text
 
 
 def one(spark, make, **values):
@@ -79,6 +82,43 @@ def test_sniff(spark, data, kind):
     assert df.select(text.sniff_content(F.col("d"), F.col("e")).alias("x")).first()["x"] == kind
 
 
+@pytest.mark.parametrize("given, kind", [("txt", "txt"), ("css", "css"), ("final version", "txt"), ("2019", "txt"), ("", "txt"), ("DAT", "txt"), ("toolongext", "txt")])
+def test_sniff_heeds_extensions_that_say_something(spark, given, kind):
+    df = spark.createDataFrame([(b"plain text here, and more", given)], "d binary, e string")
+    assert df.select(text.sniff_content(F.col("d"), F.col("e")).alias("x")).first()["x"] == kind
+
+
+@pytest.mark.parametrize("members, kind", [
+    (["word/document.xml", "a.txt"], "docx"), (["xl/workbook.bin"], "xlsb"), (["xl/workbook.xml"], "xlsx"), (["ppt/presentation.xml"], "pptx"), (["notes/word/document.xml"], "zip"), (["word/document.xml.bak"], "zip"),
+    (["mimetype:application/vnd.oasis.opendocument.text"], "odt"), (["mimetype:application/vnd.oasis.opendocument.spreadsheet", "content.xml"], "ods"), ([], "zip"),
+])
+def test_containers(spark, members, kind):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for m in members:
+            name, _, body = m.partition(":")
+            z.writestr(name, body or "x" * 50, zipfile.ZIP_STORED if body else zipfile.ZIP_DEFLATED)
+    df = spark.createDataFrame([(out.getvalue(),), (out.getvalue()[:-len(out.getvalue()) // 2],)], "d binary")
+    assert df.select(text.container_kind(F.col("d")).alias("x")).first()["x"] == kind
+
+
+@pytest.mark.parametrize("data", [
+    "plain é ñ 日本".encode(), "wide é 日本 😀".encode("utf-16"), b"\xfe\xff" + "big é 😀".encode("utf-16-be"), "café “quoted” …x".encode("cp1252"), "caf\xe9!".encode("latin-1"), b"odd \x81\x8d\xe9",
+    b"\x3d\xd8\x00\xde\xe9\xe9", b"\x3d\xd8\xe9\xe9", b"\xe9\x00\x3d\xd8", b"\xe9\x00\x00\xde", b"", b" \n ", "\ufeffmark".encode(), b"\xff\xfe",
+])
+def test_decode_text(spark, data):
+    for encoding in ("utf-8", "utf-16", "cp1252", "latin-1"):
+        try:
+            want = data.decode(encoding)
+            break
+        except UnicodeError:
+            continue
+    want = (want, "") if want.strip() else ("", "the text file is empty")
+    got = spark.createDataFrame([(data,)], "d binary").select(text.decode_text(F.col("d")).alias("x")).first()["x"]
+    assert tuple(got) == want
+    assert tuple(spark.createDataFrame([(None,)], "d binary").select(text.decode_text(F.col("d")).alias("x")).first()["x"]) == ("", "the text file is empty")
+
+
 def test_passwords(spark):
     assert one(spark, text.password_candidates, t="Password: Secret1. and pwd = Other99") == ["Secret1", "Other99"]
     assert one(spark, text.password_candidates, t="\n  OnlyLine \n") == ["OnlyLine"]
@@ -87,8 +127,11 @@ def test_passwords(spark):
 
 
 def test_html(spark):
-    got = one(spark, helpers.html_to_text, v="<p>One &amp; two</p><script>no()</script><td>three</td>")
-    assert got == "One & two \n three \n"
+    page = lambda v: one(spark, text.html_to_text, v=v)
+    assert page("<p>One &amp; two</p><script>no()</script><td>three</td>") == "One & two \n three \n"
+    assert page("<!-- <p>no</p> --><STYLE type='a>b'>x{}</style ><a href=\"x>y\" title='>'> link </a>1 < 2 &lt;b&gt; &#233;&nbsp;") == "link 1 < 2 <b> é"
+    assert page("a<br>b</br>\n\n\n\nc") == "a b \n c" and page("x\n\n\n\ny") == "x\n\ny"
+    assert page("<script>never closed") == "" and page(None) == "" and page("") == ""
 
 
 def test_similarity_and_neighbours(spark):
