@@ -354,6 +354,25 @@ def test_joint_windows_are_runs_with_the_same_minima():
     assert all(len(x) == 1 for x in of.values()) and len(set.union(*of.values())) == len(of)
 
 
+def test_one_shift_matches_as_the_general_way_does(monkeypatch):
+    r = np.random.default_rng(9)
+    pairs = []
+    for _ in range(60):
+        b = r.permutation(4000)[: r.integers(46, 200)].astype("<u4")
+        lo, shift = int(r.integers(0, len(b) - 20)), int(r.integers(0, 60))
+        a = np.r_[5000 + np.arange(shift), b[lo : lo + int(r.integers(20, 150))], 6000 + np.arange(int(r.integers(0, 60)))].astype("<u4")
+        a[r.integers(0, len(a), int(r.integers(0, 7)))] += 10000
+        pairs.append((a, b))
+    fast = [passages.matches(a, b, 46, 75) for a, b in pairs]
+    assert 10 < sum(map(bool, fast)) < 60
+    fits = passages.could_match([a.tobytes() for a, _ in pairs], [b.tobytes() for _, b in pairs], 46, 75)
+    assert all(f or not m for f, m in zip(fits, fast))
+    monkeypatch.setattr(passages, "along_one_shift", lambda *x: 1 / 0)
+    plain = lambda a, b: passages.matches(np.r_[a, [7, 7]].astype("<u4"), b, 46, 75)  # noqa: E731  a repeated shingle that b lacks
+    assert [[x[:4] for x in f] for f in fast] == [[x[:4] for x in plain(a, b)] for a, b in pairs]
+    assert np.allclose([x[4] for f in fast for x in f], [x[4] for a, b in pairs for x in plain(a, b)])
+
+
 def brute_passages(rows, width=46, percent=75):
     """Pairs of rows that have similar windows of `width` shingles, and those that have equal ones."""
     sets, like, same = [shingles.text_shingles([t])[0] for _, t in rows], set(), set()
