@@ -9,18 +9,22 @@ source may end a few slots short or over: slots beyond its need are skipped, and
 appended at the end of the schedule.
 
 Targets: source weights share all words; a source's target stops at `most` times its own words
-and what is over is shared anew by weight among the rest, until none is above.
+and what is over is shared anew by weight among the rest, until none is above. Sorted by room per weight, the
+stopped sources come first, so one running sum finds them.
+
+The number of sources isn't bounded: plans are a table of a row per source, broadcast only up to `few_sources` rows.
 
 Cases: a null text has no words; a null source is a source, the last; a source without words has
-target 0 and takes nothing; documents that repeat an identifier are mixed one by one; an empty
-table gives no rows; columns other than identifier, text and source are not read.
+target 0 and takes nothing; documents that repeat an identifier are mixed one by one; a very long text spans
+many blocks, one row each; an empty table gives no rows; columns other than identifier, text, source and those to
+carry are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -31,109 +35,105 @@ SLOT_BUCKET = 1 << 14
 PHI32 = 2654435769
 
 
-def targets(sizes: list[tuple[str | None, int]], weights: Callable[[int], float], most: float = 3.0) -> list[float]:
-    """Targets of sources in order; sizes are theirs."""
-    total = sum(n for _, n in sizes)
-    weight = [float(weights(i)) for i in range(len(sizes))]
-    out, free = [0.0] * len(sizes), set(range(len(sizes)))
-    left = float(total)
-    while free:
-        whole = sum(weight[i] for i in free)
-        over = {i for i in free if left * weight[i] > most * sizes[i][1] * whole}
-        if not over:
-            for i in free:
-                out[i] = left * weight[i] / whole if whole else 0.0
-            break
-        for i in over:
-            out[i] = most * float(sizes[i][1])
-        left -= sum(out[i] for i in over)
-        free -= over
-    return out
-
-
-def cycle_weights(i: int) -> float:
-    return float(i % 3 + 1)
-
-
-def planned(sizes: list[tuple[str | None, int]], block: int, weights: Callable[[int], float], most: float) -> list[dict]:
-    """For each source: its target and goal in words, its blocks, the slots it needs, the words its
-    last slot takes, and where its share of the 2**32 points ends."""
-    goal = targets(sizes, weights, most)
-    whole, rows, high = sum(goal), [], 0.0
-    for i, ((source, size), target) in enumerate(zip(sizes, goal)):
-        passes, rest = divmod(round(target), size) if size else (0, 0)
-        blocks, more = -(-size // block), -(-rest // block)
-        high += target / whole if whole else 0.0
-        last = rest - (more - 1) * block if rest else block
-        rows.append({"i": i, "source": source, "source_size": size, "target": target, "blocks": blocks, "need": passes * blocks + more, "last_take": last, "high": round(high * 2**32)})
-    return rows
-
-
-def of_source(plan: list[dict], what: str, index: Column) -> Column:
-    """A number of the plan, looked up by the source's index."""
-    return F.element_at(F.array(*[F.lit(p[what]).cast("long") for p in plan]), index + 1)
-
-
-def schedule(spark: SparkSession, plan: list[dict], slots: int) -> DataFrame:
+def cycle_weights(i: Column) -> Column:
+    """Weights 1, 2, 3, repeating."""
+    return (i % 3 + 1).cast("double")
+
+
+def planned(sizes: DataFrame, block: int, weights: Callable[[Column], Column], most: float) -> DataFrame:
+    """Of sources and their sizes: i (the place by code point), source, source_size, target and goal in words, the
+    source's blocks, the slots it needs, the words its last slot takes, and the share of the 2**32 points from low to high."""
+    every = Window.partitionBy(F.lit(0))
+    before = lambda order: every.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    upto = every.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    rows = sizes.withColumn("i", F.row_number().over(every.orderBy(F.col("source").asc_nulls_last())) - 1)
+    rows = rows.withColumns({"weight": weights(F.col("i")), "room": most * F.col("source_size")}).withColumn("share", F.col("room") / F.col("weight"))
+    filled = before(["share", "i"])
+    rows = rows.withColumns({
+        "left": F.sum("source_size").over(every) - F.coalesce(F.sum("room").over(filled), F.lit(0.0)),
+        "heavy": F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(filled), F.lit(0.0)),
+    })
+    stops = F.col("left") * F.col("weight") > F.col("room") * F.col("heavy")
+    rows = rows.withColumn("stops", stops).withColumn("shared", F.min(F.when(~stops, F.struct("share", "i", "left", "heavy"))).over(every))
+    last = F.struct("share", "i") >= F.struct("shared.share", "shared.i")
+    target = F.when(last, F.col("shared.left") * F.col("weight") / F.col("shared.heavy")).otherwise(F.col("room"))
+    rows = rows.withColumn("target", F.coalesce(target, F.lit(0.0)))
+    goal, size = F.round("target").cast("long"), F.col("source_size")
+    rest = F.when(size > 0, goal % size).otherwise(0)
+    rows = rows.withColumns({"blocks": F.ceil(size / block), "rest": rest, "passes": F.when(size > 0, F.floor(goal / size)).otherwise(0)})
+    slots = F.ceil(F.col("rest") / block)
+    rows = rows.withColumns({
+        "need": F.col("passes") * F.col("blocks") + slots,
+        "last_take": F.when(F.col("rest") > 0, F.col("rest") - (slots - 1) * block).otherwise(block),
+        "high": F.round(F.sum("target").over(upto) / F.greatest(F.sum("target").over(every), F.lit(1e-300)) * F.lit(2.0**32)).cast("long"),
+    })
+    rows = rows.withColumn("low", F.lag("high", 1, 0).over(every.orderBy("i")))
+    return rows.select("i", "source", "source_size", "target", "blocks", "need", "last_take", "low", "high")
+
+
+def schedule(plan: DataFrame, slots: int, few: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """slot, i (source), rank, block, cut: the mix in order. A slot reads its whole block, or `cut` words of it."""
-    highs = F.array(*[F.lit(p["high"]).cast("long") for p in plan])
-    k = spark.range(slots).withColumnRenamed("id", "slot")
+    k = plan.sparkSession.range(slots).withColumnRenamed("id", "slot")
     x = F.pmod(F.col("slot").cast("decimal(20,0)") * F.lit(PHI32).cast("decimal(10,0)"), F.lit(2**32).cast("decimal(11,0)")).cast("long")
-    k = k.withColumn("_x", x).withColumn("i", F.least(F.size(F.filter(highs, lambda h: h <= F.col("_x"))), F.lit(len(plan) - 1)))
-    k = k.withColumn("_bucket", F.floor(F.col("slot") / SLOT_BUCKET)).withColumn("_one", F.lit(1))
+    # a point's source: the one whose share it lies in, looked up in the point's stretch of 2**20
+    shares = plan.filter("low < high").select("i", "low", "high", "need", "blocks", "last_take", F.explode(F.sequence(F.shiftright("low", 20), F.shiftright(F.col("high") - 1, 20))).alias("_part"))
+    k = k.withColumn("_x", x).withColumn("_part", F.shiftright("_x", 20)).join(few(shares), "_part").filter("low <= _x and _x < high")
+    k = k.select("slot", "i", "need", "blocks", "last_take", F.floor(F.col("slot") / SLOT_BUCKET).alias("_bucket"), F.lit(1).alias("_one"))
     reached = k.groupBy("i").agg(F.count(F.lit(1)).alias("got"))
-    k = common.prefix_sums(k, ["i"], ["slot"], "_one", "rank", bucket_key="_bucket").select("slot", "i", "rank")
+    k = common.prefix_sums(k, ["i"], ["slot"], "_one", "rank", bucket_key="_bucket").select("slot", "i", "rank", "need", "blocks", "last_take")
     # appended: ranks that the points did not reach, a few per source
-    sources = spark.range(len(plan)).select(F.col("id").cast("int").alias("i")).join(reached, "i", "left")
-    sources = sources.withColumn("got", F.coalesce("got", F.lit(0))).withColumn("need", of_source(plan, "need", F.col("i"))).filter("got < need")
-    tail = sources.select(F.lit(slots).cast("long").alias("slot"), "i", F.explode(F.sequence(F.col("got"), F.col("need") - 1)).alias("rank"))
-    both = k.unionByName(tail).withColumn("need", of_source(plan, "need", F.col("i"))).filter("rank < need")
-    return both.select(
-        "slot", "i", "rank",
-        (F.col("rank") % of_source(plan, "blocks", F.col("i"))).alias("block"),
-        F.when(F.col("rank") == F.col("need") - 1, of_source(plan, "last_take", F.col("i"))).alias("cut"),
-    )
+    tail = plan.join(reached, "i", "left").withColumn("got", F.coalesce("got", F.lit(0))).filter("got < need")
+    tail = tail.select(F.lit(slots).cast("long").alias("slot"), "i", F.explode(F.sequence(F.col("got"), F.col("need") - 1)).alias("rank"), "need", "blocks", "last_take")
+    both = k.unionByName(tail).filter("rank < need")
+    return both.select("slot", "i", "rank", (F.col("rank") % F.col("blocks")).alias("block"), F.when(F.col("rank") == F.col("need") - 1, F.col("last_take")).alias("cut"))
 
 
-def mix(
-    docs: DataFrame, block: int = 256, weights: Callable[[int], float] = cycle_weights, most: float = 3.0, most_sources: int = 1000,
-    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = (),
-) -> DataFrame:
-    """One row per document: doc_id, size, source, source_size, target, taken and the columns to carry.
-
-    `block` is the number of words of a slot (raise it with the corpus: there are words / block
-    slots). The number of sources is checked against `most_sources`: a row per source goes
-    through the driver and is broadcast.
-    """
-    spark = docs.sparkSession
+def streams(docs: DataFrame, block: int, weights: Callable[[Column], Column], most: float, few_sources: int, id_col: str, text_col: str, source_col: str, carry: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Each document with its place in its source's stream of words, and the pieces of documents in the slots of the mix."""
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         common.words_of(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("_text"), *[F.col(c) for c in carry],
     )
     rows = common.written(rows, "sizes")  # narrow: texts are read once
-    found = rows.groupBy("source").agg(F.sum("size").alias("n")).limit(most_sources + 1).collect()
-    if len(found) > most_sources:
-        raise ValueError(f"more than {most_sources} sources")
-    sizes = sorted(((r["source"], r["n"]) for r in found), key=lambda s: (s[0] is None, (s[0] or "").encode("utf-32-be")))
-    plan = planned(sizes, block, weights, most) or [{"i": 0, "source": None, "source_size": 0, "target": 0.0, "blocks": 0, "need": 0, "last_take": 0, "high": 0}]
-    chosen = schedule(spark, plan, -(-sum(n for _, n in sizes) // block))
-
-    facts = spark.createDataFrame([(p["i"], p["source"], p["source_size"], p["target"]) for p in plan], "i int, _source string, source_size long, target double")
-    rows = rows.join(F.broadcast(facts), rows["source"].eqNullSafe(facts["_source"])).drop("_source")
-    rows = rows.withColumn("_h", F.xxhash64("doc_id", F.lit(4)))
+    sizes = common.written(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "source-sizes")
+    plan = common.written(planned(sizes, block, weights, most), "mix-plan")
+    facts = plan.agg(F.count(F.lit(1)), F.coalesce(F.sum("source_size"), F.lit(0))).first()
+    few = F.broadcast if facts[0] <= few_sources else lambda df: df
+    chosen = schedule(plan, -(-facts[1] // block), few)
+    named = few(plan.select("i", F.col("source").alias("_source"), "source_size", "target"))
+    rows = rows.join(named, rows["source"].eqNullSafe(F.col("_source"))).drop("_source").withColumn("_h", F.xxhash64("doc_id", F.lit(4)))
     stream = common.prefix_sums(rows, ["i"], ["_h", "doc_id", "_text", "size"], "size", "start").drop("_h", "_text")
     pieces = stream.filter("size > 0").select(
-        "i", "start", "size",
+        "i", "source", "doc_id", "start", "size",
         F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"),
     )
-    pieces = pieces.select(
-        "i", "block", "start",
-        F.greatest(F.col("start") - F.col("block") * block, F.lit(0)).alias("p0"),
-        F.least(F.col("start") + F.col("size") - F.col("block") * block, F.lit(block)).alias("p1"),
-    )
-    words = F.greatest(F.least(F.col("p1"), F.coalesce("cut", "p1")) - F.col("p0"), F.lit(0))
+    # the words of the source's stream that the document has in the block, and the slot takes
+    first, last = F.greatest(F.col("block") * block, F.col("start")), F.least((F.col("block") + 1) * block, F.col("start") + F.col("size"))
+    pieces = pieces.join(chosen, ["i", "block"]).withColumn("first", first)
+    pieces = pieces.withColumn("last", F.least(last, F.coalesce(F.col("block") * block + F.col("cut"), last))).filter("first < last")
+    return stream, pieces
+
+
+def mixed_sequence(
+    docs: DataFrame, block: int = 256, weights: Callable[[Column], Column] = cycle_weights, most: float = 3.0, few_sources: int = 10_000,
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+) -> DataFrame:
+    """The mix itself: slot, rank, source, doc_id, first_word, last_word. In the order of slot, source, rank and first_word, it reads
+    the documents' words (last_word isn't among them) so that the sources' shares of every stretch are near the targets."""
+    _, pieces = streams(docs, block, weights, most, few_sources, id_col, text_col, source_col, ())
+    return pieces.select("slot", "rank", "source", "doc_id", (F.col("first") - F.col("start")).alias("first_word"), (F.col("last") - F.col("start")).alias("last_word"))
+
+
+def mix(
+    docs: DataFrame, block: int = 256, weights: Callable[[Column], Column] = cycle_weights, most: float = 3.0, few_sources: int = 10_000,
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """One row per document: doc_id, size, source, source_size, target, taken (words that the mix reads) and the columns to carry.
+
+    `block` is the number of words of a slot (raise it with the corpus: there are words / block slots)."""
+    stream, pieces = streams(docs, block, weights, most, few_sources, id_col, text_col, source_col, carry)
     # a document with words is named by its place in its source's stream
-    taken = pieces.join(chosen, ["i", "block"]).groupBy("i", "start").agg(F.sum(words).alias("taken")).withColumn("_some", F.lit(True))
+    taken = pieces.groupBy("i", "start").agg(F.sum(F.col("last") - F.col("first")).alias("taken")).withColumn("_some", F.lit(True))
     out = stream.withColumn("_some", F.col("size") > 0).join(taken, ["i", "start", "_some"], "left")
     return out.select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), *carry)
 

@@ -258,11 +258,49 @@ def test_mixing(spark, odd, block):
     assert sorted(map(key, rows)) == sorted(map(key, mixing.mix(odd.repartition(7), block=block).collect()))
 
 
-def test_targets():
-    assert mixing.targets([("a", 100), ("b", 100), (None, 100)], mixing.cycle_weights) == [50, 100, 150]
-    capped = mixing.targets([("a", 1000), ("b", 10), ("c", 10)], mixing.cycle_weights)
-    assert capped[1:] == [30, 30] and capped[0] == 960
-    assert mixing.targets([("a", 0), ("b", 5)], mixing.cycle_weights) == [0, 5] and mixing.targets([], mixing.cycle_weights) == []
+def shared_out(sizes, most=3.0):
+    """Targets by the rule as it stands: share by weight, stop what is above, share the rest anew."""
+    weight, out, free, left = [float(i % 3 + 1) for i in range(len(sizes))], [0.0] * len(sizes), set(range(len(sizes))), float(sum(sizes))
+    while free:
+        whole = sum(weight[i] for i in free)
+        over = {i for i in free if left * weight[i] > most * sizes[i] * whole}
+        for i in over or free:
+            out[i] = most * sizes[i] if over else left * weight[i] / whole
+        left -= sum(out[i] for i in over)
+        free -= over or free
+    return out
+
+
+@pytest.mark.parametrize("sizes", [[100, 100, 100], [1000, 10, 10], [0, 5], [0, 0], [7], [], [3, 900, 2, 50, 1, 1, 40, 300, 9, 9], list(range(60))])
+def test_targets(spark, sizes):
+    df = spark.createDataFrame([(f"s{i:03}" if i < len(sizes) - 1 else None, n) for i, n in enumerate(sizes)], "source string, source_size long")
+    plan = mixing.planned(df, 16, mixing.cycle_weights, 3.0).orderBy("i").collect()
+    assert np.allclose([r["target"] for r in plan], shared_out(sizes))
+    assert [r["source"] for r in plan] == [f"s{i:03}" if i < len(sizes) - 1 else None for i in range(len(sizes))]
+    assert all(a["high"] == b["low"] for a, b in zip(plan, plan[1:])) and (not sum(sizes) or plan[-1]["high"] == 2**32)
+    for r in plan:
+        full, cut = max(0, r["need"] - 1), r["last_take"] if r["need"] else 0
+        ends = sum(min(16, r["source_size"] - 16 * (k % r["blocks"])) for k in range(full)) + cut
+        assert ends == round(r["target"]) or r["need"] and r["last_take"] == 16 and r["need"] % r["blocks"] == 0
+
+
+@pytest.mark.parametrize("few_sources", [10_000, 3])
+def test_the_mix_is_even_all_along(spark, few_sources):
+    """Slots of many sources, with and without a broadcast: shares of every stretch are near the targets, words are those counted."""
+    rows = [(i, prose(i, 40 + i % 23), "en", f"s{i % 12:02}", 1) for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = mixing.mixed_sequence(df, block=16, few_sources=few_sources).orderBy("slot", "source", "rank", "first_word").collect()
+    taken = {r["doc_id"]: r for r in mixing.mix(df, block=16, few_sources=few_sources).collect()}
+    words, of, target = {}, {}, {r["source"]: r["target"] for r in taken.values()}
+    total, so_far = sum(target.values()), 0
+    for r in got:
+        n = r["last_word"] - r["first_word"]
+        assert 0 <= r["first_word"] < r["last_word"] <= taken[r["doc_id"]]["size"]
+        words[r["doc_id"]] = words.get(r["doc_id"], 0) + n
+        of[r["source"]] = of.get(r["source"], 0) + n
+        so_far += n
+        assert all(abs(of.get(s, 0) - so_far * t / total) <= 6 * 16 for s, t in target.items())
+    assert words == {d: r["taken"] for d, r in taken.items() if r["taken"]}
 
 
 def test_mixing_nothing(spark, none, odd):
