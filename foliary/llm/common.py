@@ -19,9 +19,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir). Only where none is named, as in tests, a local one."""
+    """The folder that the cluster shares (spark.checkpoint.dir). Where none is named and Spark is local, as in tests, a local one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="foliary-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
