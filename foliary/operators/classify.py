@@ -31,14 +31,22 @@ def first_rule(conditions: list[tuple[int, Column]]) -> Column:
     return F.coalesce(*[F.when(c, F.lit(i)) for i, c in conditions])
 
 
-def name_rank(name: Column, rules: list[tuple] = DOC_TYPES) -> Column:
-    """Rank of the first type whose name pattern fits the raw name or the one with its separators as spaces."""
-    airy = F.regexp_replace(name, r"[_\-.]+", " ")
-    return first_rule([(i, name.rlike(py_regex(r[5] or r[1])) | airy.rlike(py_regex(r[5] or r[1]))) for i, r in enumerate(rules)])
-
-
-def with_name_type(df: DataFrame, name: str, out: str = "name_rank", rules: list[tuple] = DOC_TYPES) -> DataFrame:
-    return df.withColumn(out, name_rank(F.col(name), rules))
+def with_name_type(df: DataFrame, name: str, out: str = "name_rank", rules: list[tuple] = DOC_TYPES, stage: int = 12) -> DataFrame:
+    """Adds the rank of the first type whose name pattern fits the raw name or the one with its separators as spaces.
+
+    Rules are taken `stage` at a time; one look for any of them, in both forms of the name at once, tells which stage has to
+    look at its rules one by one. Each stage is a step of its own, for names that none before has told."""
+    raw = F.col(name)
+    df = df.withColumn("_airy", F.regexp_replace(raw, r"[_\-.]+", " ")).withColumn("_both", F.concat(raw, F.lit("\n\x01\n"), F.col("_airy")))
+    told: list[str] = []
+    for lo in range(0, len(rules), stage):
+        part = [(i, r[5] or r[1]) for i, r in enumerate(rules)][lo : lo + stage]
+        some = F.col("_both").rlike(py_regex("|".join(f"(?:{p})" for _, p in part)))
+        first = first_rule([(i, raw.rlike(py_regex(p)) | F.col("_airy").rlike(py_regex(p))) for i, p in part])
+        open_ = F.coalesce(*told).isNull() & some if told else some
+        told.append(f"_stage{lo}")
+        df = df.withColumn(told[-1], F.when(open_, first))
+    return df.withColumn(out, F.coalesce(*told)).drop("_airy", "_both", *told)
 
 
 def with_text_type(df: DataFrame, text: str, out: str = "text_type", rules: list[tuple] = DOC_TYPES) -> DataFrame:
@@ -72,7 +80,7 @@ def route_document(df: DataFrame, name: str, text: str, template: str, clip_char
     """
     spark = df.sparkSession
     cut = F.left(F.col(text), F.lit(clip_chars)) if clip_chars else F.col(text)
-    df = df.withColumn("_cut", F.coalesce(cut, F.lit(""))).withColumn("_rn", name_rank(F.col(name), rules))
+    df = with_name_type(df.withColumn("_cut", F.coalesce(cut, F.lit(""))), name, "_rn", rules)
     types = F.broadcast(doc_types(spark, rules).select("rank", "name", "dest_foreclosure", "dest_fcra", "certainty"))
 
     def looked_up(d: DataFrame, rank: str, p: str) -> DataFrame:

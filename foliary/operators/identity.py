@@ -27,13 +27,19 @@ def useful_surnames(folder: Column, own_names: list[str] = []) -> Column:
 
 
 def cases_in_text(docs: DataFrame, cases: DataFrame, own_names: list[str] = []) -> DataFrame:
-    """doc_id, folder of the cases all of whose useful words are in a document's caption."""
-    useful = cases.select("folder", useful_surnames(F.col("folder"), own_names).alias("_u")).filter(F.size("_u") > 0)
-    need = useful.select("folder", F.size("_u").alias("_need"), F.explode("_u").alias("token"))
-    have = docs.select("doc_id", F.explode(F.array_distinct(words(normalize_name(F.left("text", F.lit(CAPTION)))))).alias("token"))
-    # words that no case uses stop at the join; a common surname's list is split by the skew join
-    met = have.join(need, "token").groupBy("doc_id", "folder", "_need").agg(F.count(F.lit(1)).alias("n"))
-    return met.filter("n = _need").select("doc_id", "folder")
+    """doc_id, folder of the cases all of whose useful words are in a document's caption.
+
+    Distinct sets of useful words meet documents on their rarest word only, so a word of all cases makes no pairs but
+    for the cases that have no other; what is left is tested whole."""
+    useful = cases.select("folder", F.array_sort(F.array_distinct(useful_surnames(F.col("folder"), own_names))).alias("_u")).filter(F.size("_u") > 0)
+    sets = useful.select("_u").distinct()
+    uses = sets.select("_u", F.explode("_u").alias("token"))
+    common = uses.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    rarest = uses.join(common, "token").groupBy("_u").agg(F.min_by("token", F.struct("n", "token")).alias("token"))
+    captions = docs.select("doc_id", F.array_distinct(words(normalize_name(F.left("text", F.lit(CAPTION))))).alias("_have"))
+    met = captions.select("doc_id", "_have", F.explode("_have").alias("token")).join(rarest, "token")
+    met = met.filter(F.size(F.array_except("_u", "_have")) == 0).select("doc_id", "_u").distinct()
+    return met.join(useful, "_u").select("doc_id", "folder")
 
 
 def is_client_of_folder(pairs: DataFrame, person: str, folder: str, out: str = "is_client") -> DataFrame:
@@ -113,9 +119,9 @@ def compare_matters(pairs: DataFrame, a: str = "a_", b: str = "b_") -> DataFrame
     shown = lambda c: F.array_join(F.array_sort(F.array_intersect(A(c), B(c))), ", ")
     apart = lambda c, sep="/": F.concat(F.array_join(A(c), sep), F.lit(" vs "), F.array_join(B(c), sep))
     odd = F.array_union(F.array_except(A("markers"), B("markers")), F.array_except(B("markers"), A("markers")))
-    pairs = pairs.withColumn("_ratio", name_similarity(A("matter"), B("matter")))
     percent = F.concat(F.round(F.col("_ratio") * 100, 0).cast("int"), F.lit("%"))
-    rules = [
+    # the similarity is only taken of pairs that the sets leave open
+    set_rules = [
         (meet("indexes"), "DUPLICADO", F.concat(F.lit("mismo index number: "), shown("indexes"))),
         (both("indexes"), "CASO DISTINTO", F.concat(F.lit("index distinto: "), apart("indexes"))),
         (F.size(odd) > 0, "CASO DISTINTO", F.concat(F.lit("asuntos distintos ("), F.array_join(F.array_sort(odd), ", "), F.lit(")"))),
@@ -124,15 +130,20 @@ def compare_matters(pairs: DataFrame, a: str = "a_", b: str = "b_") -> DataFrame
         (both("people") & ~meet("people"), "CASO DISTINTO", F.concat(F.lit("los nombres se refieren a personas distintas ("), apart("people", " "), F.lit(")"))),
         (meet("addresses"), "DUPLICADO", F.lit("misma direccion en los dos nombres")),
         (both("addresses"), "CASO DISTINTO", F.lit("direcciones distintas: son dos propiedades")),
+    ]
+    name_rules = [
         (F.col("_ratio") >= SAME, "DUPLICADO", F.concat(F.lit("nombres casi identicos ("), percent, F.lit(" de coincidencia)"))),
         (A("generic") != B("generic"), "DUPLICADO SIN ESPECIFICAR", F.lit("un nombre no especifica el caso y el otro si")),
         (A("generic") & (F.col("_ratio") >= SAME_GENERIC), "DUPLICADO", F.concat(F.lit("dos nombres genericos casi iguales ("), percent, F.lit(")"))),
         (A("generic"), "CASO DISTINTO", F.lit("genericos pero con nombres diferentes")),
     ]
-    out = F.struct(F.lit("CASO DISTINTO").alias("verdict"), F.concat(F.lit("nombres diferentes ("), percent, F.lit(" de coincidencia)")).alias("reason"))
-    for when, verdict, reason in reversed(rules):
-        out = F.when(when, F.struct(F.lit(verdict).alias("verdict"), reason.alias("reason"))).otherwise(out)
-    return pairs.withColumn("_v", out).withColumn("verdict", F.col("_v.verdict")).withColumn("reason", F.col("_v.reason")).drop("_v", "_ratio")
+    told = lambda rules: F.coalesce(*[F.when(when, F.struct(F.lit(verdict).alias("verdict"), reason.alias("reason"))) for when, verdict, reason in rules])
+    last = F.struct(F.lit("CASO DISTINTO").alias("verdict"), F.concat(F.lit("nombres diferentes ("), percent, F.lit(" de coincidencia)")).alias("reason"))
+    settled = pairs.withColumn("_v", told(set_rules))
+    open_ = settled.filter("_v is null").withColumn("_ratio", name_similarity(A("matter"), B("matter")))
+    open_ = open_.withColumn("_v", F.coalesce(told(name_rules), last)).drop("_ratio")
+    out = settled.filter("_v is not null").unionByName(open_)
+    return out.withColumn("verdict", F.col("_v.verdict")).withColumn("reason", F.col("_v.reason")).drop("_v")
 
 
 def classify_client_matters(matters: DataFrame) -> DataFrame:

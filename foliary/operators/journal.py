@@ -175,10 +175,10 @@ def small_sample_per_case(files: DataFrame, n: int) -> DataFrame:
 def order_work_queue(files: DataFrame, broken: DataFrame) -> DataFrame:
     """Adds the place's sort keys: group, copy, times_broken. Images, light scans, heavy scans, each with its
     copies after it; ids that broke the engine last, by how often."""
-    by_hash = Window.partitionBy("hash").orderBy("size", "id")
-    # rows without a hash aren't copies; they don't meet in one window
-    own = files.filter(~has_hash()).withColumn("copy", F.lit(False))
-    files = files.filter(has_hash()).withColumn("copy", F.row_number().over(by_hash) > 1).unionByName(own)
+    # the smallest row of each hash is no copy; rows without a hash aren't, and don't meet
+    first = files.filter(has_hash()).groupBy(F.col("hash").alias("_hash")).agg(F.min(F.struct("size", "id")).alias("_first"))
+    files = files.join(first, F.col("hash") == F.col("_hash"), "left").drop("_hash")
+    files = files.withColumn("copy", F.col("_first").isNotNull() & ~F.struct("size", "id").eqNullSafe(F.col("_first"))).drop("_first")
     image = extension_of(F.col("name")).isin(IMAGES)
     group = F.when(image, 0).when(F.col("size") <= HEAVY, 2).otherwise(4) + F.col("copy").cast("int")
     times = broken.groupBy("id").agg(F.count(F.lit(1)).alias("times_broken"))

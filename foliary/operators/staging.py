@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import extension_of
@@ -73,9 +73,9 @@ def planned(status: DataFrame, teams: dict[str, tuple] = TEAMS) -> DataFrame:
 def estimate_hours(plan: DataFrame, pages: DataFrame) -> DataFrame:
     """Hours of each pending file. Of equal contents the first is read; the others cost two seconds."""
     pending = plan.filter(F.col("status").startswith("pending"))
-    alone = pending.filter(~has_hash()).withColumn("_later", F.lit(False))
-    first = Window.partitionBy("hash").orderBy("id")
-    work = pending.filter(has_hash()).withColumn("_later", F.row_number().over(first) > 1).unionByName(alone)
+    first = pending.filter(has_hash()).groupBy(F.col("hash").alias("_hash")).agg(F.min("id").alias("_first"))
+    work = pending.join(first, F.col("hash") == F.col("_hash"), "left").drop("_hash")
+    work = work.withColumn("_later", F.coalesce(F.col("id") != F.col("_first"), F.lit(False))).drop("_first")
     mb = F.col("size") / 1048576.0
     work = work.withColumn("bucket", size_bucket(mb)).join(F.broadcast(pages), "bucket", "left")
     n = F.when(extension_of(F.col("name")).isin(IMAGES), 1.0).when(mb >= 5, mb * 6).otherwise(F.coalesce("pages", F.lit(7.0)))
