@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chars of text that are encoded together.
-BATCH = 1 << 22
+BATCH = 1 << 21
 
 #: White space that Unicode has besides ASCII, and the separators that libraries see differently.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]")
@@ -43,7 +43,7 @@ def byte_chars() -> dict[int, str]:
 class ChunkEncoder:
     """many(texts) gives little-endian unsigned 32-bit ids of each text as bytes."""
 
-    def __init__(self, path: str, most_cached: int = 1_000_000):
+    def __init__(self, path: str, most_cached: int = 400_000):
         import regex
         from tokenizers import Tokenizer
 
