@@ -31,11 +31,15 @@ def first_rule(conditions: list[tuple[int, Column]]) -> Column:
     return F.coalesce(*[F.when(c, F.lit(i)) for i, c in conditions])
 
 
-def with_name_type(df: DataFrame, name: str, out: str = "name_rank", rules: list[tuple] = DOC_TYPES, stage: int = 12) -> DataFrame:
+def with_name_type(df: DataFrame, name: str, out: str = "name_rank", rules: list[tuple] = DOC_TYPES, stage: int = 12, distinct: bool = True) -> DataFrame:
     """Adds the rank of the first type whose name pattern fits the raw name or the one with its separators as spaces.
 
     Rules are taken `stage` at a time; one look for any of them, in both forms of the name at once, tells which stage has to
-    look at its rules one by one. Each stage is a step of its own, for names that none before has told."""
+    look at its rules one by one. Each stage is a step of its own, for names that none before has told. Names of files
+    repeat, so each `distinct` name is looked at once and joined back; not where rows are wide, as with texts."""
+    if distinct:
+        names = with_name_type(df.select(name).distinct(), name, out, rules, stage, False)
+        return df.join(names, name, "left").select(*df.columns, out)
     raw = F.col(name)
     df = df.withColumn("_airy", F.regexp_replace(raw, r"[_\-.]+", " ")).withColumn("_both", F.concat(raw, F.lit("\n\x01\n"), F.col("_airy")))
     told: list[str] = []
@@ -80,7 +84,7 @@ def route_document(df: DataFrame, name: str, text: str, template: str, clip_char
     """
     spark = df.sparkSession
     cut = F.left(F.col(text), F.lit(clip_chars)) if clip_chars else F.col(text)
-    df = with_name_type(df.withColumn("_cut", F.coalesce(cut, F.lit(""))), name, "_rn", rules)
+    df = with_name_type(df.withColumn("_cut", F.coalesce(cut, F.lit(""))), name, "_rn", rules, distinct=False)
     types = F.broadcast(doc_types(spark, rules).select("rank", "name", "dest_foreclosure", "dest_fcra", "certainty"))
 
     def looked_up(d: DataFrame, rank: str, p: str) -> DataFrame:
