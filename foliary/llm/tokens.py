@@ -43,7 +43,7 @@ def byte_chars() -> dict[int, str]:
 class ChunkEncoder:
     """many(texts) gives little-endian unsigned 32-bit ids of each text as bytes."""
 
-    def __init__(self, path: str, most_cached: int = 400_000):
+    def __init__(self, path: str, most_cached: int = 1_000_000):
         import regex
         from tokenizers import Tokenizer
 
@@ -183,9 +183,9 @@ class Cache(dict):
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> ChunkEncoder:
-    """One encoder for each worker process and file."""
-    return ChunkEncoder(path)
+def encoder(path: str, most_cached: int = 1_000_000) -> ChunkEncoder:
+    """One encoder for each worker process and file; workers live on between jobs, and so do their caches."""
+    return ChunkEncoder(path, most_cached)
 
 
 def public_path(name: str) -> str:
