@@ -99,3 +99,18 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def numbered(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, Column | None]:
+    """The rows with a number each, in a column `name`: the id or, where ids are null or repeat, a hash of id and text, so that rows
+    which differ are told apart; and which rows have such a hash (None: none has)."""
+    again = free_name(docs, "_again")
+    known = F.col(id_col).cast("long")
+    ids = docs.select(known.alias(again))
+    repeats = written(ids.filter(F.col(again).isNotNull()).groupBy(again).count().filter("count > 1").select(again), "repeated-ids")
+    some, nulls = not repeats.isEmpty(), not ids.filter(F.col(again).isNull()).isEmpty()
+    if not some and not nulls:
+        return docs.withColumn(name, known), None
+    docs = docs.join(repeats, known == F.col(again), "left") if some else docs.withColumn(again, F.lit(None).cast("long"))
+    odd = known.isNull() | F.col(again).isNotNull()
+    return docs.withColumn(name, F.when(odd, F.xxhash64(known, F.col(text_col))).otherwise(known)), odd

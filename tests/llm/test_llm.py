@@ -635,7 +635,13 @@ def test_clashing_columns(spark, clashing):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF)
         assert docs.columns == clashing.columns
-    assert docs.count() <= 6
+    # values of the user's columns come out as they went in
+    extra = [c for c in clashing.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+    assert all(r[c] == "x" for r in docs.collect() for c in extra)
+    assert token_counts.counted(clashing, {"words": common.words_of}).count() == 3
+    path = common.new_folder(spark, "clashing")
+    token_files.write_tokens(clashing, path, tokens.public_path("byte_bpe_50k.json"), 2)
+    assert token_files.token_index(spark, path).count() == 3
 
 
 def test_words(spark, odd):
@@ -660,8 +666,8 @@ def test_pipeline(spark, odd, none):
                 assert docs.columns == start.columns
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language.fit(docs)
-    kept = corpus_pipeline.language_id(spark, docs, SF)
-    assert kept.count() == language.identified(docs, model).filter("not rejected").count() >= 0.98 * docs.count()
+    kept = common.written(corpus_pipeline.language_id(spark, docs, SF), "kept")
+    assert kept.count() == language.identified(docs, model).filter("not found.rejected").count() >= 0.98 * docs.count()
     rows = {r["doc_id"]: r["text"] for r in kept.collect()}
     best = {}
     for d, t in rows.items():
@@ -671,4 +677,57 @@ def test_pipeline(spark, odd, none):
     left = sorted((d, rows[d]) for d in best.values())
     near = common.written(corpus_pipeline.near_duplicates(spark, exact, SF), "near")
     assert {r["doc_id"] for r in near.collect()} == {d for d, _, c in brute_classes(left) if d == c}
-    assert corpus_pipeline.run(spark, SF).count() > 0
+    # mixing: how often each document stands in the mix that brute force makes
+    texts = {r["doc_id"]: (r["text"], r["source"]) for r in near.collect()}
+    hashes = {r["doc_id"]: r["h"] for r in near.select("doc_id", F.xxhash64("doc_id", F.lit(4)).alias("h")).collect()}
+    taken = brute_mix([(d, len(re.findall(common.WORD, t or "")), s, hashes[d]) for d, (t, s) in texts.items()], 256)
+    size = {d: len(re.findall(common.WORD, t or "")) for d, (t, _) in texts.items()}
+    want = sorted(d for d, n in taken.items() for _ in range(int(n / size[d] + 0.5)))
+    mixed = common.written(corpus_pipeline.mixed_sources(spark, near, SF), "mixed")
+    assert sorted(r["doc_id"] for r in mixed.collect()) == want
+    # packing: the pieces are those of the texts, and as few sequences as the bound allows, nearly
+    e, pieces = tokens.ChunkEncoder(tokens.public_path("word_bpe_49k.json")), []
+    for d in want:
+        n = len(e.ids(texts[d][0])) // 4 + 1
+        pieces += [(d, k, min(4096, n - 4096 * k)) for k in range(-(-n // 4096))]
+    packed = corpus_pipeline.packed(spark, mixed, SF).collect()
+    assert sorted((r["doc_id"], r["piece"], r["length"]) for r in packed) == sorted(pieces)
+    assert len({r["sequence_id"] for r in packed}) <= sum(n for _, _, n in pieces) / 4096 * 1.02 + 1
+    got = corpus_pipeline.run(spark, SF).collect()
+    assert sorted((r["doc_id"], r["piece"], r["length"]) for r in got) == sorted(pieces)
+
+
+def brute_mix(docs, block):
+    """Words that the mix takes of each of (doc_id, size, source, hash), slot by slot."""
+    sources = sorted({s for _, _, s, _ in docs}, key=lambda s: (s is None, s or ""))
+    of = {s: sorted((h, d, n) for d, n, x, h in docs if x == s and n) for s in sources}
+    sizes = [sum(n for _, _, n in of[s]) for s in sources]
+    target = shared_out(sizes)
+    high = [round(h * 2**32) for h in np.cumsum(target) / sum(target)]
+    stream = {s: np.repeat([d for _, d, _ in of[s]], [n for _, _, n in of[s]]) for s in sources}
+    need, taken = [], {d: 0 for d, n, _, _ in docs if n}
+    for s, t in zip(sizes, target):
+        passes, rest = divmod(round(t), s) if s else (0, 0)
+        need.append((passes * -(-s // block) + -(-rest // block), rest - (-(-rest // block) - 1) * block if rest else block))
+    ranks = [0] * len(sources)
+    slots = [next(i for i, h in enumerate(high) if k * mixing.PHI32 % 2**32 < h) for k in range(-(-sum(sizes) // block))]
+    for i in [*slots, *(i for i in range(len(sources)) for _ in range(need[i][0]))]:
+        if ranks[i] < need[i][0]:
+            at = ranks[i] % -(-sizes[i] // block) * block
+            n = need[i][1] if ranks[i] == need[i][0] - 1 else block
+            for d in stream[sources[i]][at : at + n].tolist():
+                taken[d] += 1
+            ranks[i] += 1
+    return taken
+
+
+def test_rows_that_share_an_id_in_the_pipeline(spark):
+    """Ids that repeat or are null: each row goes or stays by its own text."""
+    base = prose(70, 60)
+    near = base.replace(base.split()[30], "changed", 1)
+    rows = [(1, base, "en", "a", 1), (2, near, "en", "a", 1), (2, prose(71, 60), "en", "a", 1), (None, prose(72, 60), "en", "a", 1), (None, near.replace("changed", "other"), "en", "a", 1)]
+    docs = common.written(spark.createDataFrame(rows, SCHEMA), "docs")
+    kept = common.written(corpus_pipeline.near_duplicates(spark, docs, SF), "kept")
+    texts = [r["text"] for r in kept.collect()]
+    assert len(texts) == 3 and {prose(71, 60), prose(72, 60)} < set(texts)
+    assert sorted(r["text"] for r in corpus_pipeline.mixed_sources(spark, kept, SF).collect()) == sorted(texts)
