@@ -1,7 +1,8 @@
 """Corpus pipeline: from raw documents to packed training sequences, one operator a stage.
 
 A null in any column, an empty text or an empty table goes through every stage; the stages'
-own modules state what each does with it. Rows are told apart by doc_id.
+own modules state what each does with it. Rows are told apart by doc_id or, where ids are null or
+repeat, by doc_id and text.
 """
 
 from __future__ import annotations
@@ -26,18 +27,21 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each linked group: that with the smallest doc_id."""
-    classes = ngram_join.ngram_join(docs)
-    gone = classes.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    number = common.free_name(docs, "_number")
+    rows, _ = common.numbered(docs, number)
+    classes = ngram_join.ngram_join(rows, id_col=number)
+    gone = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias(number)).distinct()
+    return rows.join(gone, number, "left_anti").select(*docs.columns)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: whole passes, and one more where the mix takes at
     least half of its words again. Documents that the mix doesn't reach go."""
-    taken = mixing.mix(docs).filter("size > 0")
-    key, copies, copy = (common.free_name(docs, c) for c in ("_id", "_copies", "_copy"))
+    number, key, copies, copy = (common.free_name(docs, c) for c in ("_number", "_id", "_copies", "_copy"))
+    rows, _ = common.numbered(docs, number)
+    taken = mixing.mix(rows, id_col=number).filter("size > 0")
     times = taken.groupBy(F.col("doc_id").alias(key)).agg(F.max(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias(copies))
-    out = docs.join(times.filter(F.col(copies) > 0), F.col("doc_id").eqNullSafe(F.col(key)))
+    out = rows.join(times.filter(F.col(copies) > 0), F.col(number) == F.col(key))
     return out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
