@@ -102,7 +102,10 @@ def _(spark, sf):
     return out.select("matter_id", "matter", "stage", "case_type", "client", "email", "book_value", "month", "year", "paid", "not_in_use")
 
 
-@query("json_line")
+JSON = "CAST(to_json({'doc_id': doc_id, 'lang': lang, 'text': text}) AS VARCHAR)"
+
+
+@query("json_line", f"SELECT doc_id, replace(replace(replace({JSON}, chr(8232), '\\u2028'), chr(8233), '\\u2029'), chr(133), '\\u0085') AS line FROM documents")
 def _(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     return docs.select("doc_id", text.json_line(F.struct("doc_id", "lang", "text")).alias("line"))
@@ -122,21 +125,14 @@ def _(spark, sf):
     return view(spark, sf, "case_folders").select("k", text.normalize_folder_name(F.col("folder")).alias("folder_key"), text.normalize_name(F.col("folder")).alias("name_key"))
 
 
-@query("extract_state_indexes", """SELECT id, CASE WHEN es_carpeta AND ruta LIKE '%Matters' AND contains(name, 'Index# ') THEN CAST(712000 + CAST(substr(id, 2) AS BIGINT) AS STRING) || '-' || CAST(2010 + CAST(substr(id, 2) AS BIGINT) % 12 AS STRING)
-  ELSE '' END AS numbers FROM drive_items WHERE id LIKE 'D%'""", ("drive_items",))
-def _(spark, sf):
-    d = view(spark, sf, "drive_items").filter("startswith(id, 'D')")
-    return d.select("id", F.array_join(names.extract_state_indexes(F.col("name")), ",").alias("numbers"))
-
-
-@query("extract_state_indexes_all", """SELECT id, CASE WHEN starts_with(id, 'D') AND contains(name, 'Index# ') THEN CAST(712000 + CAST(substr(id, 2) AS BIGINT) AS STRING) || '-' || CAST(2010 + CAST(substr(id, 2) AS BIGINT) % 12 AS STRING)
+@query("extract_state_indexes", """SELECT id, CASE WHEN starts_with(id, 'D') AND contains(name, 'Index# ') THEN CAST(712000 + CAST(substr(id, 2) AS BIGINT) AS STRING) || '-' || CAST(2010 + CAST(substr(id, 2) AS BIGINT) % 12 AS STRING)
   WHEN starts_with(id, 'N') AND split_part(name, ' - ', -1) <> '0' THEN split_part(name, ' - ', -1) WHEN starts_with(id, 'S') AND contains(name, ' (Foreclosure)') THEN split_part(name, ' ', 1)
   WHEN starts_with(id, 'F') AND regexp_matches(name, ' 534[0-9]{3}_2020.pdf') THEN regexp_extract(name, ' (534[0-9]{3})_2020.pdf', 1) || '-2020' ELSE '' END AS numbers FROM drive_items""", ("drive_items",))
 def _(spark, sf):
     return view(spark, sf, "drive_items").select("id", F.array_join(names.extract_state_indexes(F.col("name")), ",").alias("numbers"))
 
 
-@query("extract_case_numbers")
+@query("extract_case_numbers", "SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN CAST(712000 + doc_id % 5000 AS STRING) || '-' || CAST(2010 + doc_id % 12 AS STRING) ELSE '' END AS numbers FROM doc_texts", ("doc_texts",))
 def _(spark, sf):
     d = view(spark, sf, "doc_texts")
     return d.select("doc_id", F.array_join(names.extract_case_numbers(F.col("text")), ",").alias("numbers"))
@@ -197,13 +193,7 @@ def _(spark, sf):
     return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", text.sniff_content(F.encode("html", "UTF-8"), F.lit("download"), look_inside=False).alias("kind"))
 
 
-@query("decode_text", "SELECT doc_id, md5(text) AS text_md5, CASE WHEN text IS NULL OR trim(text) = '' THEN 'the text file is empty' ELSE '' END AS failure FROM documents WHERE text IS NOT NULL")
-def _(spark, sf):
-    d = spark.read.parquet(f"{sf}/documents.parquet").filter("text is not null").select("doc_id", text.decode_text(F.encode("text", "UTF-8")).alias("r"))
-    return d.select("doc_id", F.md5("r.text").alias("text_md5"), F.col("r.failure").alias("failure"))
-
-
-@query("decode_text_all", "SELECT doc_id, md5(coalesce(text, '')) AS text_md5, CASE WHEN text IS NULL OR trim(text) = '' THEN 'the text file is empty' ELSE '' END AS failure FROM documents")
+@query("decode_text", "SELECT doc_id, md5(coalesce(text, '')) AS text_md5, CASE WHEN text IS NULL OR trim(text) = '' THEN 'the text file is empty' ELSE '' END AS failure FROM documents")
 def _(spark, sf):
     d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", text.decode_text(F.encode("text", "UTF-8")).alias("r"))
     return d.select("doc_id", F.md5("r.text").alias("text_md5"), F.col("r.failure").alias("failure"))
@@ -222,12 +212,6 @@ def _(spark, sf):
 
 
 @query("address_keys", "SELECT matter_id, CASE WHEN matter_id % 6 = 1 THEN CAST(100 + matter_id % 50 AS STRING) || 'alpha' ELSE '' END AS keys FROM matters", ("matters",))
-def _(spark, sf):
-    m = view(spark, sf, "matters")
-    return m.select("matter_id", F.array_join(F.filter(names.address_keys(F.col("matter")), lambda k: k.endswith("alpha")), ",").alias("keys"))
-
-
-@query("address_keys_all")
 def _(spark, sf):
     return view(spark, sf, "matters").select("matter_id", F.array_join(names.address_keys(F.col("matter")), ",").alias("keys"))
 
@@ -247,7 +231,7 @@ def _(spark, sf):
     return view(spark, sf, "matters").select("matter_id", names.is_generic_matter(F.col("matter"), F.col("client")).alias("generic"))
 
 
-@query("name_in_matter")
+@query("name_in_matter", "SELECT k, CASE WHEN starts_with(base, 'Lane') THEN '' ELSE replace(base, ',', '') END AS named FROM case_folders", ("case_folders",))
 def _(spark, sf):
     return view(spark, sf, "case_folders").select("k", names.name_in_matter(F.concat(F.lit("Foreclosure - "), F.replace("base", F.lit(","), F.lit("")))).alias("named"))
 
@@ -330,13 +314,28 @@ def _(spark, sf):
     return classify.route_document(view(spark, sf, "doc_texts"), "name", "text", "template").select("doc_id", "goes_to", "document_type", "certainty", "decided_by")
 
 
-@query("evidence_line")
+def sql_evidence(column: str, rank: str) -> str:
+    """The lines around a rule's first match, squeezed."""
+    lines = " ".join(f"WHEN {i} THEN regexp_extract({column}, '(?im)([^\\n]*?(?:{sql_pattern(r[1])})[^\\n]*)', 1)" for i, r in ALL)
+    return f"left(trim(regexp_replace(coalesce(CASE {rank} {lines} END, ''), '\\s+', ' ', 'g')), 150)"
+
+
+@query("evidence_line", f", r AS (SELECT doc_id, text, coalesce({TITLE_RANK}, {HEAD_RANK}, {ANY_RANK}) AS r FROM doc_texts) SELECT doc_id, {sql_evidence('text', 'r')} AS evidence FROM r", ("doc_texts",))
 def _(spark, sf):
     d = classify.with_text_type(view(spark, sf, "doc_texts"), "text").withColumn("r", F.col("text_type.rank"))
     return classify.evidence_line(d, "text", "r").select("doc_id", "evidence")
 
 
-@query("file_record")
+BIG = "doc_id * 100000 / 1048576.0 > 25"
+RECORD = f", given AS (SELECT doc_id, name, template, {BIG} AS big, CASE WHEN {BIG} THEN '' ELSE text END AS text FROM doc_texts)" + ROUTE[: ROUTE.index("SELECT doc_id, coalesce(ndest")].replace("FROM doc_texts", "FROM given") + f"""
+SELECT doc_id AS id, name AS file_name, '(folder root)' AS subfolder, round(doc_id * 100000 / 1048576.0::DOUBLE, 2) AS size_mb, NOT big AND regexp_matches(text, '\\S') AS was_read, CASE WHEN NOT big THEN 'plain' END AS read_with,
+  CASE WHEN big THEN 'larger than 25 MB' END AS not_read_because, CASE WHEN NOT big THEN CASE WHEN ndest IS NOT NULL THEN ntype ELSE ttype END END AS document_type, CASE WHEN NOT big THEN coalesce(ndest, tdest) END AS goes_to,
+  CASE WHEN NOT big THEN CASE WHEN ndest IS NOT NULL THEN 'el nombre' WHEN tdest IS NOT NULL THEN 'el contenido (' || CASE WHEN a IS NOT NULL OR b IS NOT NULL THEN 'titulo' ELSE 'mencion' END || ')' END END AS decided_by,
+  CASE WHEN NOT big AND ndest IS NULL THEN nullif({sql_evidence('t6', 'coalesce(a, b, c0)')}, '') END AS decided_because, CASE WHEN NOT big THEN regexp_matches(text, '\\b\\d{{3}}-\\d{{2}}-\\d{{4}}\\b') END AS contains_ssn,
+  CASE WHEN NOT big THEN length(text) END AS extracted_text_length FROM y"""
+
+
+@query("file_record", RECORD, ("doc_texts",))
 def _(spark, sf):
     d = view(spark, sf, "doc_texts").select(
         F.col("doc_id").alias("id"), F.col("name").alias("file_name"), F.lit("").alias("subfolder"), (F.col("doc_id") * 100_000).alias("size"), "text",
@@ -981,6 +980,7 @@ def _(spark, sf):
 # ---------------------------------------------------------------- sinks and streams, read back
 from . import stored  # noqa: E402
 
+RATE = """SELECT epoch_ms(s * 300000) AS start, epoch_ms(s * 300000 + 3600000) AS "end", count(*) AS files FROM (SELECT unnest(range((epoch_ms(ts) // 300000) - 11, (epoch_ms(ts) // 300000) + 1)) AS s FROM events WHERE event_type <> 'error') GROUP BY s"""
 QUERIES.update(stored.QUERIES)
 ORACLES.update({
     "case_jsonl": with_views("journal") + LATEST + " SELECT caso, count(*) + 1 AS lines FROM best GROUP BY caso",
@@ -990,5 +990,8 @@ ORACLES.update({
     "stream_dedupe_delta": with_views("journal") + " SELECT id, max(attempt) AS attempt FROM journal GROUP BY id",
     "stream_complete_cases": with_views("journal") + COMPLETE + " SELECT exp, files FROM complete WHERE complete",
     "stream_journal_chunks": with_views("journal") + " SELECT count(*) AS lines, count(DISTINCT id) AS ids FROM journal",
-    "reading_rate": """SELECT epoch_ms(s * 300000) AS start, epoch_ms(s * 300000 + 3600000) AS "end", count(*) AS files FROM (SELECT unnest(range((epoch_ms(ts) // 300000) - 11, (epoch_ms(ts) // 300000) + 1)) AS s FROM events WHERE event_type <> 'error') GROUP BY s""",
+    "reading_rate": RATE,
+    "stream_reading_rate": f"""SELECT * FROM ({RATE}) WHERE "end" <= (SELECT max(ts) FROM events WHERE event_type <> 'error') - INTERVAL 1 HOUR""",
 })
+for whole in ("extract_state_indexes", "address_keys", "decode_text"):  # the names of whole tables when these read a part
+    QUERIES[f"{whole}_all"], ORACLES[f"{whole}_all"] = QUERIES[whole], ORACLES[whole]
