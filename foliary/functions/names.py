@@ -9,14 +9,15 @@ from .helpers import ratio
 from .text import normalize_name
 
 #: Words of case kinds, filler, and markers.
-CASE_KINDS = (
-    "foreclosure identity theft wrongful reporting respa violation chapter article art time barred debt appeal fcra id wf "
-    "bankruptcy trial discovery settlement consult dispute"
-).split()
-FILLER = (
-    "the and for matter case client new york ny nj street avenue ave road blvd boulevard drive lane place court apt suite unit "
-    "floor brooklyn queens bronx manhattan staten island jamaica corona flushing west east north south llc inc corp ltd co index"
-).split()
+CASE_KINDS = [
+    "foreclosure", "identity", "theft", "wrongful", "reporting", "respa", "violation", "chapter", "article", "art", "time", "barred", "debt",
+    "appeal", "fcra", "id", "wf", "bankruptcy", "trial", "discovery", "settlement", "consult", "dispute",
+]
+FILLER = [
+    "the", "and", "for", "matter", "case", "client", "new", "york", "ny", "nj", "street", "avenue", "ave", "road", "blvd", "boulevard", "drive",
+    "lane", "place", "court", "apt", "suite", "unit", "floor", "brooklyn", "queens", "bronx", "manhattan", "staten", "island", "jamaica", "corona",
+    "flushing", "west", "east", "north", "south", "llc", "inc", "corp", "ltd", "co", "index",
+]
 MARKERS = {
     "prior": "prior", "pror": "prior", "previous": "prior", "appeal": "appeal", "trial": "trial", "art": "articulo15",
     "article": "articulo15", "bankruptcy": "bancarrota", "chapter": "bancarrota", "respa": "respa", "discovery": "discovery",

@@ -13,12 +13,13 @@ from .indexes import CAPTION
 
 SURNAME_LIKE, SAME, SAME_GENERIC = 0.85, 0.90, 0.85
 #: Words that tell no client from another.
-NO_SURNAMES = (
-    "llc inc corp ltd the and new york city county court group llp pllc company associates properties realty holdings trust estate "
-    "management enterprises partners development construction ventures capital consulting services incorporated corporation limited "
-    "avenue street road place house action federal page plaintiff defendant defendants exhibit index supreme district eastern "
-    "southern western northern civil case matter file"
-).split()
+NO_SURNAMES = [
+    "llc", "inc", "corp", "ltd", "the", "and", "new", "york", "city", "county", "court", "group", "llp", "pllc", "company", "associates",
+    "properties", "realty", "holdings", "trust", "estate", "management", "enterprises", "partners", "development", "construction", "ventures",
+    "capital", "consulting", "services", "incorporated", "corporation", "limited", "avenue", "street", "road", "place", "house", "action", "federal",
+    "page", "plaintiff", "defendant", "defendants", "exhibit", "index", "supreme", "district", "eastern", "southern", "western", "northern", "civil",
+    "case", "matter", "file",
+]
 
 
 def useful_surnames(folder: Column, own_names: list[str] = []) -> Column:

@@ -12,12 +12,12 @@ AREAS = ["Active Matters", "Closed Matters", "Matters"]
 ORIGINS, CONTAINERS = ["Active Matters", "Closed Matters"], ["Matters"]
 CAPTION, MOST_BYTES, MOST_FILES, CORROBORATED, TEMPLATE_OVER = 2500, 15 * 1024 * 1024, 6, 2, 5
 #: Words of document categories.
-DOCUMENT_WORDS = (
-    "litigation correspondence general court docs mortgage statement statements bank pay stubs tax returns financial worksheet "
-    "hardship letter loss mitigation mit liens judgments hoa insurance utility taxes submission submissions old new qwr complaint "
-    "bankruptcy mediation answer motion exhibits billing retainer scanned self employed closing discovery demands responses claim "
-    "files federal fee heloc lien default"
-).split()
+DOCUMENT_WORDS = [
+    "litigation", "correspondence", "general", "court", "docs", "mortgage", "statement", "statements", "bank", "pay", "stubs", "tax", "returns",
+    "financial", "worksheet", "hardship", "letter", "loss", "mitigation", "mit", "liens", "judgments", "hoa", "insurance", "utility", "taxes",
+    "submission", "submissions", "old", "new", "qwr", "complaint", "bankruptcy", "mediation", "answer", "motion", "exhibits", "billing", "retainer",
+    "scanned", "self", "employed", "closing", "discovery", "demands", "responses", "claim", "files", "federal", "fee", "heloc", "lien", "default",
+]
 CAUSES = ["casi-coincidencia: un digito", "año imposible en el nombre", "queda por explicar", "solo aparece un indice de plantilla", "cliente partido en varios matters"]
 
 
