@@ -73,16 +73,12 @@ SPLIT = """, parts AS (SELECT *, CASE WHEN starts_with(lower(trim(folder)), 'clo
 
 
 # ---------------------------------------------------------------- sources, as far as tables go
-@query("file_listing_paths", "SELECT id, name, size, hash, '/Matters/' || exp || CASE WHEN coalesce(sub, '') <> '' THEN '/' || sub ELSE '' END AS path FROM file_listing", ("file_listing",))
-def _(spark, sf):
-    sub = F.coalesce("sub", F.lit(""))
-    return view(spark, sf, "file_listing").select("id", "name", "size", "hash", F.concat_ws("/", F.lit("/Matters"), "exp", F.when(sub != "", sub)).alias("path"))
-
-
-@query("corrupt_line_report", "SELECT source AS file, count(*) AS corrupt_lines FROM documents GROUP BY source")
+@query("corrupt_line_report", "SELECT source AS file, count(*) AS corrupt_lines FROM documents WHERE doc_id % 3 <> 0 GROUP BY source")
 def _(spark, sf):
+    """Every third line is a record; the others are texts, which aren't JSON."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    parsed = docs.select(F.col("source").alias("file"), F.from_json("text", readers.JOURNAL, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
+    line = F.when(F.col("doc_id") % 3 == 0, F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("extracted_text")))).otherwise(F.coalesce("text", F.lit("")))
+    parsed = docs.select(F.col("source").alias("file"), F.from_json(line, readers.JOURNAL, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
     return readers.corrupt_line_report(parsed.select("file", "r.*"))
 
 
@@ -392,15 +388,24 @@ def _(spark, sf):
     return view(spark, sf, "matters").select("matter_id", classify.template_for_matter(F.col("case_type")).alias("template"))
 
 
-@query("validate_destinations", f", {RULES}, t AS (SELECT * FROM (VALUES {TEMPLATE_ROWS}) t(template, path)), u AS (SELECT type, 'Foreclosure' AS template, f AS path FROM rules UNION ALL SELECT type, 'FCRA', c FROM rules), bad AS (SELECT count(*) AS n FROM u LEFT JOIN t ON t.template = u.template AND t.path = u.path WHERE u.path IS NOT NULL AND t.path IS NULL) SELECT c.folder, bad.n AS invalid FROM case_folders c, bad", ("case_folders",))
+ROUTED = f""", {RULES}, t AS (SELECT * FROM (VALUES {TEMPLATE_ROWS}) t(template, path)), ranked AS (SELECT id, template, {NAME_RANK} AS nr FROM file_listing),
+ routed AS (SELECT k.id, k.template, CASE WHEN k.template = 'FCRA' THEN r.c ELSE r.f END AS path FROM ranked k LEFT JOIN rules r ON r.rank = k.nr),
+ checked AS (SELECT d.id, d.template, d.path, CASE WHEN d.path IS NOT NULL THEN t.path IS NOT NULL END AS valid FROM routed d LEFT JOIN t ON t.template = d.template AND t.path = d.path)"""
+
+
+def routes(spark: SparkSession, sf: str) -> DataFrame:
+    return classify.validate_routes(classify.with_name_type(view(spark, sf, "file_listing"), "name", "type_rank"))
+
+
+@query("validate_destinations", ROUTED + " SELECT template, path, count(*) AS files, count(*) FILTER (WHERE NOT valid) AS invalid FROM checked WHERE path IS NOT NULL GROUP BY template, path", ("file_listing",))
 def _(spark, sf):
-    bad = classify.validate_destinations(spark).agg(F.count(F.lit(1)).alias("invalid")).withColumn("_k", F.lit(1))
-    return view(spark, sf, "case_folders").select("folder", F.lit(1).alias("_k")).join(F.broadcast(bad), "_k").drop("_k")
+    """Of the destinations that files route to, how many files each has, and how many of them its template lacks."""
+    return routes(spark, sf).filter("path is not null").groupBy("template", "path").agg(F.count(F.lit(1)).alias("files"), F.count_if(~F.col("valid")).alias("invalid"))
 
 
-@query("validate_routes")
+@query("validate_routes", ROUTED + " SELECT id, path, valid FROM checked", ("file_listing",))
 def _(spark, sf):
-    return classify.validate_routes(classify.with_name_type(view(spark, sf, "file_listing"), "name", "type_rank")).select("id", "path", "valid")
+    return routes(spark, sf).select("id", "path", "valid")
 
 
 @query("infer_case_template", TREE + " SELECT client_folder, CASE WHEN bool_or(level = 3 AND starts_with(name, '02_FCRA')) THEN 'FCRA' ELSE 'Foreclosure' END AS template FROM tree GROUP BY client_folder", ("drive_items",))
@@ -990,6 +995,8 @@ ORACLES.update({
     "stream_dedupe_delta": with_views("journal") + " SELECT id, max(attempt) AS attempt FROM journal GROUP BY id",
     "stream_complete_cases": with_views("journal") + COMPLETE + " SELECT exp, files FROM complete WHERE complete",
     "stream_journal_chunks": with_views("journal") + " SELECT count(*) AS lines, count(DISTINCT id) AS ids FROM journal",
+    "file_listing_paths": with_views("file_listing") + " SELECT id, name, size, hash, '/Matters/' || exp || CASE WHEN coalesce(sub, '') <> '' THEN '/' || sub ELSE '' END AS path FROM file_listing",
+    "read_id_list": with_views("file_listing") + " SELECT id FROM file_listing",
     "reading_rate": RATE,
     "stream_reading_rate": f"""SELECT * FROM ({RATE}) WHERE "end" <= (SELECT max(ts) FROM events WHERE event_type <> 'error') - INTERVAL 1 HOUR""",
 })

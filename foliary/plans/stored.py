@@ -50,6 +50,21 @@ def stage_list_files(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.text(f"{path}/lists").groupBy("team").agg(F.count(F.lit(1)).alias("ids"))
 
 
+def file_listing_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """The listing as a file of JSON lines, read back."""
+    path = folder(spark, "listing")
+    view(spark, sf, "file_listing").select("id", "name", "size", "hash", "exp", "sub").write.json(path)
+    return readers.read_file_listing(spark, path).select("id", "name", "size", "hash", "path")
+
+
+def read_id_list(spark: SparkSession, sf: str) -> DataFrame:
+    """The listing's ids as a list with remarks and blank lines, read back."""
+    path = folder(spark, "ids")
+    lines = F.explode(F.array(F.concat(F.lit("  "), "id"), F.concat(F.lit("# "), "name"), F.lit(" ")))
+    view(spark, sf, "file_listing").select(lines.alias("value")).write.text(path)
+    return readers.read_id_list(spark, path)
+
+
 def journal_files(spark: SparkSession, sf: str, name: str) -> str:
     """The journal as files of JSON lines, one per attempt, so that file order is attempt order."""
     path = folder(spark, name)
@@ -121,5 +136,5 @@ def stream_reading_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (case_jsonl, stage_list_files, read_journals, stream_latest_records, stream_dedupe_delta, stream_complete_cases, stream_journal_chunks, reading_rate, stream_reading_rate)
+    for f in (file_listing_paths, read_id_list, case_jsonl, stage_list_files, read_journals, stream_latest_records, stream_dedupe_delta, stream_complete_cases, stream_journal_chunks, reading_rate, stream_reading_rate)
 }
