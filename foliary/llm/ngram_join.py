@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -245,23 +245,22 @@ def could_overlap(percent: int, every: str, some: str):
     return (100 + percent) * most >= percent * (F.col("x.n") + F.col("y.n"))
 
 
-def of_groups(labels: DataFrame, sets: DataFrame) -> DataFrame:
+def of_groups(labels: DataFrame) -> DataFrame:
     """group, lo, hi (labels of its members), shared (shingles that a member shares with any document), every and some (signatures)."""
     words = range(SIGNATURE // 64)
-    named = labels.join(sets.select("id", (F.col("n") - F.col("alone")).alias("shared"), "sig"), "id")
     both = [f(F.col("sig")[i]).alias(f"{name}{i}") for name, f in (("every", F.bit_and), ("some", F.bit_or)) for i in words]
-    found = named.groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("shared").alias("shared"), *both)
+    found = labels.groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("shared").alias("shared"), *both)
     return found.select("group", "lo", "hi", "shared", *(F.array(*[F.col(f"{name}{i}") for i in words]).alias(name) for name in ("every", "some")))
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels (id, group, label) after new links (a, b). Only the labels that links join are worked on, so each
-    link is used once and what is connected already stays contracted to one node."""
+    """Labels (id, group, label and what is known of the set) after new links (a, b). Only the labels that links join
+    are worked on, so each link is used once and what is connected already stays contracted to one node."""
     a = labels.select(F.col("id").alias("a"), F.col("label").alias("la"))
     b = labels.select(F.col("id").alias("b"), F.col("label").alias("lb"))
     joined = links.join(a, "a").join(b, "b").filter("la <> lb").select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct()
     found = components(joined).select(F.col("id").alias("label"), F.col("label").alias("new"))
-    out = labels.join(found, "label", "left").select("id", "group", F.coalesce("new", "label").alias("label"))
+    out = labels.join(found, "label", "left").select("id", "group", F.coalesce("new", "label").alias("label"), "n", "shared", "sig")
     return common.written(out, "labelled")
 
 
@@ -282,8 +281,8 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
     # rows that repeat an id with different texts have different sets: a set is named by its row here
     sets = common.written(first.withColumn("id", F.monotonically_increasing_id()), "sets")
     prefix = F.sha2(F.concat_ws(",", F.transform(F.slice("tokens", 1, F.col("take").cast("int")), lambda t: t.cast("string")), F.col("n"), F.col("alone")), 256)
-    named = sets.select("id", "n", "alone", "take", prefix.alias("prefix"))
-    members = named.join(named.groupBy("prefix").agg(F.min("id").alias("group")), "prefix").select("id", "group")
+    named = sets.select("id", "n", (F.col("n") - F.col("alone")).alias("shared"), "sig", prefix.alias("prefix"))
+    members = named.join(named.groupBy("prefix").agg(F.min("id").alias("group")), "prefix").select("id", "group", F.col("id").alias("label"), "n", "shared", "sig")
     members = common.written(members, "groups")
     heads = members.filter("id = group").select("group")
     # each posting also has the shingle before it in its prefix: two sets that share it met there already
@@ -295,21 +294,19 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
     posts = common.written(posts.join(lists, "token"), "postings")
 
     # within groups: members meet the group's head
-    labels = members.withColumn("label", F.col("id"))
-    labels = merged(labels, verified(members.filter("id <> group").select(F.col("group").alias("a"), F.col("id").alias("b")), sets, percent))
+    labels = merged(members, verified(members.filter("id <> group").select(F.col("group").alias("a"), F.col("id").alias("b")), sets, percent))
+    by_token = Window.partitionBy("token")
 
     def unfinished(posts: DataFrame, labels: DataFrame) -> DataFrame:
         """Postings of lists whose members are not all connected, with what is known of their groups."""
-        marked = posts.select("token", "group", "n", "place", "prev").join(of_groups(labels, sets), "group")
-        rest = marked.groupBy("token").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).filter("l < h").select("token")
-        return common.written(marked.join(rest, "token"), "unfinished")
+        marked = posts.select("token", "group", "n", "place", "prev").join(of_groups(labels), "group")
+        spread = marked.withColumn("_l", F.min("lo").over(by_token)).withColumn("_h", F.max("hi").over(by_token))
+        return spread.filter("_l < _h").drop("_l", "_h")
 
     def expanded(groups: DataFrame, labels: DataFrame) -> DataFrame:
         """Members of pairs of groups (x, y) that are not connected and could link."""
-        facts = sets.select("id", "n", (F.col("n") - F.col("alone")).alias("shared"), "sig")
-        asked = labels.join(groups.select(F.col("x").alias("group")).union(groups.select("y")).distinct(), "group").join(facts, "id")
-        x, y = (asked.select(F.col("group").alias(c), "id", "label", "n", "shared", "sig").alias(c) for c in ("x", "y"))
-        met = groups.alias("g").join(x, F.col("g.x") == F.col("x.x")).join(y, F.col("g.y") == F.col("y.y"))
+        x, y = labels.alias("x"), labels.alias("y")
+        met = groups.alias("g").join(x, F.col("g.x") == F.col("x.group")).join(y, F.col("g.y") == F.col("y.group"))
         met = met.filter((F.col("x.label") != F.col("y.label")) & could_overlap(percent, "sig", "sig"))
         return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
@@ -319,22 +316,20 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
     # one with the least of its own, which most of its copies are near to; the others are drawn
     for i in range(rounds):
         posts = unfinished(posts, labels)
-        if posts.isEmpty():
-            break
         own = (F.col("n") - F.col("shared")) / F.col("n") if i == 0 else F.lit(0.0)
-        pivots = posts.groupBy("token").agg(F.min(F.struct(own.alias("own"), F.xxhash64("group", F.lit(i)).alias("draw"), *posts.drop("token").columns)).alias("p"))
-        pivots = pivots.select("token", "p.*").alias("y")
-        met = posts.alias("x").join(pivots, F.col("x.token") == F.col("y.token")).filter(F.col("x.group") != F.col("y.group"))
-        votes = met.filter(possible).groupBy(F.col("x.group").alias("x"), F.col("y.group").alias("y")).agg(F.count(F.lit(1)).alias("votes"))
+        one = F.struct(*posts.columns)
+        first = F.min(F.struct(own.alias("own"), F.xxhash64("group", F.lit(i)).alias("draw"), *posts.drop("token").columns)).over(by_token)
+        posts = common.written(posts.select("token", "group", "n", "place", "prev", one.alias("x"), first.alias("y")), "unfinished")
+        met = posts.filter((F.col("x.group") != F.col("y.group")) & possible)
+        votes = met.groupBy(F.col("x.group").alias("x"), F.col("y.group").alias("y")).agg(F.count(F.lit(1)).alias("votes"))
         groups = votes.groupBy("x").agg(F.max_by("y", F.struct("votes", "y")).alias("y"))
         labels = merged(labels, verified(expanded(groups, labels), sets, percent))
 
     # the rest: all pairs that are not connected yet and could link. In each list, groups of the commonest label
     # meet only the others, so a large connected group makes no pairs with itself.
-    posts = unfinished(posts, labels)
-    sizes = posts.filter("lo = hi").groupBy("token", "lo").agg(F.count(F.lit(1)).alias("c"))
-    commonest = sizes.groupBy("token").agg(F.max_by("lo", F.struct("c", "lo")).alias("top"))
-    posts = common.written(posts.join(commonest, "token", "left"), "unfinished")
+    posts = unfinished(posts, labels).withColumn("c", F.count(F.when(F.col("lo") == F.col("hi"), 1)).over(Window.partitionBy("token", "lo")))
+    top = F.max(F.when(F.col("lo") == F.col("hi"), F.struct("c", "lo"))).over(by_token)
+    posts = common.written(posts.withColumn("top", top["lo"]).drop("c"), "unfinished")
     of_top = (F.col("lo") == F.col("hi")) & (F.col("lo") == F.col("top"))
     few = posts.filter(~F.coalesce(of_top, F.lit(False))).alias("x")
     all_ = posts.withColumn("is_top", F.coalesce(of_top, F.lit(False))).alias("y")
@@ -342,8 +337,7 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
     met = few.join(all_, F.col("x.token") == F.col("y.token")).filter(once & possible)
     groups = met.select(F.col("x.group").alias("x"), F.col("y.group").alias("y")).distinct()
     mixed = labels.groupBy("group").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h").select(F.col("group").alias("x"), F.col("group").alias("y"))
-    pairs = expanded(common.written(groups.union(mixed), "pairs"), labels)
-    labels = merged(labels, verified(pairs, sets, percent))
+    labels = merged(labels, verified(expanded(groups.union(mixed), labels), sets, percent))
 
     # labels back to documents: the class's smallest id, then the component's
     names = sets.select("id", "digest", "doc")
