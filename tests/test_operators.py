@@ -1,6 +1,7 @@
 """Rules that need more than one row."""
 
 from datetime import date
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +80,38 @@ def test_matters(spark):
     assert got == {1: "DUPLICADO", 2: "DUPLICADO", 3: "CASO DISTINTO", 4: "CASO DISTINTO", 5: "INCOMPLETO"}
 
 
+def test_pairs_that_names_decide(spark):
+    """Only the similarity of the names is left: almost equal, or different by so many percent."""
+    def percent(x, y):
+        best = max(SequenceMatcher(None, p, q).ratio() for p, q in ((x, y), (" ".join(sorted(x.split())), " ".join(sorted(y.split())))))
+        return f"{int(best * 100 + 0.5)}%"
+
+    rows = [(1, "a", "Roe", "Roe, Pat - Dispute"), (2, "b", "Roe", "Roe, Pat - Disputes"), (3, "a", "Roe", "Roe - Alpha Zebra"), (4, "b", "Roe", "Roe - Quill Mango"), (5, "a", "Roe", "Roe - 12 Alpha Grove"), (6, "b", "Roe", "Roe - 12 Alpha Grove, again")]
+    df = identity.matter_features(spark.createDataFrame(rows, "k int, side string, client string, matter string"))
+    cols = ["matter", "indexes", "files", "addresses", "markers", "people", "generic"]
+    side = lambda s, p, k: df.filter(F.col("side") == s).select(k.alias("pair"), *[F.col(c).alias(p + c) for c in cols])
+    got = {r["pair"]: (r["verdict"], r["reason"]) for r in identity.compare_matters(side("a", "a_", F.col("k")).join(side("b", "b_", F.col("k") - 1), "pair")).collect()}
+    assert got == {
+        1: ("DUPLICADO", f"nombres casi identicos ({percent('roe pat dispute', 'roe pat disputes')} de coincidencia)"),
+        3: ("CASO DISTINTO", f"nombres diferentes ({percent('roe alpha zebra', 'roe quill mango')} de coincidencia)"),
+        5: ("DUPLICADO", "misma direccion en los dos nombres"),
+    }
+
+
+@pytest.mark.parametrize("least", [1, 4])
+def test_latest_table_rewrites_what_a_batch_touches(spark, tmp_path, least):
+    table = journals.LatestTable(spark, f"file://{tmp_path}/t", "id string, n long", ["n"], precedence=False, buckets=8)
+    rows = lambda *r: spark.createDataFrame(r, "id string, n long")
+    table.upsert(rows(*((f"i{k}", 1) for k in range(40))), 0)
+    for batch in range(1, 1 + least):
+        table.upsert(rows(("i3", 10 * batch)), batch)
+    table.upsert(rows(("i3", 10 * least)), least)  # a batch that runs again
+    got = {r["id"]: r["n"] for r in table.read().collect()}
+    assert got == {f"i{k}": 10 * least if k == 3 else 1 for k in range(40)}
+    folders = sorted(p.parent.name for p in (tmp_path / "t").glob("v=*/bucket=*"))
+    assert folders.count("v=0") in (7, 8) and len(folders) <= 10
+
+
 def test_resolve_case_with_people(spark):
     cases = spark.createDataFrame([("Angertson, Pat - 600001 - 0", "Angertson, Pat", ""), ("Zimmer, Al - 600002 - 0", "Zimmer, Al", "")], "folder string, base string, index_number string")
     docs = spark.createDataFrame([(1, "nothing", [], []), (2, "nothing", [], [])], "doc_id long, text string, numbers array<string>, caption_numbers array<string>")
