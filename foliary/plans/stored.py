@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import assemble, journal, staging
 from ..sources import readers, sinks
-from ..streaming import journals
+from ..streaming import completeness, journals
 from .views import view
 
 
@@ -107,8 +107,10 @@ def stream_dedupe_delta(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_complete_cases(spark: SparkSession, sf: str) -> DataFrame:
-    table, out = latest_table(spark, "latest"), folder(spark, "published")
-    journals.stream_complete_cases(journal_stream(spark, sf), table, view(spark, sf, "file_listing"), out, folder(spark, "checkpoint")).awaitTermination()
+    feed, out = folder(spark, "listing"), folder(spark, "published")
+    view(spark, sf, "file_listing").select("id", "exp", "hash").write.parquet(feed)
+    listing = spark.readStream.schema("id string, exp string, hash string").parquet(feed)
+    completeness.stream_complete_cases(journal_stream(spark, sf), listing, folder(spark, "work"), out)
     log = spark.read.schema("exp string, files long, batch long").parquet(out)
     return log.groupBy("exp").agg(F.max_by("files", "batch").alias("files"))
 

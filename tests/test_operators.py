@@ -98,20 +98,6 @@ def test_pairs_that_names_decide(spark):
     }
 
 
-@pytest.mark.parametrize("least", [1, 4])
-def test_latest_table_rewrites_what_a_batch_touches(spark, tmp_path, least):
-    table = journals.LatestTable(spark, f"file://{tmp_path}/t", "id string, n long", ["n"], precedence=False, buckets=8)
-    rows = lambda *r: spark.createDataFrame(r, "id string, n long")
-    table.upsert(rows(*((f"i{k}", 1) for k in range(40))), 0)
-    for batch in range(1, 1 + least):
-        table.upsert(rows(("i3", 10 * batch)), batch)
-    table.upsert(rows(("i3", 10 * least)), least)  # a batch that runs again
-    got = {r["id"]: r["n"] for r in table.read().collect()}
-    assert got == {f"i{k}": 10 * least if k == 3 else 1 for k in range(40)}
-    folders = sorted(p.parent.name for p in (tmp_path / "t").glob("v=*/bucket=*"))
-    assert folders.count("v=0") in (7, 8) and len(folders) <= 10
-
-
 def test_resolve_case_with_people(spark):
     cases = spark.createDataFrame([("Angertson, Pat - 600001 - 0", "Angertson, Pat", ""), ("Zimmer, Al - 600002 - 0", "Zimmer, Al", "")], "folder string, base string, index_number string")
     docs = spark.createDataFrame([(1, "nothing", [], []), (2, "nothing", [], [])], "doc_id long, text string, numbers array<string>, caption_numbers array<string>")
