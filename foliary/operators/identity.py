@@ -145,33 +145,3 @@ def compare_matters(pairs: DataFrame, a: str = "a_", b: str = "b_") -> DataFrame
     open_ = open_.withColumn("_v", F.coalesce(told(name_rules), last)).drop("_ratio")
     out = settled.filter("_v is not null").unionByName(open_)
     return out.withColumn("verdict", F.col("_v.verdict")).withColumn("reason", F.col("_v.reason")).drop("_v")
-
-
-def classify_client_matters(matters: DataFrame) -> DataFrame:
-    """matter_id, verdict, reason of every matter against its client's others.
-
-    Pairs are made inside a client, as the verdict is over all of them; each pair goes to both its
-    matters and only the best verdict, then the first pair, stays, by aggregation.
-    """
-    f = matter_features(matters)
-    cols = ["matter_id", "matter", "indexes", "files", "addresses", "markers", "people", "generic"]
-    side = lambda p: f.select("client", *[F.col(c).alias(p + c) for c in cols])
-    pairs = compare_matters(side("a_").join(side("b_"), "client").filter("a_matter_id < b_matter_id"))
-    vague = F.col("verdict") == "DUPLICADO SIN ESPECIFICAR"
-
-    def told(me: str, other: str) -> DataFrame:
-        own = F.when(~vague, F.struct("verdict", F.concat("reason", F.lit(" (vs "), other + "matter", F.lit(")")).alias("reason")))
-        text = F.concat(F.lit("no especifica el caso y el cliente si tiene otro matter especificado ("), other + "matter", F.lit(")"))
-        own = own.when(F.col(me + "generic"), F.struct(F.col("verdict"), text.alias("reason")))
-        own = own.otherwise(F.struct(F.lit("CASO DISTINTO").alias("verdict"), F.lit("esta especificado").alias("reason")))
-        return pairs.select(F.col(me + "matter_id").alias("matter_id"), F.col(other + "matter_id").alias("_other"), own.alias("v"))
-
-    all_ = told("a_", "b_").union(told("b_", "a_"))
-    level = F.when(F.col("v.verdict") == "DUPLICADO", 0).when(F.col("v.verdict") == "DUPLICADO SIN ESPECIFICAR", 1).otherwise(2)
-    best = all_.groupBy("matter_id").agg(F.min_by("v", F.struct(level.alias("l"), "_other")).alias("v"))
-    alone = F.when(F.col("generic"), F.struct(F.lit("INCOMPLETO").alias("verdict"), F.lit("el nombre solo dice el cliente o el tipo de caso: falta el caso").alias("reason")))
-    alone = alone.otherwise(F.struct(F.lit("CASO UNICO").alias("verdict"), F.lit("el cliente tiene un solo matter y esta especificado").alias("reason")))
-    out = f.select("matter_id", "client", "generic").join(best, "matter_id", "left").withColumn("v", F.coalesce("v", alone))
-    return out.select("matter_id", "client", "v.verdict", "v.reason")
-
-

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names, text
-from ..operators import assemble, classify, identity, indexes, journal, reports, staging
+from ..operators import assemble, classify, duplicates, identity, indexes, journal, reports, staging
 from ..rules.doc_types import DOC_TYPES
 from ..rules.folders import FOLDER_PATTERNS, FOLDERS, TEMPLATES
 from ..sources import readers
@@ -912,7 +912,7 @@ def _(spark, sf):
 
 @query("classify_client_matters")
 def _(spark, sf):
-    return identity.classify_client_matters(view(spark, sf, "matters"))
+    return duplicates.classify_client_matters(view(spark, sf, "matters"))
 
 
 # ---------------------------------------------------------------- reports

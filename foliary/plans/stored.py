@@ -5,29 +5,16 @@ Files go to the cluster's shared folder.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import assemble, journal, staging
 from ..sources import readers, sinks
+from ..sources.shared import folder
 from ..streaming import completeness, journals
 from .views import view
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A new folder where all executors see it (spark.checkpoint.dir); a local one only where none is named and Spark is local."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="foliary-stored-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def best_and_listing(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return journal.latest_records(view(spark, sf, "journal")), view(spark, sf, "file_listing")
 

@@ -6,7 +6,7 @@ from difflib import SequenceMatcher
 import pytest
 from pyspark.sql import functions as F
 
-from foliary.operators import assemble, classify, identity, journal, staging
+from foliary.operators import assemble, classify, duplicates, identity, journal, staging
 from foliary.sources import readers, sinks
 from foliary.streaming import journals
 
@@ -76,7 +76,7 @@ def test_destinations_exist(spark):
 def test_matters(spark):
     data = [(1, "p", "Sam Poe (Index# 712345/2023)"), (2, "p", "Sam Poe - Index# 712345/2023"), (3, "l", "Lee Dee Moe - Foreclosure - 12 Alpha Corp - Art 15"), (4, "l", "Lee Dee Moe - Foreclosure - 12 Beta Place Springfield, NY 11111"), (5, "b", "Example Bank National Trust Company - Foreclosure")]
     df = spark.createDataFrame(data, "matter_id int, client string, matter string").withColumn("client", F.when(F.col("client") == "b", "Example Bank National Trust Company").when(F.col("client") == "p", "Sam Poe").otherwise("Lee Dee Moe"))
-    got = {r["matter_id"]: r["verdict"] for r in identity.classify_client_matters(df).collect()}
+    got = {r["matter_id"]: r["verdict"] for r in duplicates.classify_client_matters(df).collect()}
     assert got == {1: "DUPLICADO", 2: "DUPLICADO", 3: "CASO DISTINTO", 4: "CASO DISTINTO", 5: "INCOMPLETO"}
 
 
