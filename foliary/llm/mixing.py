@@ -1,12 +1,13 @@
 """Mixing sources to target weights with a low-discrepancy schedule, in DataFrame functions only.
 
-Golden-ratio points x_k = frac(k * phi) are mapped through the cumulative target shares, which
-gives slot k to a source. Slots are ranked per source. Each source's documents are put in a
-hashed order and read as one stream of words, cut into blocks of equally many words. The slot of
+Each source's documents are put in a hashed order and read as one stream of words, cut into blocks of equally many words
+(the last, or the only one of a small source, may be shorter), so a source needs a number of slots to meet its target. There are as many
+slots as all sources need. Golden-ratio points x_k = frac(k * phi) are mapped through the cumulative shares of
+the needs, which gives slot k to a source. Slots are ranked per source. The slot of
 rank r takes block r mod (number of blocks), so a source that must be repeated starts over, and its
 last slot is cut where the target is met. A sequence's discrepancy is at most logarithmic, so a
-source may end a few slots short or over: slots beyond its need are skipped, and those missing are
-appended at the end of the schedule.
+source may end a few slots short or over: the slots that some sources have beyond their need, in order, go to the
+ranks that others miss, in a hashed order, so all slots are filled and none is appended.
 
 Targets: source weights share all words; a source's target stops at `most` times its own words
 and what is over is shared anew by weight among the rest, until none is above. Sorted by room per weight, the
@@ -65,8 +66,7 @@ def planned(sizes: DataFrame, block: int, weights: Callable[[Column], Column], m
     rows = rows.withColumns({
         "need": F.col("passes") * F.col("blocks") + slots,
         "last_take": F.when(F.col("rest") > 0, F.col("rest") - (slots - 1) * block).otherwise(block),
-        "high": F.round(F.sum("target").over(upto) / F.greatest(F.sum("target").over(every), F.lit(1e-300)) * F.lit(2.0**32)).cast("long"),
-    })
+    }).withColumn("high", F.round(F.sum("need").over(upto) / F.greatest(F.sum("need").over(every), F.lit(1)) * F.lit(2.0**32)).cast("long"))
     rows = rows.withColumn("low", F.lag("high", 1, 0).over(every.orderBy("i")))
     return rows.select("i", "source", "source_size", "target", "blocks", "need", "last_take", "low", "high")
 
@@ -81,10 +81,14 @@ def schedule(plan: DataFrame, slots: int, few: Callable[[DataFrame], DataFrame])
     k = k.select("slot", "i", "need", "blocks", "last_take", F.floor(F.col("slot") / SLOT_BUCKET).alias("_bucket"), F.lit(1).alias("_one"))
     reached = k.groupBy("i").agg(F.count(F.lit(1)).alias("got"))
     k = common.prefix_sums(k, ["i"], ["slot"], "_one", "rank", bucket_key="_bucket").select("slot", "i", "rank", "need", "blocks", "last_take")
-    # appended: ranks that the points did not reach, a few per source
-    tail = plan.join(reached, "i", "left").withColumn("got", F.coalesce("got", F.lit(0))).filter("got < need")
-    tail = tail.select(F.lit(slots).cast("long").alias("slot"), "i", F.explode(F.sequence(F.col("got"), F.col("need") - 1)).alias("rank"), "need", "blocks", "last_take")
-    both = k.unionByName(tail).filter("rank < need")
+    # slots beyond their source's need, numbered in order, go to the ranks that the points did not reach, numbered in an order by hash
+    spare = k.filter("rank >= need").select("slot", F.floor(F.col("slot") / SLOT_BUCKET).alias("_bucket"), F.lit(1).alias("_one"))
+    spare = common.prefix_sums(spare, [], ["slot"], "_one", "_free", bucket_key="_bucket").select("slot", "_free")
+    missed = plan.join(reached, "i", "left").withColumn("got", F.coalesce("got", F.lit(0))).filter("got < need")
+    missed = missed.select("i", F.explode(F.sequence(F.col("got"), F.col("need") - 1)).alias("rank"), "need", "blocks", "last_take", F.lit(1).alias("_one"))
+    missed = missed.withColumn("_h", F.xxhash64("i", "rank")).withColumn("_bucket", F.shiftright("_h", 48))
+    missed = common.prefix_sums(missed, [], ["_h", "i", "rank"], "_one", "_free", bucket_key="_bucket")
+    both = k.filter("rank < need").unionByName(missed.join(spare, "_free").select(*k.columns))
     return both.select("slot", "i", "rank", (F.col("rank") % F.col("blocks")).alias("block"), F.when(F.col("rank") == F.col("need") - 1, F.col("last_take")).alias("cut"))
 
 
@@ -97,9 +101,9 @@ def streams(docs: DataFrame, block: int, weights: Callable[[Column], Column], mo
     rows = common.written(rows, "sizes")  # narrow: texts are read once
     sizes = common.written(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "source-sizes")
     plan = common.written(planned(sizes, block, weights, most), "mix-plan")
-    facts = plan.agg(F.count(F.lit(1)), F.coalesce(F.sum("source_size"), F.lit(0))).first()
+    facts = plan.agg(F.count(F.lit(1)), F.coalesce(F.sum("need"), F.lit(0))).first()
     few = F.broadcast if facts[0] <= few_sources else lambda df: df
-    chosen = schedule(plan, -(-facts[1] // block), few)
+    chosen = schedule(plan, facts[1], few)
     named = few(plan.select("i", F.col("source").alias("_source"), "source_size", "target"))
     rows = rows.join(named, rows["source"].eqNullSafe(F.col("_source"))).drop("_source").withColumn("_h", F.xxhash64("doc_id", F.lit(4)))
     stream = common.prefix_sums(rows, ["i"], ["_h", "doc_id", "_text", "size"], "size", "start").drop("_h", "_text")
@@ -130,7 +134,7 @@ def mix(
 ) -> DataFrame:
     """One row per document: doc_id, size, source, source_size, target, taken (words that the mix reads) and the columns to carry.
 
-    `block` is the number of words of a slot (raise it with the corpus: there are words / block slots)."""
+    `block` is the number of words of a slot (raise it with the corpus: there are about words / block slots, one a pass at least for each source)."""
     stream, pieces = streams(docs, block, weights, most, few_sources, id_col, text_col, source_col, carry)
     # a document with words is named by its place in its source's stream
     taken = pieces.groupBy("i", "start").agg(F.sum(F.col("last") - F.col("first")).alias("taken")).withColumn("_some", F.lit(True))
