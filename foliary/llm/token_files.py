@@ -1,7 +1,7 @@
 """Token ids in ORC: integer run-length encoding, row indexes and Bloom filters on document ids.
 
 Documents are dealt to ranges of their id, sorted, encoded and written, one ORC file per range,
-so the file names in order give the ids in order. Stripes are read in parallel; a look-up by id
+so the files in order of their numbers give the ids in order. Stripes are read in parallel; a look-up by id
 prunes files and stripes by their statistics and row groups by the Bloom filter.
 
 Cases: a null text is empty and gives the end id alone; rows that repeat an id stand side by side,
@@ -76,10 +76,11 @@ def checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def token_index(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32, all from the ids read back. Files are in order of their
+    """doc_id, start, n_tokens, ids_crc32, all from the ids read back. Files are in the order of the number in their
     names, so running sums are taken in each file, then over the files."""
-    ids = read_tokens(spark, path).select(F.col("_metadata.file_name").alias("file"), "doc_id", "ids")
-    rows = common.written(ids.mapInArrow(checksums, "file string, doc_id long, n_tokens long, ids_crc32 long"), "token-index")
+    number = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long")  # as a number: part-100000 comes after part-99999
+    ids = read_tokens(spark, path).select(number.alias("file"), "doc_id", "ids")
+    rows = common.written(ids.mapInArrow(checksums, "file long, doc_id long, n_tokens long, ids_crc32 long"), "token-index")
     return common.prefix_sums(rows, [], ["doc_id", "ids_crc32", "n_tokens"], "n_tokens", "start", bucket_key="file").drop("file")
 
 
