@@ -303,6 +303,29 @@ def test_the_mix_is_even_all_along(spark, few_sources):
     assert words == {d: r["taken"] for d, r in taken.items() if r["taken"]}
 
 
+def test_sources_smaller_than_a_block(spark):
+    """300 sources of one slot a pass: no stretch of the mix, and not its end, belongs to some of them."""
+    rows = [(i, prose(i, 20 + i % 7), "en", f"s{i % 300:03}", 1) for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = mixing.mixed_sequence(df).orderBy("slot", "source", "rank", "first_word").collect()
+    target = {r["source"]: r["target"] for r in mixing.mix(df).collect()}
+    slots = [r["slot"] for r in got]
+    assert len(set(slots)) == max(slots) + 1  # all are filled, none is appended
+    total = sum(target.values())
+    for group in ([f"s{i:03}" for i in range(j, 300, 10)] for j in range(10)):
+        share, so_far, own = sum(target[s] for s in group) / total, 0, 0
+        for r in got:
+            n = r["last_word"] - r["first_word"]
+            so_far, own = so_far + n, own + n * (r["source"] in group)
+            assert abs(own - so_far * share) <= 0.03 * total
+    for parts in range(5, 301, 59):  # neighbours too
+        share = sum(t for s, t in target.items() if s < f"s{parts:03}") / total
+        for k in range(1, 11):
+            upto = [r for r in got if r["slot"] < k * (max(slots) + 1) / 10]
+            words = lambda rows: sum(r["last_word"] - r["first_word"] for r in rows)
+            assert abs(words([r for r in upto if r["source"] < f"s{parts:03}"]) - share * words(upto)) <= 0.03 * total
+
+
 def test_mixing_nothing(spark, none, odd):
     assert mixing.mix(none).count() == 0
     blank = odd.filter("doc_id < 3")
@@ -337,6 +360,20 @@ def test_all_passages_of_a_pair(spark):
     assert passages.matches(a, b, 46, 75) == [(0, 55, 150, 205, 1.0)]  # not the first place of each shingle
 
 
+def test_one_replaced_word_at_any_place(spark):
+    """A passage of 50 words with one word replaced, alone in its two texts, is found whatever the place."""
+    rows = []
+    for at in range(24, 36):
+        for k in range(12):
+            words = prose(1000 * at + k, 50).split()
+            other = [*words[:at], "replaced", *words[at + 1 :]]
+            rows.append((2 * (100 * at + k), " ".join([prose(7 * at + k, 30), *words, prose(5 * at + k + 10**6, 30)]), "en", "s", 1))
+            rows.append((2 * (100 * at + k) + 1, " ".join([prose(3 * at + k + 10**7, 40), *other, prose(2 * at + k + 10**8, 20)]), "en", "s", 1))
+    got = {(r["match_id"], r["doc_id"]) for r in passages.passages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    want = {(r[0], r[0] + 1) for r in rows if r[0] % 2 == 0}
+    assert got == want
+
+
 def led_passage(seed, line=25):
     """50 words in whose first `line` lie the minima of all functions, so that whoever has those leads its lists."""
     for k in itertools.count(seed):
@@ -590,6 +627,23 @@ def test_token_files(spark, odd, none, tmp_path):
     assert token_files.token_index(spark, path + "0").count() == 0
 
 
+def test_files_are_read_in_the_order_of_their_numbers(spark, tmp_path):
+    """Spark numbers part files with five digits; the sixth must not put part-100000 before part-99999."""
+    path = tmp_path / "many"
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(40)], "doc_id long, text string")
+    token_files.write_tokens(docs, f"file://{path}", tokens.public_path("byte_bpe_50k.json"), 2)
+    files = sorted(p for p in path.iterdir() if p.name.startswith("part-"))
+    assert len(files) > 2
+    for p in path.iterdir():
+        if p.name.endswith(".crc"):
+            p.unlink()
+    for i, p in enumerate(files):
+        p.rename(path / f"part-{99_998 + i}-{p.name.split('-', 2)[2]}")
+    got = token_files.token_index(spark, f"file://{path}").orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == list(range(40)) and got[0]["start"] == 0
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(got, got[1:]))
+
+
 # ------------------------------------------------------------------ 10
 def test_exact_dedup(spark, odd, none):
     got = exact_dedup.exact_dedup(odd).collect()
