@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .helpers import ascii_fold, entities_decoded
+from .helpers import ascii_fold, compound_kind, entities_decoded
 
 #: Fixed values.
 SSN = r"\b\d{3}-\d{2}-\d{4}\b"
@@ -175,6 +175,9 @@ MEMBERS = {"docx": "word/document.xml", "xlsb": "xl/workbook.bin", "xlsx": "xl/w
 STORED_TYPES = {"odt": "opendocument.text", "ods": "opendocument.spreadsheet"}
 
 
+COMPOUND = "D0CF11E0A1B11AE1"
+
+
 def container_kind(content: Column) -> Column:
     """What a zip container holds, by the names in its central directory; `zip` if it tells nothing or is cut off.
 
@@ -199,7 +202,7 @@ def magic_kind(content: Column, look_inside: bool = True) -> Column:
     return (
         F.when(F.length(content) < 4, None)
         .when(F.instr(F.decode(F.substring(content, 1, 1024), "ISO-8859-1"), "%PDF-") > 0, "pdf")
-        .when(start("D0CF11E0A1B11AE1"), "ole")
+        .when(start(COMPOUND), compound_kind(F.when(start(COMPOUND), content)) if look_inside else F.lit("ole"))
         .when(start("504B0304"), container_kind(content) if look_inside else F.lit("zip"))
         .when(start("377ABCAF271C"), "7z")
         .when(start("789F3E22"), "tnef")

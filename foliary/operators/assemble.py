@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.names import split_case_name
 from ..functions.text import is_password_file, password_candidates
 from .journal import first_original_by_hash, has_hash, is_definitive, latest_records, must_reread, was_read
+from .scale import spread_join
 
 READING = ["was_read", "not_read_because", "ocr_ok", "reader_version"]
 
@@ -43,7 +44,7 @@ def assemble_case_records(listing: DataFrame, records: DataFrame, incomplete: bo
     cols = [c for c in READING + ["read_with", "document_type", "contains_ssn", "pages_read", "extracted_text"] if c in records.columns]
     own = records.select("id", is_definitive().alias("_done"), F.struct(*cols).alias("_own"))
     original = first_original_by_hash(records).select("hash", F.col("id").alias("_from"), F.struct(*cols).alias("_copy"))
-    files = listing.join(own, "id", "left").join(original, "hash", "left")
+    files = spread_join(listing.join(own, "id", "left"), original, "hash", how="left")
     nothing = F.struct(*[F.lit("not read in this stage").alias(c) if c == "not_read_because" else (F.lit(False) if c == "was_read" else F.lit(None).cast(records.schema[c].dataType)).alias(c) for c in cols])
     settled = F.coalesce("_done", F.lit(False))
     pick = F.when(settled, F.col("_own")).when(F.col("_copy").isNotNull(), F.col("_copy"))

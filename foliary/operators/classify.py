@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.literals import candidates, may_match
 from ..functions.text import blank, contains_ssn, mask_ssn, normalize_folder_name, py_regex
 from ..rules.doc_types import DESCRIPTIONS, DOC_TYPES
 from ..rules.folders import FOLDER_PATTERNS, FOLDERS, TEMPLATES
@@ -31,46 +32,53 @@ def first_rule(conditions: list[tuple[int, Column]]) -> Column:
     return F.coalesce(*[F.when(c, F.lit(i)) for i, c in conditions])
 
 
+def staged(df: DataFrame, conditions: list[tuple[int, Column]], out: str, stage: int, still: Column | None = None) -> DataFrame:
+    """Adds the rank of the first rule that holds, `stage` rules to a step; a step looks only at rows (of those `still` open) that none before has told."""
+    told: list[str] = []
+    for lo in range(0, len(conditions), stage):
+        open_ = F.coalesce(*told).isNull() if told else F.lit(True)
+        told.append(f"_stage{lo}")
+        df = df.withColumn(told[-1], F.when(open_ if still is None else open_ & still, first_rule(conditions[lo : lo + stage])))
+    return df.withColumn(out, F.coalesce(*told)).drop(*told)
+
+
 def with_name_type(df: DataFrame, name: str, out: str = "name_rank", rules: list[tuple] = DOC_TYPES, stage: int = 12, distinct: bool = True) -> DataFrame:
     """Adds the rank of the first type whose name pattern fits the raw name or the one with its separators as spaces.
 
-    Rules are taken `stage` at a time; one look for any of them, in both forms of the name at once, tells which stage has to
-    look at its rules one by one. Each stage is a step of its own, for names that none before has told. Names of files
+    A rule's pattern runs only on names that hold a literal it needs. Names of files
     repeat, so each `distinct` name is looked at once and joined back; not where rows are wide, as with texts."""
     if distinct:
         names = with_name_type(df.select(name).distinct(), name, out, rules, stage, False)
         return df.join(names, name, "left").select(*df.columns, out)
     raw = F.col(name)
-    df = df.withColumn("_airy", F.regexp_replace(raw, r"[_\-.]+", " ")).withColumn("_both", F.concat(raw, F.lit("\n\x01\n"), F.col("_airy")))
-    told: list[str] = []
-    for lo in range(0, len(rules), stage):
-        part = [(i, r[5] or r[1]) for i, r in enumerate(rules)][lo : lo + stage]
-        some = F.col("_both").rlike(py_regex("|".join(f"(?:{p})" for _, p in part)))
-        first = first_rule([(i, raw.rlike(py_regex(p)) | F.col("_airy").rlike(py_regex(p))) for i, p in part])
-        open_ = F.coalesce(*told).isNull() & some if told else some
-        told.append(f"_stage{lo}")
-        df = df.withColumn(told[-1], F.when(open_, first))
-    return df.withColumn(out, F.coalesce(*told)).drop("_airy", "_both", *told)
+    df = df.withColumn("_airy", F.regexp_replace(raw, r"[_\-.]+", " ")).withColumn("_lower", F.lower(F.concat(raw, F.lit("\n"), F.col("_airy"))))
+    fits = lambda p: may_match(F.col("_lower"), p) & (raw.rlike(py_regex(p)) | F.col("_airy").rlike(py_regex(p)))
+    return staged(df, [(i, fits(r[5] or r[1])) for i, r in enumerate(rules)], out, stage).drop("_airy", "_lower")
 
 
-def with_text_type(df: DataFrame, text: str, out: str = "text_type", rules: list[tuple] = DOC_TYPES) -> DataFrame:
-    """Adds a struct of rank and where. Each window is a step of its own, computed once."""
-    all_ = list(enumerate(rules))
-    seen = lambda t, rs: first_rule([(i, t.rlike(py_regex(r[1]))) for i, r in rs])
+def with_text_type(df: DataFrame, text: str, out: str = "text_type", rules: list[tuple] = DOC_TYPES, stage: int = 100) -> DataFrame:
+    """Adds a struct of rank and where. Each window is a step of its own, computed once.
+
+    Which rules a text may fit is told by the literals they need, in one pass over the text; only those rules' patterns run, window after
+    window, so a text costs that pass and a few patterns, however many rules there are."""
     t = F.col(text)
-    df = df.withColumn("_title", seen(F.left(t, F.lit(TITLE)), [(i, r) for i, r in all_ if not r[6]]))
-    df = df.withColumn("_head", F.when(F.col("_title").isNull(), seen(F.left(t, F.lit(HEAD)), all_)))
+    df = df.withColumn("_may", candidates(t, [r[1] for r in rules]))
+    seen = lambda window, rs: [(i, F.array_contains("_may", i) & window.rlike(py_regex(r[1]))) for i, r in rs]
+    all_ = list(enumerate(rules))
+    df = df.withColumn("_start", F.left(t, F.lit(TITLE))).withColumn("_top", F.left(t, F.lit(HEAD)))
+    df = staged(df, seen(F.col("_start"), [(i, r) for i, r in all_ if not r[6]]), "_title", stage)
+    df = staged(df, seen(F.col("_top"), all_), "_head", stage, F.col("_title").isNull())
     early = F.coalesce("_title", "_head")
-    df = df.withColumn("_any", F.when(early.isNull(), seen(t, all_)))
+    df = staged(df, seen(t, all_), "_any", stage, early.isNull())
     rank = F.when(~blank(t), F.coalesce("_title", "_head", "_any"))
     where = F.when(rank.isNull(), "").when(early.isNotNull(), "titulo").otherwise("mencion")
-    return df.withColumn(out, F.struct(rank.alias("rank"), where.alias("where"))).drop("_title", "_head", "_any")
+    return df.withColumn(out, F.struct(rank.alias("rank"), where.alias("where"))).drop("_may", "_title", "_head", "_any", "_start", "_top")
 
 
 def evidence_line(df: DataFrame, text: str, rank: str, out: str = "evidence", rules: list[tuple] = DOC_TYPES, most: int = 150) -> DataFrame:
-    """The line or lines around the type's first match, squeezed."""
+    """The line or lines around the type's first match, squeezed. The search begins at line starts only, so it is linear in long lines."""
     t = F.col(text)
-    around = lambda r: F.regexp_extract(t, "(?imd)([^\\n]*?(?:" + r[1] + ")[^\\n]*)", 1)
+    around = lambda r: F.regexp_extract(t, "(?imd)^([^\\n]*?(?:" + r[1] + ")[^\\n]*)", 1)
     line = reduce(lambda c, ir: c.when(F.col(rank) == ir[0], around(ir[1])), enumerate(rules), F.when(F.lit(False), ""))
     squeezed = F.trim(F.regexp_replace(F.coalesce(line, F.lit("")), r"\s+", " "))
     return df.withColumn(out, F.left(squeezed, F.lit(most)))

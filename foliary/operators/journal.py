@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import extension_of
+from .scale import in_ranges, numbered, spread_join
 
 READER_VERSION, OLDEST_VERSION = 4, 3
 #: Reasons that a later attempt can't change.
@@ -90,7 +91,7 @@ def copy_text_from_original(listing: DataFrame, records: DataFrame) -> DataFrame
     carried = [c for c in COPIED if c in records.columns]
     original = first_original_by_hash(records).select("hash", F.col("id").alias("copied_from"), *carried)
     missing = listing.filter(has_hash()).join(records.select("id"), "id", "left_anti")
-    return missing.join(original, "hash")
+    return spread_join(missing, original, "hash")
 
 
 def reading_status(listing: DataFrame, journal: DataFrame, queue: DataFrame | None = None) -> DataFrame:
@@ -173,7 +174,7 @@ def small_sample_per_case(files: DataFrame, n: int) -> DataFrame:
 
 
 def order_work_queue(files: DataFrame, broken: DataFrame) -> DataFrame:
-    """Adds the place's sort keys: group, copy, times_broken. Images, light scans, heavy scans, each with its
+    """Adds each file's place in the queue (from 1) and what it follows from: group, copy, times_broken. Images, light scans, heavy scans, each with its
     copies after it; ids that broke the engine last, by how often."""
     # the smallest row of each hash is no copy; rows without a hash aren't, and don't meet
     first = files.filter(has_hash()).groupBy(F.col("hash").alias("_hash")).agg(F.min(F.struct("size", "id")).alias("_first"))
@@ -183,7 +184,7 @@ def order_work_queue(files: DataFrame, broken: DataFrame) -> DataFrame:
     group = F.when(image, 0).when(F.col("size") <= HEAVY, 2).otherwise(4) + F.col("copy").cast("int")
     times = broken.groupBy("id").agg(F.count(F.lit(1)).alias("times_broken"))
     out = files.withColumn("group", group).join(times, "id", "left").withColumn("times_broken", F.coalesce("times_broken", F.lit(0)))
-    return out.orderBy("times_broken", "group", "size", "id")
+    return numbered(out, [F.col(c) for c in ("times_broken", "group", "size", "id")], "place")
 
 
 def cascade_invalidate(records: DataFrame, ids: DataFrame) -> DataFrame:
@@ -204,17 +205,27 @@ def truncated_reads_from_log(lines: DataFrame) -> DataFrame:
     """The file read just before a session's first CUDA error, or just before a restart for a broken GPU.
 
     Lines have log, seq, kind, detail. A session starts behind a start line or an end line; each log is
-    one reader's, and its lines are its order.
+    one reader's, and its lines are its order. Logs are dealt to ranges of (log, seq). What a range has to know of those before it (how many
+    sessions were opened, the last line, the session of the last CUDA error) is summed up by range and carried on, so no task
+    holds a whole log.
     """
-    order = Window.partitionBy("log").orderBy("seq")
-    edge = F.col("kind").isin("ARRANQUE", "FIN")
-    marked = lines.withColumn("_edge", edge.cast("int"))
+    start, cuda = F.col("kind") == "ARRANQUE", (F.col("kind") == "NO LEIDO") & F.col("detail").contains("CUDA error")
+    rows = in_ranges(lines.select("log", "seq", "kind", "detail"), [F.col("log"), F.col("seq")])
+    inside, ranges = Window.partitionBy("_part", "log").orderBy("seq"), Window.partitionBy("log").orderBy("_part")
+    sofar = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    edge = F.col("kind").isin("ARRANQUE", "FIN").cast("int")
     # an end line still belongs to the session that it ends
-    opened = F.coalesce(F.sum("_edge").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    marked = marked.withColumn("session", opened + (F.col("kind") == "ARRANQUE").cast("int"))
-    inside = Window.partitionBy("log", "session").orderBy("seq")
-    cuda = (F.col("kind") == "NO LEIDO") & F.col("detail").contains("CUDA error")
-    marked = marked.withColumn("_prev", F.lag(F.struct("kind", "detail")).over(inside)).withColumn("_nth", F.sum(cuda.cast("int")).over(inside))
+    one = rows.groupBy("_part", "log").agg(F.sum(edge).alias("_edges"), F.max_by(F.struct("kind", "detail"), "seq").alias("_last"))
+    one = one.select("_part", "log", F.coalesce(F.sum("_edges").over(sofar(ranges)), F.lit(0)).alias("_opened"), F.lag("_last").over(ranges).alias("_last"))
+    marked = rows.join(one, ["_part", "log"])
+    opened = F.col("_opened") + F.coalesce(F.sum(edge).over(sofar(inside)), F.lit(0))
+    before = F.coalesce(F.lag(F.struct("kind", "detail")).over(inside), F.col("_last"))
+    marked = marked.withColumn("session", opened + start.cast("int")).withColumn("_prev", before).drop("_opened", "_last")
+    two = marked.groupBy("_part", "log").agg(F.max(F.when(cuda, F.col("session"))).alias("_cuda"))
+    two = two.select("_part", "log", F.max("_cuda").over(sofar(ranges)).alias("_cuda"))
+    earlier = F.greatest(F.max(F.when(cuda, F.col("session"))).over(sofar(inside)), F.col("_cuda"))
+    marked = marked.join(two, ["_part", "log"]).withColumn("_first", F.coalesce(earlier < F.col("session"), F.lit(True)))
     broken = (F.col("kind") == "FIN") & F.col("detail").contains("REINICIO POR GPU ROTA")
-    hit = ((cuda & (F.col("_nth") == 1)) | broken) & (F.col("_prev.kind") == "LEIDO")
+    # the line before is of the same session unless it ended one or this one starts one
+    hit = ((cuda & F.col("_first")) | broken) & (F.col("_prev.kind") == "LEIDO") & ~start
     return marked.filter(hit).select("log", "seq", F.col("_prev.detail").alias("file"), F.when(cuda, "CUDA error").otherwise("restart").alias("because"))

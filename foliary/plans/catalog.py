@@ -15,6 +15,7 @@ from ..operators import assemble, classify, duplicates, identity, indexes, journ
 from ..rules.doc_types import DOC_TYPES
 from ..rules.folders import FOLDER_PATTERNS, FOLDERS, TEMPLATES
 from ..sources import readers
+from . import samples
 from .views import tables, view, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,9 +185,17 @@ def _(spark, sf):
     return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", text.looks_like_code(F.col("html")).alias("code"))
 
 
-@query("sniff_content")
+#: What a page's bytes begin with, by its id, and what they are then.
+BEGINS = [(b"", None), (samples.compound_file(["WordDocument", "1Table"]), "doc"), (samples.compound_file(["Root", "Workbook"]), "xls"), (samples.compound_file(["__substg1.0_0037001F"]), "msg"),
+          (samples.zip_file(["word/document.xml"]), "docx"), (samples.compound_file(["Contents"]), "ole"), (b"%PDF-1.7\n", "pdf"), (b"", None)]
+
+
+@query("sniff_content", f"""SELECT page_id, CASE page_id % {len(BEGINS)} {' '.join(f"WHEN {i} THEN '{kind}'" for i, (_, kind) in enumerate(BEGINS) if kind)}
+ ELSE CASE WHEN regexp_matches(lower(html), '^[ \\t\\r\\n]*(<!doctype html|<html)') OR contains(left(lower(html), 600), '<html') THEN 'html' ELSE 'txt' END END AS kind FROM pages""")
 def _(spark, sf):
-    return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", text.sniff_content(F.encode("html", "UTF-8"), F.lit("download"), look_inside=False).alias("kind"))
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", F.encode("html", "UTF-8").alias("body"))
+    begin = F.element_at(F.array(*[F.lit(bytearray(x)) for x, _ in BEGINS]), (F.col("page_id") % len(BEGINS) + 1).cast("int"))
+    return pages.select("page_id", text.sniff_content(F.concat(begin, "body"), F.lit("download")).alias("kind"))
 
 
 @query("decode_text", "SELECT doc_id, md5(coalesce(text, '')) AS text_md5, CASE WHEN text IS NULL OR trim(text) = '' THEN 'the text file is empty' ELSE '' END AS failure FROM documents")
@@ -510,11 +519,13 @@ def _(spark, sf):
     return journal.small_sample_per_case(status, 5).select("id")
 
 
-@query("order_work_queue", f"""SELECT id, CAST(CASE WHEN {EXT} IN ({IMAGES}) THEN 0 WHEN size <= 5242880 THEN 2 ELSE 4 END + CASE WHEN hash IS NOT NULL AND row_number() OVER (PARTITION BY hash ORDER BY size, id) > 1 THEN 1 ELSE 0 END AS INT) AS "group", CAST(sum(CASE WHEN l_suppkey % 17 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY id) AS INT) AS times_broken FROM file_listing""", ("file_listing",))
+@query("order_work_queue", f""", queued AS (SELECT id, size, CAST(CASE WHEN {EXT} IN ({IMAGES}) THEN 0 WHEN size <= 5242880 THEN 2 ELSE 4 END + CASE WHEN hash IS NOT NULL AND row_number() OVER (PARTITION BY hash ORDER BY size, id) > 1 THEN 1 ELSE 0 END AS INT) AS "group",
+ CAST(sum(CASE WHEN l_suppkey % 17 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY id) AS INT) AS times_broken FROM file_listing)
+SELECT id, "group", times_broken, row_number() OVER (ORDER BY times_broken, "group", size, id) AS place FROM queued""", ("file_listing",))
 def _(spark, sf):
     listing = view(spark, sf, "file_listing")
     out = journal.order_work_queue(listing, listing.filter("l_suppkey % 17 = 0").select("id"))
-    return out.select("id", F.col("group").cast("int").alias("group"), F.col("times_broken").cast("int").alias("times_broken"))
+    return out.select("id", F.col("group").cast("int").alias("group"), F.col("times_broken").cast("int").alias("times_broken"), "place")
 
 
 COPIES = LATEST + ", o AS (SELECT hash, min(id) AS id FROM best WHERE was_read AND hash IS NOT NULL GROUP BY hash), rec AS (SELECT id, caso, was_read, CAST(NULL AS STRING) AS copied_from FROM best UNION ALL SELECT l.id, l.exp, TRUE, o.id FROM file_listing l JOIN o ON l.hash = o.hash LEFT JOIN best b ON b.id = l.id WHERE b.id IS NULL), bad AS (SELECT id FROM best WHERE was_read AND md5(id) < '2')"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 LISTING = "id string, name string, size long, hash string, exp string, sub string, modified string, file_modified string"
@@ -26,15 +26,22 @@ def read_file_listing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_journals(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """The union of journals, cut at line feeds only, blank lines left out, with `_seq` in the order of file
-    names, then lines. Lines that aren't JSON keep only `_corrupt` and `file`."""
+    """The union of journals, cut at line feeds only, blank lines left out, with `_seq`, one number that rises with the file's
+    name, then its path, then the line, however the files are split. Lines that aren't JSON keep only `_corrupt` and `file`.
+
+    A first look counts the lines of each split and reads nothing else of them; a split's numbers begin behind those of all splits before it."""
     text = spark.read.option("lineSep", "\n").text(paths)
-    rows = text.select(
-        F.col("_metadata.file_name").alias("file"),
-        # ids rise within a split and splits are ordered by their start
-        F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line")).alias("_seq"),
-        "value",
-    )
+    m = F.col("_metadata")
+    # ids rise within a split and splits are ordered by their start
+    rows = text.select(m["file_name"].alias("file"), m["file_path"].alias("_path"), m["file_block_start"].alias("_start"), F.monotonically_increasing_id().alias("_line"), "value")
+    splits = rows.groupBy("file", "_path", "_start").agg(F.min("_line").alias("_first"), (F.max("_line") - F.min("_line") + 1).alias("_n"))
+    files = splits.groupBy("file", "_path").agg(F.sum("_n").alias("_lines"))
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_path", F.coalesce(F.sum("_lines").over(earlier(Window.orderBy("file", "_path"))), F.lit(0)).alias("_files"))  # a row per file
+    inside = F.coalesce(F.sum("_n").over(earlier(Window.partitionBy("_path").orderBy("_start"))), F.lit(0))
+    splits = splits.select("_path", "_start", "_first", inside.alias("_splits")).join(files, "_path")
+    splits = splits.select("_path", "_start", (F.col("_files") + F.col("_splits") - F.col("_first")).alias("_shift"))
+    rows = rows.join(splits, ["_path", "_start"]).select("file", (F.col("_line") + F.col("_shift")).alias("_seq"), "value")
     rows = rows.filter(F.trim("value") != "")
     parsed = F.from_json("value", JOURNAL, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     return rows.select("file", "_seq", parsed.alias("r")).select("file", "_seq", "r.*")
