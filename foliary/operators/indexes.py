@@ -85,12 +85,13 @@ def nucleus(name: Column) -> Column:
 
 def verification_tasks(tree: DataFrame, without_index: bool = False) -> DataFrame:
     """Cases of the new place with a declared number (or none), and the folder each came from."""
-    clients = tree.filter(F.col("es_carpeta") & (F.col("level") == 2)).withColumn("_nucleus", nucleus(F.col("name")))
+    # a generator is a step of its own: names, and their parts, are taken once and not copied into every use of them
+    clients = tree.filter(F.col("es_carpeta") & (F.col("level") == 2)).select("location", F.explode(F.array("name")).alias("name")).withColumn("_nucleus", nucleus(F.col("name")))
     origin = clients.filter(F.col("location").isin(ORIGINS)).groupBy("_nucleus").agg(F.min(F.struct("name", "location")).alias("o"))
-    s = split_case_name(F.col("name"))
-    new = clients.filter(F.col("location").isin(CONTAINERS)).withColumn("_s", s)
-    new = new.filter((F.length("_s.internal_id") == 6) & (F.col("_s.index_number") != "") & ((F.col("_s.index_number") == "0") == F.lit(without_index)))
-    out = new.select("_nucleus", F.col("name").alias("new_folder"), "_s.internal_id", F.col("_s.index_number").alias("declared"), "_s.base")
+    parts = F.inline(F.array(split_case_name(F.col("name"))))
+    new = clients.filter(F.col("location").isin(CONTAINERS)).select("_nucleus", F.col("name").alias("new_folder"), parts)
+    new = new.filter((F.length("internal_id") == 6) & (F.col("index_number") != "") & ((F.col("index_number") == "0") == F.lit(without_index)))
+    out = new.select("_nucleus", "new_folder", "internal_id", F.col("index_number").alias("declared"), "base")
     return out.join(origin, "_nucleus", "left").select("new_folder", F.col("o.name").alias("old_folder"), F.col("o.location").alias("area"), "internal_id", "declared", "base")
 
 
@@ -104,10 +105,10 @@ def candidate_documents(tree: DataFrame, n: int = MOST_FILES) -> DataFrame:
 
 def with_numbers(documents: DataFrame) -> DataFrame:
     """Documents (client_folder, rank, name, text, read_with, failure) with the numbers of their captions."""
-    caption = F.left(F.coalesce("text", F.lit("")), F.lit(CAPTION))
     ok = F.coalesce("failure", F.lit("")) == ""
-    numbers = F.when(ok & ~blank(F.col("text")), extract_case_numbers(caption)).otherwise(F.array().cast("array<string>"))
-    return documents.withColumn("_ok", ok).withColumn("numbers", numbers)
+    caption = F.when(ok & ~blank(F.col("text")), F.left("text", F.lit(CAPTION)))
+    told = documents.withColumn("_ok", ok).select("*", F.explode(F.array(caption)).alias("_caption"))  # once, see verification_tasks
+    return told.withColumn("numbers", F.when(F.col("_caption").isNotNull(), extract_case_numbers(F.col("_caption"))).otherwise(F.array().cast("array<string>"))).drop("_caption")
 
 
 def verify_indexes(tasks: DataFrame, documents: DataFrame) -> DataFrame:
