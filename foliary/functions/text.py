@@ -170,6 +170,13 @@ def html_to_text(html: Column) -> Column:
     return F.regexp_replace(F.array_join(F.filter(pieces, lambda p: p != ""), " "), "\n{3,}", "\n\n")
 
 
+def read_html(html: Column) -> Column:
+    """Struct of a page's text and why there is none: nothing was decoded, or the page shows nothing."""
+    shown = html_to_text(html)
+    failure = F.when(F.coalesce(html, F.lit("")) == "", "could not decode the HTML file").when(blank(shown), "the HTML page has no text").otherwise("")
+    return F.struct(F.when(failure == "", shown).otherwise("").alias("text"), failure.alias("failure"))
+
+
 #: What a container's member, or the type that it begins with, tells.
 MEMBERS = {"docx": "word/document.xml", "xlsb": "xl/workbook.bin", "xlsx": "xl/workbook.xml", "pptx": "ppt/presentation.xml"}
 STORED_TYPES = {"odt": "opendocument.text", "ods": "opendocument.spreadsheet"}

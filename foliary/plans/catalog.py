@@ -206,8 +206,8 @@ def _(spark, sf):
 
 @query("html_to_text")
 def _(spark, sf):
-    p = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", text.html_to_text(F.col("html")).alias("text"))
-    return p.select("page_id", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+    p = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", text.read_html(F.col("html")).alias("r"))
+    return p.select("page_id", F.length("r.text").alias("n_chars"), F.md5("r.text").alias("text_md5"), F.col("r.failure").alias("failure"))
 
 
 @query("password_candidates")
@@ -999,8 +999,9 @@ from . import stored  # noqa: E402
 RATE = """SELECT epoch_ms(s * 300000) AS start, epoch_ms(s * 300000 + 3600000) AS "end", count(*) AS files FROM (SELECT unnest(range((epoch_ms(ts) // 300000) - 11, (epoch_ms(ts) // 300000) + 1)) AS s FROM events WHERE event_type <> 'error') GROUP BY s"""
 QUERIES.update(stored.QUERIES)
 ORACLES.update({
-    "case_jsonl": with_views("journal") + LATEST + " SELECT caso, count(*) + 1 AS lines FROM best GROUP BY caso",
-    "stage_list_files": with_views("journal") + PLAN + " SELECT team, count(*) AS ids FROM plan WHERE status LIKE 'pending%' GROUP BY team",
+    "case_jsonl": with_views("journal") + LATEST + ", l AS (SELECT exp, count(*) AS files FROM file_listing GROUP BY exp), c AS (SELECT caso, count(*) AS n, count(*) FILTER (WHERE was_read) AS files_read, md5(string_agg(id, ',' ORDER BY file_name, id)) AS ids_md5 FROM best GROUP BY caso)"
+    " SELECT caso, n + 1 AS lines, files_read, CASE WHEN n < files THEN 'true' ELSE 'false' END AS partial, ids_md5 FROM c JOIN l ON exp = caso",
+    "stage_list_files": with_views("journal") + PLAN + " SELECT team, count(*) AS ids, min(id) AS first, max(id) AS last, sum(('0x' || substr(md5(id), 1, 8))::BIGINT)::BIGINT AS hashes FROM plan WHERE status LIKE 'pending%' GROUP BY team",
     "read_journals": with_views("journal") + LATEST + " SELECT id, attempt FROM best",
     "stream_latest_records": with_views("journal") + LATEST + " SELECT id, attempt, was_read FROM best",
     "stream_dedupe_delta": with_views("journal") + " SELECT id, max(attempt) AS attempt FROM journal GROUP BY id",

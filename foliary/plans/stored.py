@@ -20,21 +20,26 @@ def best_and_listing(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame
 
 
 def case_jsonl(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines of each case's file."""
+    """Each case's file, read back: its lines, what its header counts, and its documents' ids in the order of the lines."""
     best, listing = best_and_listing(spark, sf)
     records = best.select("id", "caso", F.lit("").alias("subfolder"), "file_name", "hash", "was_read", "contains_ssn", "pages_read")
     summary = assemble.case_summary(best, listing.groupBy("exp").agg(F.count(F.lit(1)).alias("files")))
     path = folder(spark, "cases")
     sinks.write_case_jsonl(records, summary, path)
-    lines = spark.read.text(path).groupBy("file").agg(F.count(F.lit(1)).alias("lines"))
-    return sinks.case_file_names(records).join(lines, "file").select("caso", "lines")
+    files = spark.read.text(path, wholetext=True).select("file", F.filter(F.split("value", "\n"), lambda x: x != "").alias("lines"))
+    head, documents = F.get("lines", F.lit(0)), F.slice("lines", F.lit(2), F.size("lines"))
+    ids = F.array_join(F.transform(documents, lambda x: F.get_json_object(x, "$.sharepoint_id")), ",")
+    files = files.select("file", F.size("lines").cast("long").alias("lines"), F.get_json_object(head, "$.files_read").cast("long").alias("files_read"), F.get_json_object(head, "$.partial").alias("partial"), F.md5(ids).alias("ids_md5"))
+    return sinks.case_file_names(records).join(files, "file").select("caso", "lines", "files_read", "partial", "ids_md5")
 
 
 def stage_list_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Each team's lists, read back: how many ids, the first and the last, and a sum over hashes of all."""
     status = journal.reading_status(view(spark, sf, "file_listing"), view(spark, sf, "journal"))
     path = folder(spark, "stage")
     sinks.write_stage_lists(staging.planned(status), staging.case_state(status), path)
-    return spark.read.text(f"{path}/lists").groupBy("team").agg(F.count(F.lit(1)).alias("ids"))
+    hashed = F.conv(F.substring(F.md5("value"), 1, 8), 16, 10).cast("long")
+    return spark.read.text(f"{path}/lists").groupBy("team").agg(F.count(F.lit(1)).alias("ids"), F.min("value").alias("first"), F.max("value").alias("last"), F.sum(hashed).alias("hashes"))
 
 
 def file_listing_paths(spark: SparkSession, sf: str) -> DataFrame:

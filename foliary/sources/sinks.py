@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.names import split_case_name
 from ..functions.text import json_line
 
+# The header's note, and what it says besides where texts aren't masked.
 NOTE = "One JSON object per line. First line is this summary; the rest are documents. Compare files_described with files_in_matter to know what is still pending; more lines can be appended later."
+UNMASKED = " Full extracted text, unmasked - contains document contents verbatim, including any personal data they carry."
 
 
 def case_file_names(cases: DataFrame) -> DataFrame:
@@ -21,22 +23,28 @@ def case_file_names(cases: DataFrame) -> DataFrame:
     return ids.join(shared, "_id").select("caso", name.alias("file"))
 
 
-def case_lines(records: DataFrame, summary: DataFrame) -> DataFrame:
-    """caso, place, value: every case's header line, then its documents by subfolder and name. Nothing is
-    collected: a case's lines are rows."""
+def case_lines(records: DataFrame, summary: DataFrame, masked: bool = False, generated: str | None = None) -> DataFrame:
+    """caso, kind, subfolder, file_name, id, value: every case's header line, then its documents by subfolder and name. Nothing is
+    collected: a case's lines are rows. The header says when it was `generated` (now, if not given); if the summary has a folder's id
+    (sharepoint_folder_id), it comes first, and where it is null it is left out."""
     docs = [c for c in records.columns if c not in ("id", "caso")]
     body = records.select(
         F.col("caso"), F.lit(1).alias("kind"), F.coalesce("subfolder", F.lit("")).alias("subfolder"), F.coalesce("file_name", F.lit("")).alias("file_name"), F.col("id"),
         json_line(F.struct(F.col("id").alias("sharepoint_id"), *docs)).alias("value"),
     )
-    head = summary.withColumn("note", F.lit(NOTE))
-    head = head.select(F.col("matter").alias("caso"), F.lit(0).alias("kind"), F.lit("").alias("subfolder"), F.lit("").alias("file_name"), F.lit("").alias("id"), json_line(F.struct(*head.columns)).alias("value"))
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss") if generated is None else F.lit(generated)
+    rest = [c for c in summary.columns if c not in ("sharepoint_folder_id", "matter")]
+    fields = ["matter", now.alias("generated"), *rest, F.lit(NOTE if masked else NOTE + UNMASKED).alias("note")]
+    line = json_line(F.struct(*fields))
+    if "sharepoint_folder_id" in summary.columns:
+        line = F.when(F.coalesce("sharepoint_folder_id", F.lit("")) != "", json_line(F.struct("sharepoint_folder_id", *fields))).otherwise(line)
+    head = summary.select(F.col("matter").alias("caso"), F.lit(0).alias("kind"), F.lit("").alias("subfolder"), F.lit("").alias("file_name"), F.lit("").alias("id"), line.alias("value"))
     return head.unionByName(body)
 
 
-def write_case_jsonl(records: DataFrame, summary: DataFrame, path: str) -> None:
+def write_case_jsonl(records: DataFrame, summary: DataFrame, path: str, masked: bool = False, generated: str | None = None) -> None:
     """One file in a folder of its own for each case."""
-    lines = case_lines(records, summary).join(case_file_names(records), "caso")
+    lines = case_lines(records, summary, masked, generated).join(case_file_names(records), "caso")
     parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = lines.repartition(parts, "file").sortWithinPartitions("file", "kind", "subfolder", "file_name", "id")
     dealt.select("file", "value").write.mode("overwrite").partitionBy("file").text(path)

@@ -143,3 +143,11 @@ def test_similarity_and_neighbours(spark):
 def test_json_line(spark):
     line = spark.createDataFrame([("a b\u0085é",)], "t string").select(text.json_line(F.struct("t")).alias("x")).first()["x"]
     assert line == '{"t":"a\\u2028b\\u0085é"}'
+
+
+@pytest.mark.parametrize("html, shown, failure", [
+    ("<p>One</p>", "One \n", ""), ("<script>x()</script> <p> </p>", "", "the HTML page has no text"), ("", "", "could not decode the HTML file"), (None, "", "could not decode the HTML file"), ("&nbsp;", "", "the HTML page has no text"),
+])
+def test_pages_without_text_say_why(spark, html, shown, failure):
+    r = one(spark, text.read_html, v=html)
+    assert (r["text"], r["failure"]) == (shown, failure)

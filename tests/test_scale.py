@@ -117,3 +117,17 @@ def test_compound_files(spark, names, kind, sector):
     df = spark.createDataFrame([(i, x) for i, x in enumerate(data)], "k int, d binary")
     got = [x["kind"] for x in df.select("k", text.sniff_content(F.col("d"), F.lit("download")).alias("kind")).orderBy("k").collect()]
     assert got == [kind, kind] + ["ole"] * 5 if len(names) < 200 else got[:2] == [kind, kind] and set(got[2:]) == {"ole"}
+
+
+def test_case_headers(spark):
+    """What a header says: when, the folder's id first where there is one, and that texts aren't masked."""
+    from foliary.sources import sinks
+
+    summary = spark.createDataFrame([("A", 1, "ID1"), ("B", 2, None)], "matter string, files_described int, sharepoint_folder_id string")
+    records = spark.createDataFrame([("x", "A", "s", "n.pdf")], "id string, caso string, subfolder string, file_name string")
+    for masked in (False, True):
+        heads = {x["caso"]: json.loads(x["value"]) for x in sinks.case_lines(records, summary, masked, "2024-05-06T07:08:09").filter("kind = 0").collect()}
+        assert list(heads["A"]) == ["sharepoint_folder_id", "matter", "generated", "files_described", "note"] and "sharepoint_folder_id" not in heads["B"]
+        assert heads["A"]["generated"] == "2024-05-06T07:08:09" and heads["A"]["note"].endswith("personal data they carry." if not masked else "appended later.")
+    now = json.loads(sinks.case_lines(records, summary).filter("kind = 0").first()["value"])["generated"]
+    assert len(now) == 19 and now[10] == "T"
