@@ -59,9 +59,11 @@ def sharded(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 8, id_col: str = "doc_id", files_per_shard: int = 1) -> None:
-    """One folder per shard, rows of a key together; a large shard is split into files by key."""
+    """One folder per shard, rows of a key together; a large shard is split into files by key. The folders are named `shard=N`, or, where
+    the documents have a column of that name, which stays as it is, with underscores before."""
+    name = common.free_name(docs, "shard")
     key = F.pmod(F.xxhash64(id_col), F.lit(files_per_shard))
-    docs.withColumn("shard", shard_of(F.col(id_col), shards)).repartition("shard", key).write.partitionBy("shard").parquet(path)
+    docs.withColumn(name, shard_of(F.col(id_col), shards)).repartition(name, key).write.partitionBy(name).parquet(path)
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

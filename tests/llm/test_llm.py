@@ -529,6 +529,12 @@ def test_written_shards(spark, odd, tmp_path):
 
 
 # ------------------------------------------------------------------ 7
+def test_written_shards_leave_a_column_of_their_name_alone(spark, clashing, tmp_path):
+    sharding.write_shards(clashing, f"file://{tmp_path}/c", 4)
+    got = spark.read.parquet(f"file://{tmp_path}/c")
+    assert {r["shard"] for r in got.collect()} == {"x"} and "_shard" in got.columns and got.count() == 3
+
+
 def test_fingerprints(spark, odd, none):
     rows = fingerprints.fingerprinted(odd).collect()
     assert len(rows) == len(odd_rows()) and fingerprints.fingerprinted(none).count() == 0
