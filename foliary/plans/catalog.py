@@ -162,16 +162,19 @@ def _(spark, sf):
     return view(spark, sf, "doc_texts").select("doc_id", F.round(text.letter_ratio(t), 9).alias("letters"), F.round(text.long_word_ratio(t), 9).alias("long_words"))
 
 
-@query("needs_ocr", LONG + """ SELECT doc_id, CASE WHEN length(text)::DOUBLE / greatest(pages, 1) < 100 THEN TRUE WHEN letters < 0.45 AND long_words < 0.25 THEN TRUE ELSE FALSE END AS flag FROM r""", ("doc_texts",))
+@query("needs_ocr", LONG + """ SELECT doc_id, CASE WHEN length(text)::DOUBLE / greatest(pages, 1) < 100 THEN TRUE WHEN letters < 0.45 AND long_words < 0.25 THEN TRUE ELSE FALSE END AS flag,
+ CASE WHEN length(text)::DOUBLE / greatest(pages, 1) < 100 THEN 'only ' || length(text) || ' characters of its own in ' || pages || ' page(s): the page is an image and the text is just a stamp' WHEN letters < 0.45 AND long_words < 0.25 THEN 'embedded fonts with no character map: the text layer gives glyph indexes, not letters' ELSE '' END AS reason FROM r""", ("doc_texts",))
 def _(spark, sf):
     n = text.needs_ocr(F.col("text"), F.col("pages"))
-    return view(spark, sf, "doc_texts").select("doc_id", n["flag"].alias("flag"))
+    return view(spark, sf, "doc_texts").select("doc_id", n["flag"].alias("flag"), n["reason"].alias("reason"))
 
 
-@query("strip_efiling_stamps", "SELECT doc_id, length(text) AS n FROM doc_texts", ("doc_texts",))
+@query("strip_efiling_stamps", r"SELECT doc_id, md5(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS text_md5 FROM doc_texts", ("doc_texts",))
 def _(spark, sf):
-    stamped = F.concat(F.lit("FILED: KINGS COUNTY CLERK 01/02/2024\nNYSCEF DOC. NO. 12\n"), "text", F.lit("\nPage 3 of 12"))
-    return view(spark, sf, "doc_texts").select("doc_id", (F.length(text.strip_efiling_stamps(stamped)) - 2).alias("n"))
+    """All seven kinds of stamps around each text, and what is left without them."""
+    above = "FILED: KINGS COUNTY CLERK 01/02/2024\nFILED: APPELLATE DIVISION 2ND DEPT\nNYSCEF DOC. NO. 12\nRECEIVED NYSCEF: 01/02/2024\nINDEX NO. 712345/2023\nCase 1:25-cv-01111 Document 3 Filed 01/02/24 more\n"
+    own = text.strip_efiling_stamps(F.concat(F.lit(above), "text", F.lit("\nPage 3 of 12")))
+    return view(spark, sf, "doc_texts").select("doc_id", F.md5(F.regexp_replace(own, r"^\s+|\s+$", "")).alias("text_md5"))
 
 
 @query("looks_like_noise", LONG + """, c AS (SELECT doc_id, trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160)) AS x, len(w) AS n, long_words FROM r)
@@ -659,7 +662,8 @@ LIVE = "live AS (SELECT exp, id FROM file_listing WHERE l_orderkey % 50 <> 0 UNI
 @query("compare_live", COMPLETE + f""", {LIVE}, ok AS (SELECT l.id FROM file_listing l LEFT JOIN best b ON b.id = l.id LEFT JOIN read_hash r ON r.hash = l.hash WHERE coalesce(b.definitive, FALSE) OR r.hash IS NOT NULL),
 z AS (SELECT coalesce(l.exp, v.exp) AS exp, l.id AS a, v.id AS b, ok.id AS ok FROM file_listing l FULL JOIN live v ON l.exp = v.exp AND l.id = v.id LEFT JOIN ok ON ok.id = l.id),
 g AS (SELECT exp, count(a) AS files, count(b) AS live, count(*) FILTER (WHERE b IS NOT NULL AND a IS NULL) AS added, count(*) FILTER (WHERE a IS NOT NULL AND b IS NULL) AS removed, count(*) FILTER (WHERE a IS NOT NULL AND ok IS NULL) AS unread FROM z GROUP BY exp)
-SELECT exp, added, removed, unread, CASE WHEN live = 0 THEN 'sin_carpeta' WHEN unread > 0 THEN 'incompletos' WHEN added > 0 OR removed > 0 THEN 'cambiados' ELSE 'sin cambios' END AS kind FROM g WHERE files > 0""", J)
+SELECT exp, added, removed, unread, CASE WHEN live = 0 THEN 'sin_carpeta' WHEN unread > 0 THEN 'incompletos' WHEN added > 0 OR removed > 0 THEN 'cambiados' ELSE 'sin cambios' END AS kind,
+ concat_ws(' ', CASE WHEN live = 0 THEN 'The case''s folder no longer exists under this name.' END, CASE WHEN live > 0 AND (added > 0 OR removed > 0) THEN added || ' new files that are not in this JSONL, ' || removed || ' no longer there.' END, CASE WHEN unread > 0 THEN unread || ' files could not be read.' END) AS notice FROM g WHERE files > 0""", J)
 def _(spark, sf):
     listing, j = both(spark, sf)
     live = listing.filter("l_orderkey % 50 <> 0").select("exp", "id").union(view(spark, sf, "case_folders").filter("k % 20 = 0").select("folder", F.concat(F.lit("new"), "k")))
@@ -667,7 +671,7 @@ def _(spark, sf):
     ok = best.filter(journal.is_definitive()).select("id")
     read = best.filter("was_read and hash is not null").select("hash").distinct()
     ok = ok.union(listing.join(read, "hash", "left_semi").select("id"))
-    return assemble.compare_live(listing, live, ok).select("exp", "added", "removed", "unread", "kind")
+    return assemble.compare_live(listing, live, ok).select("exp", "added", "removed", "unread", "kind", "notice")
 
 
 @query("split_base_by_team", LATEST + f""", asg AS (SELECT folder AS exp, 'team' || CAST(k % 3 AS STRING) AS team FROM case_folders), f AS (SELECT l.id, l.hash, a.team FROM file_listing l JOIN asg a ON a.exp = l.exp), o AS (SELECT hash, min(id) AS id FROM journal WHERE was_read AND hash IS NOT NULL AND NOT {REREAD} GROUP BY hash)
