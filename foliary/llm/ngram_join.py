@@ -16,15 +16,18 @@ with enough such shingles, need none at all.
    the pairs of documents not connected yet are made, all that can link: each set has a signature of
    `SIGNATURE` bits, one per shingle by its hash, and the bits that one has and the other lacks bound the overlap
    from above, exactly and inside the join, so near copies that are too far from each other make no pairs.
-3. Verification. Group pairs are expanded to their members, and the overlap counted on whole sets.
+   Signatures tell little of long sets. Groups of these that share most of their lists' first member are dealt to blocks
+   of at most about `BLOCK`, which are posted as one; blocks that could link meet in a cell.
+3. Verification. Group pairs are expanded to their members, and the overlap counted on whole sets; in a cell, of all sets at
+   once by a product of their incidence matrix, so a set travels once a block it meets and not once a pair.
 
 Hashes have 40 bits inside a bucket beside the bucket's own: for two unrelated texts of a thousand
 shingles each, the chance that one seems shared is below one in a million.
 
 Cases: a null or blank text has an empty set and is linked with nothing; texts of fewer than five
-words have one shingle, the whole; equal texts are linked; rows that repeat an id are linked by
-their texts alone, and each is returned; a null id never is the smallest of a class that has
-another; an empty table gives no rows; other columns aren't read.
+words have one shingle, the whole; a text of any length is taken whole; equal texts are linked; rows
+that repeat an id are linked by their texts alone, and each is returned; a null id never is the
+smallest of a class that has another; an empty table gives no rows; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -49,6 +52,11 @@ UNIT_BYTES = 6 << 20
 BUCKET_CHARS = 8 << 20
 #: Bits of a set's signature.
 SIGNATURE = 512
+#: Groups of a block, and shared shingles of a block's sets.
+BLOCK = 64
+BLOCK_SHARED = 1 << 17
+#: Shingles whose column a cell's matrix has at once.
+COLUMNS = 1 << 13
 #: of a unit's rows: bucket rows go to buckets, the note goes to the unit's own end
 SENT = "bucket int, unit long, note boolean, keys binary, docs binary, counts binary"
 ANSWER = "unit long, bucket int, note boolean, keys binary, docs binary, counts binary"
@@ -225,9 +233,58 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return found.filter(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b")
 
 
-def could_link(percent: int):
-    """Size and position filters of two postings x and y, which count only where a run of shared shingles starts."""
-    small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+def cell_links(percent: int):
+    """Links of one cell: (a, b) for each set b that links join, through sets of the cell, to a, the smallest of its kind."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        ids, n = cell.column("id").to_numpy(), cell.column("n").to_numpy()
+        tokens = cell.column("tokens").combine_chunks()
+        owner = np.repeat(np.arange(len(ids)), tokens.value_lengths().to_numpy())
+        _, column, times = np.unique(tokens.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        order = np.argsort(column, kind="stable")
+        order = order[times[column[order]] > 1]
+        column, owner = column[order], owner[order]
+        both = np.zeros((len(ids), len(ids)))
+        edges = np.searchsorted(column, np.arange(0, len(times) + COLUMNS, COLUMNS))
+        for k, (i, j) in enumerate(zip(edges[:-1], edges[1:])):
+            if i < j:
+                has = np.zeros((len(ids), COLUMNS), dtype=np.float32)
+                has[owner[i:j], column[i:j] - k * COLUMNS] = 1
+                both += has @ has.T
+        linked = 100 * both >= percent * (n[:, None] + n[None, :] - both)
+        label = ids
+        while True:
+            near = np.where(linked, label[None, :], label[:, None]).min(axis=1)
+            if (near == label).all():
+                break
+            label = near
+        moved = label != ids
+        return pa.table({"a": pa.array(label[moved], type=pa.int64()), "b": pa.array(ids[moved], type=pa.int64())})
+
+    return run
+
+
+def cells_verified(cells: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links found in cells (x, y) of blocks. `members` has block and id; blocks of many members come in parts."""
+    sized = members.join(sets.select("id", "n", F.size("tokens").cast("long").alias("_shared"), "tokens"), "id")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / (4 * BLOCK)), F.ceil(F.sum("_shared") / (4 * BLOCK_SHARED)))
+    parts = common.written(sized.groupBy("block").agg(parts.cast("int").alias("parts")), "parts")
+    dealt = sized.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    dealt = dealt.select("block", "part", "id", "n", "tokens")
+    px, py = (parts.select(F.col("block").alias(c), F.col("parts").alias(f"{c}parts")) for c in "xy")
+    cells = cells.join(px, "x").join(py, "y")
+    cells = cells.withColumn("xpart", F.explode(F.sequence(F.lit(0), F.col("xparts") - 1)))
+    cells = cells.withColumn("ypart", F.explode(F.sequence(F.lit(0), F.col("yparts") - 1))).select("x", "y", "xpart", "ypart")
+    cells = cells.filter("x <> y or xpart <= ypart")
+    places = cells.select("*", F.col("x").alias("block"), F.col("xpart").alias("part")).union(cells.select("*", F.col("y").alias("block"), F.col("ypart").alias("part")))
+    inside = places.distinct().join(dealt, ["block", "part"]).select("x", "y", "xpart", "ypart", "id", "n", "tokens")
+    return inside.groupBy("x", "y", "xpart", "ypart").applyInArrow(cell_links(percent), "a long, b long").distinct()
+
+
+def could_link(percent: int, most: str = "n"):
+    """Size and position filters of two postings x and y, which count only where a run of shared shingles starts. Of a
+    block's posting n is its smallest size and `most` names its largest."""
+    small, large = F.least(f"x.{most}", f"y.{most}"), F.greatest("x.n", "y.n")
     anew = ~F.coalesce(F.col("x.prev") == F.col("y.prev"), F.lit(False))
     room = 1 + F.least(F.col("x.n") - F.col("x.place") - 1, F.col("y.n") - F.col("y.place") - 1)
     return anew & (100 * small >= percent * large) & ((100 + percent) * room >= percent * (F.col("x.n") + F.col("y.n")))
@@ -253,6 +310,35 @@ def of_groups(labels: DataFrame) -> DataFrame:
     return found.select("group", "lo", "hi", "shared", *(F.array(*[F.col(f"{name}{i}") for i in words]).alias(name) for name in ("every", "some")))
 
 
+def blocks(posts: DataFrame, labels: DataFrame) -> DataFrame:
+    """group, block (its smallest group) of groups of few, long sets, by the first member (`lead`) that most of their lists have."""
+    votes = posts.groupBy("group", "lead").agg(F.count(F.lit(1)).alias("votes"))
+    leads = votes.groupBy("group").agg(F.max_by("lead", F.struct("votes", "lead")).alias("lead"))
+    long = labels.groupBy("group").agg(F.count(F.lit(1)).alias("members"), F.sum("shared").alias("load"), F.min("shared").alias("least"))
+    long = long.filter((F.col("members") <= 4) & (F.col("least") >= SIGNATURE // 2) & (F.col("load") <= BLOCK_SHARED // 2))
+    long = common.written(long.join(leads, "group").select("group", "lead", "load"), "long")
+    chunks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("load") / BLOCK_SHARED))
+    chunks = long.groupBy("lead").agg(chunks.alias("chunks"))
+    long = long.join(chunks, "lead").select("group", "lead", F.pmod(F.xxhash64("group"), F.col("chunks")).alias("chunk"))
+    names = long.groupBy("lead", "chunk").agg(F.min("group").alias("block"), F.count(F.lit(1)).alias("groups")).filter("groups > 1")
+    return long.join(names, ["lead", "chunk"]).select("group", "block")
+
+
+def blocked(posts: DataFrame, deal: DataFrame) -> DataFrame:
+    """Postings with those of a block's groups as one, that of any set which the block could have."""
+    if deal.isEmpty():
+        return posts.withColumns({"n_most": F.col("n"), "block": F.lit(False)})
+    found = posts.join(deal, "group", "left")
+    alone = found.filter("block is null").select("token", "group", "n", F.col("n").alias("n_most"), "place", "prev", "lo", "hi", "shared", "every", "some", F.lit(False).alias("block"))
+    words = range(SIGNATURE // 64)
+    signs = [f(F.col(name)[i]).alias(f"{name}{i}") for name, f in (("every", F.bit_and), ("some", F.bit_or)) for i in words]
+    most = [F.min("n").alias("n"), F.max("n").alias("n_most"), (F.min("n") - F.max(F.col("n") - F.col("place"))).alias("place")]
+    one = found.filter("block is not null").groupBy("token", "block").agg(*most, F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("shared").alias("shared"), *signs)
+    arrays = [F.array(*[F.col(f"{name}{i}") for i in words]).alias(name) for name in ("every", "some")]
+    one = one.select("token", F.col("block").alias("group"), "n", "n_most", "place", F.lit(None).cast("long").alias("prev"), "lo", "hi", "shared", *arrays, F.lit(True).alias("block"))
+    return alone.union(one)
+
+
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels (id, group, label and what is known of the set) after new links (a, b). Only the labels that links join
     are worked on, so each link is used once and what is connected already stays contracted to one node."""
@@ -325,19 +411,33 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
         groups = votes.groupBy("x").agg(F.max_by("y", F.struct("votes", "y")).alias("y"))
         labels = merged(labels, verified(expanded(groups, labels), sets, percent))
 
-    # the rest: all pairs that are not connected yet and could link. In each list, groups of the commonest label
-    # meet only the others, so a large connected group makes no pairs with itself.
-    posts = unfinished(posts, labels).withColumn("c", F.count(F.when(F.col("lo") == F.col("hi"), 1)).over(Window.partitionBy("token", "lo")))
+    # the rest: all pairs that are not connected yet and could link. Groups of long sets go by blocks. In each list, those of
+    # the commonest label meet only the others, so a large connected group makes no pairs with itself.
+    lead = F.min(F.struct(F.xxhash64("group", F.lit(rounds)), "group")).over(by_token)["group"]
+    posts = common.written(unfinished(posts, labels).withColumn("lead", lead), "unfinished")
+    deal = common.written(blocks(posts, labels), "blocks")
+    posts = blocked(posts.drop("lead"), deal).withColumn("c", F.count(F.when(F.col("lo") == F.col("hi"), 1)).over(Window.partitionBy("token", "lo")))
     top = F.max(F.when(F.col("lo") == F.col("hi"), F.struct("c", "lo"))).over(by_token)
     posts = common.written(posts.withColumn("top", top["lo"]).drop("c"), "unfinished")
     of_top = (F.col("lo") == F.col("hi")) & (F.col("lo") == F.col("top"))
     few = posts.filter(~F.coalesce(of_top, F.lit(False))).alias("x")
     all_ = posts.withColumn("is_top", F.coalesce(of_top, F.lit(False))).alias("y")
     once = F.col("y.is_top") | (F.col("x.group") < F.col("y.group"))
+    possible = could_link(percent, "n_most") & apart & could_overlap(percent, "every", "some")
     met = few.join(all_, F.col("x.token") == F.col("y.token")).filter(once & possible)
-    groups = met.select(F.col("x.group").alias("x"), F.col("y.group").alias("y")).distinct()
-    mixed = labels.groupBy("group").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h").select(F.col("group").alias("x"), F.col("group").alias("y"))
-    labels = merged(labels, verified(expanded(groups.union(mixed), labels), sets, percent))
+    met = met.select(F.col("x.group").alias("x"), F.col("y.group").alias("y"), (F.col("x.block") | F.col("y.block")).alias("block")).distinct()
+    met = common.written(met, "met")
+    mixed = labels.groupBy("group").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h").select("group")
+    mixed = mixed.join(deal, "group", "left_anti").select(F.col("group").alias("x"), F.col("group").alias("y"))
+    links = verified(expanded(met.filter("not block").select("x", "y").union(mixed), labels), sets, percent)
+    if not deal.isEmpty():
+        own = labels.join(deal, "group").groupBy("block").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h")
+        own = own.select(F.col("block").alias("x"), F.col("block").alias("y"))
+        inside = labels.join(deal, "group", "left").select(F.coalesce("block", "group").alias("block"), "id")
+        cells = common.written(met.filter("block").select("x", "y").union(own), "cells")
+        inside = inside.join(cells.select(F.explode(F.array("x", "y")).alias("block")).distinct(), "block", "left_semi")
+        links = links.union(cells_verified(cells, inside, sets, percent))
+    labels = merged(labels, links)
 
     # labels back to documents: the class's smallest id, then the component's
     names = sets.select("id", "digest", "doc")

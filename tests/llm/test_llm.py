@@ -599,6 +599,53 @@ def test_ngram_join(spark, rounds):
     assert got == sorted(brute_classes(rows))
 
 
+def long_copies(many, changed, words=700, seed=50):
+    """Copies of one long text with words replaced, so that two copies are near the similarity, above or below it."""
+    r, base = random.Random(seed), prose(seed, words).split()
+    rows = []
+    for k in range(many):
+        copy = base[:]
+        for i in r.sample(range(words), changed[k % len(changed)]):
+            copy[i] = f"new{k}x{i}"
+        rows.append((1000 + k, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [8, 64])
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_ngram_join_long_copies(spark, monkeypatch, rounds, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rows = long_copies(40, [9, 10, 11, 12, 13, 16]) + [(2000 + k, t) for k, (_, t) in enumerate(long_copies(12, [3, 14], seed=51))]
+    rows += [(3000 + k, rows[k][1] + " tail") for k in range(5)] + [(4000 + k, prose(60 + k, 300)) for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(tuple(x) for x in ngram_join.ngram_join(df, rounds=rounds).collect())
+    assert got == sorted(brute_classes(rows))
+    assert len({c for _, _, c in got}) > 10
+
+
+def test_long_copies_below_the_similarity_go_by_blocks(spark, monkeypatch):
+    """Sets that travel to be compared: about 2 / BLOCK of the pairs' number, not two a pair."""
+    moved, pairs = [], []
+    cells, plain = ngram_join.cells_verified, ngram_join.verified
+
+    def count_cells(met, members, *rest):
+        blocks = met.select(F.explode(F.array("x", "y")).alias("block"), "x", "y").distinct()
+        moved.append(blocks.join(members, "block").count())
+        return cells(met, members, *rest)
+
+    def count_pairs(met, *rest):
+        pairs.append(met.count())
+        return plain(met, *rest)
+
+    monkeypatch.setattr(ngram_join, "cells_verified", count_cells)
+    monkeypatch.setattr(ngram_join, "verified", count_pairs)
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    many = 64
+    df = spark.createDataFrame(long_copies(many, [14], words=750), "doc_id long, text string")
+    assert ngram_join.ngram_join(df).filter("doc_id <> component_id").count() <= 2
+    assert sum(pairs) < 4 * many and 0 < sum(moved) < many * (many // 16 + 3) * 2
+
+
 def test_ngram_join_odd(spark, odd, none):
     assert ngram_join.ngram_join(none).count() == 0
     assert ngram_join.ngram_join(odd).count() == len(odd_rows())
