@@ -310,24 +310,26 @@ def of_groups(labels: DataFrame) -> DataFrame:
     return found.select("group", "lo", "hi", "shared", *(F.array(*[F.col(f"{name}{i}") for i in words]).alias(name) for name in ("every", "some")))
 
 
-def blocks(posts: DataFrame, labels: DataFrame) -> DataFrame:
-    """group, block (its smallest group) of groups of few, long sets, by the first member (`lead`) that most of their lists have."""
+def long_groups(labels: DataFrame) -> DataFrame:
+    """group, load (shared shingles) of groups of few, long sets."""
+    long = labels.groupBy("group").agg(F.count(F.lit(1)).alias("members"), F.sum("shared").alias("load"), F.min("shared").alias("least"))
+    return long.filter((F.col("members") <= 4) & (F.col("least") >= SIGNATURE // 2) & (F.col("load") <= BLOCK_SHARED // 2)).select("group", "load")
+
+
+def blocks(posts: DataFrame, long: DataFrame) -> DataFrame:
+    """group, block (its smallest group) of long groups, by the first member (`lead`) that most of their lists have."""
     votes = posts.groupBy("group", "lead").agg(F.count(F.lit(1)).alias("votes"))
     leads = votes.groupBy("group").agg(F.max_by("lead", F.struct("votes", "lead")).alias("lead"))
-    long = labels.groupBy("group").agg(F.count(F.lit(1)).alias("members"), F.sum("shared").alias("load"), F.min("shared").alias("least"))
-    long = long.filter((F.col("members") <= 4) & (F.col("least") >= SIGNATURE // 2) & (F.col("load") <= BLOCK_SHARED // 2))
     long = common.written(long.join(leads, "group").select("group", "lead", "load"), "long")
     chunks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("load") / BLOCK_SHARED))
     chunks = long.groupBy("lead").agg(chunks.alias("chunks"))
     long = long.join(chunks, "lead").select("group", "lead", F.pmod(F.xxhash64("group"), F.col("chunks")).alias("chunk"))
     names = long.groupBy("lead", "chunk").agg(F.min("group").alias("block"), F.count(F.lit(1)).alias("groups")).filter("groups > 1")
-    return long.join(names, ["lead", "chunk"]).select("group", "block")
+    return common.written(long.join(names, ["lead", "chunk"]).select("group", "block"), "blocks")
 
 
 def blocked(posts: DataFrame, deal: DataFrame) -> DataFrame:
     """Postings with those of a block's groups as one, that of any set which the block could have."""
-    if deal.isEmpty():
-        return posts.withColumns({"n_most": F.col("n"), "block": F.lit(False)})
     found = posts.join(deal, "group", "left")
     alone = found.filter("block is null").select("token", "group", "n", F.col("n").alias("n_most"), "place", "prev", "lo", "hi", "shared", "every", "some", F.lit(False).alias("block"))
     words = range(SIGNATURE // 64)
@@ -414,9 +416,16 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
     # the rest: all pairs that are not connected yet and could link. Groups of long sets go by blocks. In each list, those of
     # the commonest label meet only the others, so a large connected group makes no pairs with itself.
     lead = F.min(F.struct(F.xxhash64("group", F.lit(rounds)), "group")).over(by_token)["group"]
-    posts = common.written(unfinished(posts, labels).withColumn("lead", lead), "unfinished")
-    deal = common.written(blocks(posts, labels), "blocks")
-    posts = blocked(posts.drop("lead"), deal).withColumn("c", F.count(F.when(F.col("lo") == F.col("hi"), 1)).over(Window.partitionBy("token", "lo")))
+    posts = unfinished(posts, labels)
+    long = long_groups(labels)
+    dealt = not long.isEmpty()
+    if dealt:
+        posts = common.written(posts.withColumn("lead", lead), "unfinished")
+        deal = blocks(posts, long)
+        posts = blocked(posts.drop("lead"), deal)
+    else:
+        posts = posts.withColumns({"n_most": F.col("n"), "block": F.lit(False)})
+    posts = posts.withColumn("c", F.count(F.when(F.col("lo") == F.col("hi"), 1)).over(Window.partitionBy("token", "lo")))
     top = F.max(F.when(F.col("lo") == F.col("hi"), F.struct("c", "lo"))).over(by_token)
     posts = common.written(posts.withColumn("top", top["lo"]).drop("c"), "unfinished")
     of_top = (F.col("lo") == F.col("hi")) & (F.col("lo") == F.col("top"))
@@ -426,11 +435,13 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
     possible = could_link(percent, "n_most") & apart & could_overlap(percent, "every", "some")
     met = few.join(all_, F.col("x.token") == F.col("y.token")).filter(once & possible)
     met = met.select(F.col("x.group").alias("x"), F.col("y.group").alias("y"), (F.col("x.block") | F.col("y.block")).alias("block")).distinct()
-    met = common.written(met, "met")
     mixed = labels.groupBy("group").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h").select("group")
-    mixed = mixed.join(deal, "group", "left_anti").select(F.col("group").alias("x"), F.col("group").alias("y"))
+    if dealt:
+        met = common.written(met, "met")
+        mixed = mixed.join(deal, "group", "left_anti")
+    mixed = mixed.select(F.col("group").alias("x"), F.col("group").alias("y"))
     links = verified(expanded(met.filter("not block").select("x", "y").union(mixed), labels), sets, percent)
-    if not deal.isEmpty():
+    if dealt:
         own = labels.join(deal, "group").groupBy("block").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h")
         own = own.select(F.col("block").alias("x"), F.col("block").alias("y"))
         inside = labels.join(deal, "group", "left").select(F.coalesce("block", "group").alias("block"), "id")
