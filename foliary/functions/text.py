@@ -121,7 +121,7 @@ def looks_like_noise(text: Column) -> Column:
 
 def looks_like_code(text: Column) -> Column:
     """Web code rather than a document, judged on its first 40,000 bytes."""
-    head = F.when(F.octet_length(text) <= 40_000, text).otherwise(F.regexp_replace(F.decode(F.substring(F.encode(text, "UTF-8"), 1, 40_000), "UTF-8"), "�$", ""))
+    head = F.when(F.octet_length(text) <= 40_000, text).otherwise(F.regexp_replace(F.make_valid_utf8(F.substring(text.cast("binary"), 1, 40_000).cast("string")), "�$", ""))
     signals = F.size(F.regexp_extract_all(head, F.lit(CODE_SIGNALS), F.lit(0)))
     density = F.length(F.regexp_replace(head, "[^{};()=]+", "")) / F.greatest(F.length(head), F.lit(1))
     return F.when(blank(text), False).otherwise(((signals >= 5) & (density > 0.03)) | (signals >= 30))
