@@ -89,8 +89,8 @@ def estimate_hours(plan: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def loads(work: DataFrame) -> DataFrame:
-    """Hours per team and half shard: at most 24 half shards for each team."""
-    return work.groupBy("team", "half_shard").agg(F.sum("hours").alias("hours"))
+    """Hours and files per team and half shard: at most 24 half shards for each team."""
+    return work.groupBy("team", "half_shard").agg(F.sum("hours").alias("hours"), F.count(F.lit(1)).alias("files"))
 
 
 def rebalance(load: DataFrame, most_moves: int = 6, by_hand: list[tuple[int, str, str]] = []) -> DataFrame:
