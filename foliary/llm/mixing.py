@@ -79,8 +79,9 @@ def schedule(plan: DataFrame, slots: int, few: Callable[[DataFrame], DataFrame])
     shares = plan.filter("low < high").select("i", "low", "high", "need", "blocks", "last_take", F.explode(F.sequence(F.shiftright("low", 20), F.shiftright(F.col("high") - 1, 20))).alias("_part"))
     k = k.withColumn("_x", x).withColumn("_part", F.shiftright("_x", 20)).join(few(shares), "_part").filter("low <= _x and _x < high")
     k = k.select("slot", "i", "need", "blocks", "last_take", F.floor(F.col("slot") / SLOT_BUCKET).alias("_bucket"), F.lit(1).alias("_one"))
-    reached = k.groupBy("i").agg(F.count(F.lit(1)).alias("got"))
     k = common.prefix_sums(k, ["i"], ["slot"], "_one", "rank", bucket_key="_bucket").select("slot", "i", "rank", "need", "blocks", "last_take")
+    k = common.written(k, "slots")  # used three times; the driver needn't hold its plan as often
+    reached = k.groupBy("i").agg(F.count(F.lit(1)).alias("got"))
     # slots beyond their source's need, numbered in order, go to the ranks that the points did not reach, numbered in an order by hash
     spare = k.filter("rank >= need").select("slot", F.floor(F.col("slot") / SLOT_BUCKET).alias("_bucket"), F.lit(1).alias("_one"))
     spare = common.prefix_sums(spare, [], ["slot"], "_one", "_free", bucket_key="_bucket").select("slot", "_free")
@@ -89,6 +90,7 @@ def schedule(plan: DataFrame, slots: int, few: Callable[[DataFrame], DataFrame])
     missed = missed.withColumn("_h", F.xxhash64("i", "rank")).withColumn("_bucket", F.shiftright("_h", 48))
     missed = common.prefix_sums(missed, [], ["_h", "i", "rank"], "_one", "_free", bucket_key="_bucket")
     both = k.filter("rank < need").unionByName(missed.join(spare, "_free").select(*k.columns))
+    both = common.written(both, "mix-slots")
     return both.select("slot", "i", "rank", (F.col("rank") % F.col("blocks")).alias("block"), F.when(F.col("rank") == F.col("need") - 1, F.col("last_take")).alias("cut"))
 
 
@@ -107,6 +109,7 @@ def streams(docs: DataFrame, block: int, weights: Callable[[Column], Column], mo
     named = few(plan.select("i", F.col("source").alias("_source"), "source_size", "target"))
     rows = rows.join(named, rows["source"].eqNullSafe(F.col("_source"))).drop("_source").withColumn("_h", F.xxhash64("doc_id", F.lit(4)))
     stream = common.prefix_sums(rows, ["i"], ["_h", "doc_id", "_text", "size"], "size", "start").drop("_h", "_text")
+    stream = common.written(stream, "streams")
     pieces = stream.filter("size > 0").select(
         "i", "source", "doc_id", "start", "size",
         F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"),

@@ -27,3 +27,13 @@ def test_cases_that_lose_all_records_of_an_id(spark):
     assert kept == {("b", "C", True, None), ("d", "E", False, None), (None, "G", True, None)}
     assert {r["caso"] for r in journal.reopened_cases(df, bad).collect()} == {"A", "D", "F", "G"}
     assert scans(journal.reopened_cases(catalog.view(spark, SF, "journal").select("id", "caso", "was_read", F.lit(None).cast("string").alias("copied_from")), bad)) == 1
+
+
+def test_steps_of_a_mix_end_in_tables(spark):
+    """The driver holds no plan of all steps: the last one reads tables and has no windows of its own."""
+    from foliary.llm import mixing
+
+    docs = spark.createDataFrame([(i, "word " * (i % 40), f"s{i % 3}") for i in range(60)], "doc_id long, text string, source string")
+    out = mixing.mix(docs)
+    assert "Window" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert out.count() == 60 and out.agg(F.max("taken")).first()[0] > 0
