@@ -44,7 +44,10 @@ def assemble_case_records(listing: DataFrame, records: DataFrame, incomplete: bo
     cols = [c for c in READING + ["read_with", "document_type", "contains_ssn", "pages_read", "extracted_text"] if c in records.columns]
     own = records.select("id", is_definitive().alias("_done"), F.struct(*cols).alias("_own"))
     original = first_original_by_hash(records).select("hash", F.col("id").alias("_from"), F.struct(*cols).alias("_copy"))
-    files = spread_join(listing.join(own, "id", "left"), original, "hash", how="left")
+    # a file without a hash is dealt by its id: "i" and "h" keep them apart
+    key = lambda df: df.withColumn("_hash", F.concat(F.lit("h"), "hash"))
+    files = key(listing).withColumn("_hash", F.coalesce("_hash", F.concat(F.lit("i"), "id"), F.lit("n")))
+    files = spread_join(files.join(own, "id", "left"), key(original).drop("hash"), "_hash", how="left", counted=key(listing))
     nothing = F.struct(*[F.lit("not read in this stage").alias(c) if c == "not_read_because" else (F.lit(False) if c == "was_read" else F.lit(None).cast(records.schema[c].dataType)).alias(c) for c in cols])
     settled = F.coalesce("_done", F.lit(False))
     pick = F.when(settled, F.col("_own")).when(F.col("_copy").isNotNull(), F.col("_copy"))
@@ -119,11 +122,15 @@ def ancestors(path: Column) -> Column:
 
 def longest_prefix_destination(files: DataFrame, moves: DataFrame, name_map: DataFrame) -> DataFrame:
     """id, case, subfolder where each file (id, path, caso) is now: by the longest moved prefix of its path,
-    else by its folder's single current name."""
-    up = files.select("id", "path", "caso", F.explode(ancestors(F.col("path"))).alias("origin"))
-    hit = up.join(moves.distinct(), "origin").groupBy("id").agg(F.max_by(F.struct("origin", "destination"), F.length("origin")).alias("m"))
+    else by its folder's single current name. Files of one folder go the same way, so only distinct folders look for their prefixes."""
+    # a path up to its last slash has the same folders above it
+    place = F.when(F.col("path").contains("/"), F.regexp_replace("path", "[^/]*$", "")).otherwise(F.col("path"))
+    files = files.select("id", place.alias("path"), "caso")
+    places = files.select("path", "caso").distinct()
+    up = places.select("path", F.explode(ancestors(F.col("path"))).alias("origin")).distinct()
+    hit = up.join(moves.distinct(), "origin").groupBy("path").agg(F.max_by(F.struct("origin", "destination"), F.length("origin")).alias("m"))
     single = unique_case_by_origin(name_map)
-    out = files.join(hit, "id", "left").join(single.select(F.col("origin").alias("caso"), "current"), "caso", "left")
+    out = places.join(hit, "path", "left").join(single.select(F.col("origin").alias("caso"), "current"), "caso", "left")
     rest = F.regexp_replace(F.ltrim(F.lit("/"), F.expr("substring(path, length(m.origin) + 1)")), "/?[^/]*$", "")
     dest_case = F.substring_index("m.destination", "/", 1)
     dest_sub = F.when(F.col("m.destination").contains("/"), F.regexp_replace("m.destination", "^[^/]*/", "")).otherwise("")
@@ -133,7 +140,11 @@ def longest_prefix_destination(files: DataFrame, moves: DataFrame, name_map: Dat
     own_sub = F.when(inside.contains("/"), F.regexp_replace(inside, "/[^/]*$", "")).otherwise("")
     case = F.when(F.col("m").isNotNull(), dest_case).otherwise(F.coalesce("current", F.lit("")))
     sub = F.when(F.col("m").isNotNull(), moved_sub).when(F.col("current").isNotNull(), own_sub).otherwise("")
-    return out.select("id", case.alias("case"), sub.alias("subfolder"))
+    told = out.select(F.col("path").alias("_path"), F.col("caso").alias("_caso"), case.alias("case"), sub.alias("subfolder"))
+    # places that say nothing needn't be met
+    told = told.filter("case <> '' or subfolder <> ''")
+    met = files.join(told, F.col("path").eqNullSafe(F.col("_path")) & F.col("caso").eqNullSafe(F.col("_caso")), "left")
+    return met.select("id", F.coalesce("case", F.lit("")).alias("case"), F.coalesce("subfolder", F.lit("")).alias("subfolder"))
 
 
 def unique_case_by_origin(name_map: DataFrame) -> DataFrame:

@@ -59,3 +59,37 @@ def test_times_just_before_a_window(spark, tmp_path, name):
     late = F.lit(datetime.datetime(2024, 1, 3, 10, 4, 59, 999_700)).cast("timestamp_ntz")
     sf = copied(spark, tmp_path, ["events"], events=lambda e: e.withColumn("ts", F.when(F.col("event_id") % 5 == 0, late).otherwise(F.col("ts"))))
     assert by_spark(spark, sf, name) == by_sql(sf, ["events"], name)
+
+
+@pytest.mark.parametrize("name", ["copy_text_from_original", "order_work_queue", "assemble_case_records", "compare_live", "ocr_queue_report"])
+def test_hashes_and_reasons_stay_where_they_are(spark, name):
+    """Contents move as the numbers that their hashes are made of, and the records of a report are made once."""
+    df = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5(" not in plan
+    if name == "ocr_queue_report":
+        assert plan.count("l_extendedprice") + plan.count("l_suppkey#") > 0 and plan.count("Relation [l_orderkey") == 2
+
+
+def test_report_of_a_queue(spark):
+    """Images of one id twice, ids that are null, records that the listing has not, and nothing at all."""
+    from foliary.operators import journal
+
+    schema = "id string, file_name string, was_read boolean, not_read_because string, ocr_ok boolean, reader_version int, _seq long"
+    rows = [("a", "a.png", False, "needs OCR: x", None, 4, 1), ("b", "b.pdf", True, None, None, 4, 1), ("c", "c.pdf", False, "OCR failed", None, 4, 1), (None, "n.pdf", False, "OCR failed", None, 4, 1)]
+    files = [("a", "a.png"), ("a", "a.png"), ("b", "b.jpg"), (None, "n.png"), ("d", "d.pdf"), ("e", None)]
+    report = lambda r, f: {x["what"]: x["count"] for x in journal.ocr_queue_report(spark.createDataFrame(r, schema), spark.createDataFrame(f, "id string, name string")).collect()}
+    assert report(rows, files) == {"reason: needs OCR: x": 1, "pending images": 3, "not in the listing": 2}
+    assert report([], []) == {"pending images": 0, "not in the listing": 0}
+
+
+def test_only_distinct_folders_look_for_prefixes(spark):
+    from foliary.operators import assemble
+
+    files = [(f"f{i}", f"/Matters/C/{'x/' * (i % 3)}n{i}", "C") for i in range(9)] + [("g", "bare", "C"), ("h", None, "C"), ("i", "/Matters/C/x/n", None), (None, "/Matters/C/x/y\n", "C")]
+    moves = [("/Matters/C/x", "New/Sub"), ("/Matters/C/x/x", "Other"), ("bare", "Bare")]
+    got = assemble.longest_prefix_destination(spark.createDataFrame(files, "id string, path string, caso string"), spark.createDataFrame(moves, "origin string, destination string"),
+                                              spark.createDataFrame([("C", "Now C")], "nombre_origen string, nombre_actual string"))
+    want = {**{f"f{i}": [("Now C", ""), ("New", "Sub"), ("Other", "")][i % 3] for i in range(9)}, "g": ("Bare", ""), "h": ("Now C", ""), "i": ("New", "Sub"), None: ("New", "Sub")}
+    assert {r["id"]: (r["case"], r["subfolder"]) for r in got.collect()} == want
+    assert "Aggregate" in got._jdf.queryExecution().optimizedPlan().toString().split("Generate explode")[1]
