@@ -210,3 +210,28 @@ def test_sql(spark, name, query, sql):
     columns = [d[0] for d in want.description]
     assert sorted(map(tuple, query(spark, SF).select(*columns).collect())) == sorted(want.fetchall())
     assert common.documents(spark, SF).count() > 0
+
+
+def test_every_two_windows_of_a_list_may_meet(spark):
+    """Near passages that hold a line of all texts: the exact way has every pair that comparing all with all has."""
+    import random
+
+    import numpy as np
+
+    from foliary.llm import passages
+    from foliary.llm.shingles import text_shingles
+
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    line = [word() for _ in range(32)]
+    tails = [[word() for _ in range(24)] for _ in range(6)]
+    texts = []
+    for i in range(36):
+        tail = list(tails[i % 6])
+        tail[r.randrange(24)] = word()
+        texts.append(" ".join([word() for _ in range(30)] + line + tail + [word() for _ in range(30)]))
+    sets = [(s & np.uint64(0xFFFFFFFF)).astype("<u4") for s in text_shingles(texts)]
+    want = {(i, j) for i in range(36) for j in range(i) if passages.matches(sets[i], sets[j], 46, 75)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(x["doc_id"], x["match_id"]) for x in passages.passages(docs, pivots=None).select("doc_id", "match_id").collect()}
+    assert len(want) > 36 and want <= got
