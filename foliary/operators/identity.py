@@ -141,7 +141,8 @@ def compare_matters(pairs: DataFrame, a: str = "a_", b: str = "b_") -> DataFrame
     told = lambda rules: F.coalesce(*[F.when(when, F.struct(F.lit(verdict).alias("verdict"), reason.alias("reason"))) for when, verdict, reason in rules])
     last = F.struct(F.lit("CASO DISTINTO").alias("verdict"), F.concat(F.lit("nombres diferentes ("), percent, F.lit(" de coincidencia)")).alias("reason"))
     settled = pairs.withColumn("_v", told(set_rules))
-    open_ = settled.filter("_v is null").withColumn("_ratio", name_similarity(A("matter"), B("matter")))
-    open_ = open_.withColumn("_v", F.coalesce(told(name_rules), last)).drop("_ratio")
-    out = settled.filter("_v is not null").unionByName(open_)
+    # one pass: of settled pairs, names that are null are compared
+    name = lambda c: F.when(F.col("_v").isNull(), c)
+    out = settled.withColumn("_ratio", name_similarity(name(A("matter")), name(B("matter"))))
+    out = out.withColumn("_v", F.coalesce("_v", told(name_rules), last)).drop("_ratio")
     return out.withColumn("verdict", F.col("_v.verdict")).withColumn("reason", F.col("_v.reason")).drop("_v")

@@ -93,3 +93,20 @@ def test_only_distinct_folders_look_for_prefixes(spark):
     want = {**{f"f{i}": [("Now C", ""), ("New", "Sub"), ("Other", "")][i % 3] for i in range(9)}, "g": ("Bare", ""), "h": ("Now C", ""), "i": ("New", "Sub"), None: ("New", "Sub")}
     assert {r["id"]: (r["case"], r["subfolder"]) for r in got.collect()} == want
     assert "Aggregate" in got._jdf.queryExecution().optimizedPlan().toString().split("Generate explode")[1]
+
+
+def test_pairs_are_made_by_as_many_tasks_as_a_shuffle_has(spark):
+    """Features are made once, in a table, and pairs aren't bound to its few files."""
+    df = catalog.QUERIES["compare_matters"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation [o_orderkey" not in plan and plan.count("RepartitionByExpression [client") == 2 and "Union" not in plan
+
+
+def test_ratio_of_equal_pairs(spark):
+    from difflib import SequenceMatcher
+
+    from foliary.functions.helpers import ratio
+
+    rows = [(x, y) for x in ("abcd", "bcda", "", None, "x" * 250 + "y") for y in ("abcd", "dcba", "", None, "xy" * 120)] * 2
+    got = spark.createDataFrame(rows, "a string, b string").select("a", "b", ratio("a", "b").alias("r")).collect()
+    assert all(r["r"] == SequenceMatcher(None, r["a"] or "", r["b"] or "").ratio() for r in got) and len(got) == 50
