@@ -47,7 +47,9 @@ def write_case_jsonl(records: DataFrame, summary: DataFrame, path: str, masked:
     lines = case_lines(records, summary, masked, generated).join(case_file_names(records), "caso")
     parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = lines.repartition(parts, "file").sortWithinPartitions("file", "kind", "subfolder", "file_name", "id")
-    dealt.select("file", "value").write.mode("overwrite").partitionBy("file").text(path)
+    # tasks place their own files, as the driver would take one after the other; _SUCCESS tells when all are there
+    placed = dealt.select("file", "value").write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    placed.partitionBy("file").text(path)
 
 
 def write_stage_lists(plan: DataFrame, state: DataFrame, path: str) -> None:
