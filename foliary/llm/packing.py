@@ -62,7 +62,7 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 
 def cut(texts: pd.Series, ids: pd.Series, path: str, capacity: int, end_id: int) -> pd.DataFrame:
-    encode, end, out = tokens.encoder(path, 300_000).batches, np.array([end_id], dtype="<u4").tobytes(), []
+    encode, end, out = tokens.encoder(path, 100_000).batches, np.array([end_id], dtype="<u4").tobytes(), []
     width, docs = 4 * capacity, ids.tolist()
     for at, blobs in encode(texts.tolist()):
         for doc, blob in zip(docs[at:], blobs):
