@@ -225,16 +225,16 @@ def shared_sets(docs: DataFrame, percent: int, bits: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b) those whose sets are similar enough."""
+    """Of pairs (a, b), with their labels la and lb, the labels (a, b) of those whose sets are similar enough."""
     a = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     b = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb")).cast("long")
     found = pairs.join(a, "a").join(b, "b")
-    return found.filter(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b")
+    return found.filter(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select(F.col("la").alias("a"), F.col("lb").alias("b"))
 
 
 def cell_links(percent: int):
-    """Links of one cell: (a, b) for each set b that links join, through sets of the cell, to a, the smallest of its kind."""
+    """Links of one cell: labels (a, b) for each set b that links join, through sets of the cell, to a, the smallest of its kind."""
 
     def run(cell: pa.Table) -> pa.Table:
         ids, n = cell.column("id").to_numpy(), cell.column("n").to_numpy()
@@ -252,32 +252,35 @@ def cell_links(percent: int):
                 has[owner[i:j], column[i:j] - k * COLUMNS] = 1
                 both += has @ has.T
         linked = 100 * both >= percent * (n[:, None] + n[None, :] - both)
-        label = ids
+        label, known = ids, cell.column("label").to_numpy()
         while True:
             near = np.where(linked, label[None, :], label[:, None]).min(axis=1)
             if (near == label).all():
                 break
             label = near
         moved = label != ids
-        return pa.table({"a": pa.array(label[moved], type=pa.int64()), "b": pa.array(ids[moved], type=pa.int64())})
+        order = np.argsort(ids, kind="stable")
+        lead = order[np.searchsorted(ids[order], label[moved])]
+        return pa.table({"a": pa.array(known[lead], type=pa.int64()), "b": pa.array(known[moved], type=pa.int64())})
 
     return run
 
 
 def cells_verified(cells: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links found in cells (x, y) of blocks. `members` has block and id; blocks of many members come in parts."""
+    """Links found in cells (x, y) of blocks. `members` has block, id and label; blocks of many members come in parts."""
     sized = members.join(sets.select("id", "n", F.size("tokens").cast("long").alias("_shared"), "tokens"), "id")
     parts = F.greatest(F.ceil(F.count(F.lit(1)) / (4 * BLOCK)), F.ceil(F.sum("_shared") / (4 * BLOCK_SHARED)))
     parts = common.written(sized.groupBy("block").agg(parts.cast("int").alias("parts")), "parts")
     dealt = sized.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    dealt = dealt.select("block", "part", "id", "n", "tokens")
+    dealt = dealt.select("block", "part", "id", "label", "n", "tokens")
     px, py = (parts.select(F.col("block").alias(c), F.col("parts").alias(f"{c}parts")) for c in "xy")
     cells = cells.join(px, "x").join(py, "y")
     cells = cells.withColumn("xpart", F.explode(F.sequence(F.lit(0), F.col("xparts") - 1)))
     cells = cells.withColumn("ypart", F.explode(F.sequence(F.lit(0), F.col("yparts") - 1))).select("x", "y", "xpart", "ypart")
     cells = cells.filter("x <> y or xpart <= ypart")
     places = cells.select("*", F.col("x").alias("block"), F.col("xpart").alias("part")).union(cells.select("*", F.col("y").alias("block"), F.col("ypart").alias("part")))
-    inside = places.distinct().join(dealt, ["block", "part"]).select("x", "y", "xpart", "ypart", "id", "n", "tokens")
+    places = common.written(places.distinct(), "places")
+    inside = places.join(dealt, ["block", "part"]).select("x", "y", "xpart", "ypart", "id", "label", "n", "tokens")
     return inside.groupBy("x", "y", "xpart", "ypart").applyInArrow(cell_links(percent), "a long, b long").distinct()
 
 
@@ -342,12 +345,15 @@ def blocked(posts: DataFrame, deal: DataFrame) -> DataFrame:
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels (id, group, label and what is known of the set) after new links (a, b). Only the labels that links join
-    are worked on, so each link is used once and what is connected already stays contracted to one node."""
-    a = labels.select(F.col("id").alias("a"), F.col("label").alias("la"))
-    b = labels.select(F.col("id").alias("b"), F.col("label").alias("lb"))
-    joined = links.join(a, "a").join(b, "b").filter("la <> lb").select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct()
-    found = components(joined).select(F.col("id").alias("label"), F.col("label").alias("new"))
+    """Labels (id, group, label and what is known of the set) after new links (a, b) of labels. Only the labels that links
+    join are worked on, so each link is used once and what is connected already stays contracted to one node.
+
+    Links are written first: what finds them is a plan by itself, and the driver's memory follows its largest plan."""
+    links = links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = common.written(links, "linked")
+    if links.isEmpty():
+        return labels
+    found = components(links).select(F.col("id").alias("label"), F.col("label").alias("new"))
     out = labels.join(found, "label", "left").select("id", "group", F.coalesce("new", "label").alias("label"), "n", "shared", "sig")
     return common.written(out, "labelled")
 
@@ -382,7 +388,7 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
     posts = common.written(posts.join(lists, "token"), "postings")
 
     # within groups: members meet the group's head
-    labels = merged(members, verified(members.filter("id <> group").select(F.col("group").alias("a"), F.col("id").alias("b")), sets, percent))
+    labels = merged(members, verified(members.filter("id <> group").select(*[F.col(c).alias(x) for c, x in (("group", "a"), ("id", "b"), ("group", "la"), ("id", "lb"))]), sets, percent))
     by_token = Window.partitionBy("token")
 
     def unfinished(posts: DataFrame, labels: DataFrame) -> DataFrame:
@@ -392,11 +398,11 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
         return spread.filter("_l < _h").drop("_l", "_h")
 
     def expanded(groups: DataFrame, labels: DataFrame) -> DataFrame:
-        """Members of pairs of groups (x, y) that are not connected and could link."""
+        """Members of pairs of groups (x, y) that are not connected and could link, with their labels."""
         x, y = labels.alias("x"), labels.alias("y")
         met = groups.alias("g").join(x, F.col("g.x") == F.col("x.group")).join(y, F.col("g.y") == F.col("y.group"))
         met = met.filter((F.col("x.label") != F.col("y.label")) & could_overlap(percent, "sig", "sig"))
-        return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+        return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.label").alias("la"), F.col("y.label").alias("lb"))
 
     apart = ~((F.col("x.lo") == F.col("x.hi")) & (F.col("x.hi") == F.col("y.lo")) & (F.col("y.lo") == F.col("y.hi")))
     possible = could_link(percent) & apart & could_overlap(percent, "every", "some")
@@ -410,7 +416,7 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
         posts = common.written(posts.select("token", "group", "n", "place", "prev", one.alias("x"), first.alias("y")), "unfinished")
         met = posts.filter((F.col("x.group") != F.col("y.group")) & possible)
         votes = met.groupBy(F.col("x.group").alias("x"), F.col("y.group").alias("y")).agg(F.count(F.lit(1)).alias("votes"))
-        groups = votes.groupBy("x").agg(F.max_by("y", F.struct("votes", "y")).alias("y"))
+        groups = common.written(votes.groupBy("x").agg(F.max_by("y", F.struct("votes", "y")).alias("y")), "partners")
         labels = merged(labels, verified(expanded(groups, labels), sets, percent))
 
     # the rest: all pairs that are not connected yet and could link. Groups of long sets go by blocks. In each list, those of
@@ -436,15 +442,15 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
     met = few.join(all_, F.col("x.token") == F.col("y.token")).filter(once & possible)
     met = met.select(F.col("x.group").alias("x"), F.col("y.group").alias("y"), (F.col("x.block") | F.col("y.block")).alias("block")).distinct()
     mixed = labels.groupBy("group").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h").select("group")
+    met = common.written(met, "met")
     if dealt:
-        met = common.written(met, "met")
         mixed = mixed.join(deal, "group", "left_anti")
     mixed = mixed.select(F.col("group").alias("x"), F.col("group").alias("y"))
-    links = verified(expanded(met.filter("not block").select("x", "y").union(mixed), labels), sets, percent)
+    links = common.written(verified(expanded(met.filter("not block").select("x", "y").union(mixed), labels), sets, percent), "rest")
     if dealt:
         own = labels.join(deal, "group").groupBy("block").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h")
         own = own.select(F.col("block").alias("x"), F.col("block").alias("y"))
-        inside = labels.join(deal, "group", "left").select(F.coalesce("block", "group").alias("block"), "id")
+        inside = labels.join(deal, "group", "left").select(F.coalesce("block", "group").alias("block"), "id", "label")
         cells = common.written(met.filter("block").select("x", "y").union(own), "cells")
         inside = inside.join(cells.select(F.explode(F.array("x", "y")).alias("block")).distinct(), "block", "left_semi")
         links = links.union(cells_verified(cells, inside, sets, percent))

@@ -646,6 +646,20 @@ def test_long_copies_below_the_similarity_go_by_blocks(spark, monkeypatch):
     assert sum(pairs) < 4 * many and 0 < sum(moved) < many * (many // 16 + 3) * 2
 
 
+def test_plans_of_the_ngram_join_are_small(spark, monkeypatch):
+    """The driver plans a step again at each of its stages, so its memory follows the largest plan."""
+    joins, plain = {}, common.written
+
+    def count(df, name):
+        joins[name] = max(joins.get(name, 0), df._jdf.queryExecution().executedPlan().toString().count("Join "))
+        return plain(df, name)
+
+    monkeypatch.setattr(common, "written", count)
+    rows = long_copies(20, [3, 14]) + [(k, prose(k, 30)) for k in range(10)] + [(100 + k, prose(k, 30) + " tail") for k in range(10)]
+    ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    assert len(joins) > 8 and max(joins.values()) <= 6, joins
+
+
 def test_ngram_join_odd(spark, odd, none):
     assert ngram_join.ngram_join(none).count() == 0
     assert ngram_join.ngram_join(odd).count() == len(odd_rows())
