@@ -22,14 +22,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, tokens
 
+#: Words that a worker's cache holds, and rows whose texts a task has in Python at once.
+CACHED, ROWS = 300_000, 2_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 BIN = "bin long, offset long, bin_length long"
+NAMES = [c.split()[0] for c in f"{PIECE}, {BIN}".split(", ")]
 PLACED = "bin long, into long, shift long, bin_length long"
 
 
@@ -61,27 +65,27 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets
 
 
-def cut(texts: pd.Series, ids: pd.Series, path: str, capacity: int, end_id: int) -> pd.DataFrame:
-    encode, end, out = tokens.encoder(path, 100_000).batches, np.array([end_id], dtype="<u4").tobytes(), []
-    width, docs = 4 * capacity, ids.tolist()
-    for at, blobs in encode(texts.tolist()):
-        for doc, blob in zip(docs[at:], blobs):
+def cut(texts: list[str | None], ids: list[int | None], path: str, capacity: int, end_id: int) -> Iterator[tuple]:
+    encode, end, width = tokens.encoder(path, CACHED).batches, np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
+    for at, blobs in encode(texts):
+        for doc, blob in zip(ids[at:], blobs):
             blob += end
             for k in range(0, len(blob), width):
                 part = blob[k : k + width]
-                out.append((doc, k // width, k // 4, len(part) // 4, zlib.crc32(part)))
-    return pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+                yield doc, k // width, k // 4, len(part) // 4, zlib.crc32(part)
 
 
 def first_round(path: str, capacity: int, end_id: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        made = [cut(b["text"], b["doc_id"], path, capacity, end_id) for b in batches]
-        rows = pd.concat(made) if made else pd.DataFrame()
-        if len(rows):
-            bins, rows["offset"] = best_fit(rows["length"].to_numpy(), capacity)
-            rows["bin"] = (TaskContext.get().partitionId() << 32) + bins
-            rows["bin_length"] = rows.groupby("bin")["length"].transform("sum")
-            yield rows
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS))
+        rows = [r for p in parts for r in cut(p.column("text").to_pylist(), p.column("doc_id").to_pylist(), path, capacity, end_id)]
+        if rows:
+            doc, piece, start, length, crc = zip(*rows)
+            bins, offset = best_fit(np.array(length), capacity)
+            full = np.bincount(bins, weights=length).astype(np.int64)[bins]
+            number = (TaskContext.get().partitionId() << 32) + bins
+            columns = [doc, pa.array(piece, type=pa.int32()), start, length, crc, number, offset, full]
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=pa.int64()) for c in columns], names=NAMES)
 
     return run
 
@@ -142,7 +146,7 @@ def pack(
 ) -> DataFrame:
     """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, sequence_length."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = common.written(texts.mapInPandas(first_round(tokenizer, capacity, end_id), f"{PIECE}, {BIN}"), "pieces")
+    rows = common.written(texts.mapInArrow(first_round(tokenizer, capacity, end_id), f"{PIECE}, {BIN}"), "pieces")
     full = F.col("bin_length") >= capacity - slack
     piece = ["doc_id", "piece", "start", "length", "ids_crc32"]
     done = rows.filter(full).select(*piece, F.col("bin").alias("sequence_id"), "offset", F.col("bin_length").alias("sequence_length"))

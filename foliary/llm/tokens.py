@@ -61,7 +61,7 @@ class ChunkEncoder:
         self.pieces = regex.compile(pattern).findall
         self.chars = byte_chars()
         self.lead = self.chars[32]
-        self.words = Cache(self.word, most_cached)
+        self.words = Cache(self.chunk if self.lowers else self.word, most_cached)
         self.cores = Cache(self.core, most_cached // 2)
         self.ends = {b"": b""}
         self.ends |= {c.encode(): self.piece(c) for c in ".,"}
@@ -81,6 +81,8 @@ class ChunkEncoder:
     def chunk(self, raw: bytes) -> bytes:
         """Ids of a part of a text that can be cut out of it."""
         # most are a plain word, or one with a full stop or comma behind
+        if raw.isalpha() and len(raw) < 64:
+            return self.cores[raw.decode()]
         word, end = (raw[:-1], raw[-1:]) if raw[-1:] in self.ends else (raw, b"")
         bare = word[1:] if word[:1] == b" " else word
         if bare.isalpha() and len(bare) < 64:
@@ -97,7 +99,7 @@ class ChunkEncoder:
 
     def word(self, word: bytes) -> bytes:
         """Ids of what stands between two spaces, a line end before it included."""
-        if self.lowers or not word:
+        if not word:
             return self.chunk(word)
         return self.line_end + (self.chunk(word[1:]) if word[1:] else b"") if word[:1] == b"\n" else self.chunk(b" " + word)
 

@@ -192,6 +192,25 @@ def test_packing_nothing(spark, none):
     assert packing.pack(none, tokens.public_path("word_bpe_49k.json")).count() == 0
 
 
+def test_packing_keeps_large_ids_beside_a_null(spark):
+    """A null id in a batch must not turn the others into doubles."""
+    rows = [(2**53 + 1, "one"), (None, "two"), (2**62 + 3, "three")]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), tokens.public_path("word_bpe_49k.json")).collect()
+    assert {r["doc_id"] for r in got} == {d for d, _ in rows}
+
+
+def test_packing_encodes_words_that_return_once(monkeypatch):
+    """Words of some MB of text are still known when others came between."""
+    seen, chunk = [], tokens.ChunkEncoder.chunk
+    monkeypatch.setattr(tokens.ChunkEncoder, "chunk", lambda self, raw: seen.append(raw) or chunk(self, raw))
+    monkeypatch.setattr(tokens, "BATCH", 1)
+    tokens.encoder.cache_clear()
+    sets = [" ".join(f"w{k}" for k in range(i * 60_000, (i + 1) * 60_000)) for i in range(2)]
+    list(packing.cut([*sets, *sets], [1, 2, 3, 4], tokens.public_path("word_bpe_49k.json"), 4096, 1))
+    tokens.encoder.cache_clear()
+    assert len(seen) == 120_000
+
+
 def test_best_fit_takes_the_tightest_bin():
     bins, offsets = packing.best_fit(np.array([6, 5, 4, 3, 2]), 10)
     assert bins.tolist() == [0, 1, 0, 1, 1] and offsets.tolist() == [0, 0, 6, 5, 8]
