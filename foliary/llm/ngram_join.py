@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .components import components
+from .components import both_ways, components_of
 from .shingles import text_shingles
 
 KEY_BITS = 40
@@ -348,12 +348,11 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels (id, group, label and what is known of the set) after new links (a, b) of labels. Only the labels that links
     join are worked on, so each link is used once and what is connected already stays contracted to one node.
 
-    Links are written first: what finds them is a plan by itself, and the driver's memory follows its largest plan."""
-    links = links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = common.written(links, "linked")
-    if links.isEmpty():
+    Links are written first: what finds them is a plan by itself, and the driver's memory follows its plans' size and number."""
+    both = both_ways(links.filter("a <> b"))
+    if both.isEmpty():
         return labels
-    found = components(links).select(F.col("id").alias("label"), F.col("label").alias("new"))
+    found = components_of(both).select(F.col("id").alias("label"), F.col("label").alias("new"))
     out = labels.join(found, "label", "left").select("id", "group", F.coalesce("new", "label").alias("label"), "n", "shared", "sig")
     return common.written(out, "labelled")
 
@@ -387,8 +386,11 @@ def ngram_join(docs: DataFrame, percent: int = 75, rounds: int = 2, bits: int |
     lists = posts.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token")
     posts = common.written(posts.join(lists, "token"), "postings")
 
-    # within groups: members meet the group's head
-    labels = merged(members, verified(members.filter("id <> group").select(*[F.col(c).alias(x) for c, x in (("group", "a"), ("id", "b"), ("group", "la"), ("id", "lb"))]), sets, percent))
+    # within groups: members meet the group's head, the smallest of them, so those that it links have its label at once
+    near = members.filter("id <> group").select(*[F.col(c).alias(x) for c, x in (("group", "a"), ("id", "b"), ("group", "la"), ("id", "lb"))])
+    near = verified(near, sets, percent).select(F.col("b").alias("id"), F.col("a").alias("head"))
+    labels = members.join(near, "id", "left").select("id", "group", F.coalesce("head", "label").alias("label"), "n", "shared", "sig")
+    labels = common.written(labels, "labelled")
     by_token = Window.partitionBy("token")
 
     def unfinished(posts: DataFrame, labels: DataFrame) -> DataFrame:

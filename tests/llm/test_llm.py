@@ -679,6 +679,27 @@ def test_plans_of_the_ngram_join_are_small(spark, monkeypatch):
     assert len(joins) > 8 and max(joins.values()) <= 6, joins
 
 
+def test_steps_of_the_ngram_join_are_few(spark, monkeypatch):
+    """The driver plans each write and each look at a table, so its memory follows their number: a round of components is one write
+    that tells whether it changed anything, and members of a group need no components."""
+    frame, taken = type(spark.range(0)), []
+    written, empty = common.written, frame.isEmpty
+    monkeypatch.setattr(common, "written", lambda df, name: taken.append(name) or written(df, name))
+    monkeypatch.setattr(frame, "isEmpty", lambda self: taken.append("isEmpty") or empty(self))
+    chain = [(i, i + 1) for i in range(1, 40)]
+    assert components.components(spark.createDataFrame(chain, "a long, b long")).filter("label = 1").count() == 40
+    assert taken.count("isEmpty") == 1 and taken.count("links") == 1
+    taken.clear()
+    rows = [(k, prose(k, 30)) for k in range(10)] + [(100 + k, prose(k, 30) + " tail") for k in range(10)] + [(200 + k, prose(k, 30)) for k in range(10)]
+    got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.filter("component_id = doc_id % 100").count() == 30
+    assert len(taken) <= 22, taken
+
+
+def test_components_of_nothing(spark):
+    assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
 def test_ngram_join_odd(spark, odd, none):
     assert ngram_join.ngram_join(none).count() == 0
     assert ngram_join.ngram_join(odd).count() == len(odd_rows())
