@@ -29,8 +29,6 @@ from pyspark.sql import functions as F
 
 from . import common, tokens
 
-#: Words that a worker's cache holds, and rows whose texts a task has in Python at once.
-CACHED, ROWS = 300_000, 2_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 BIN = "bin long, offset long, bin_length long"
 NAMES = [c.split()[0] for c in f"{PIECE}, {BIN}".split(", ")]
@@ -66,7 +64,7 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 
 def cut(texts: list[str | None], ids: list[int | None], path: str, capacity: int, end_id: int) -> Iterator[tuple]:
-    encode, end, width = tokens.encoder(path, CACHED).batches, np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
+    encode, end, width = tokens.encoder(path).batches, np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
     for at, blobs in encode(texts):
         for doc, blob in zip(ids[at:], blobs):
             blob += end
@@ -77,7 +75,7 @@ def cut(texts: list[str | None], ids: list[int | None], path: str, capacity: int
 
 def first_round(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS))
+        parts = (b.slice(at, tokens.ROWS) for b in batches for at in range(0, b.num_rows, tokens.ROWS))
         rows = [r for p in parts for r in cut(p.column("text").to_pylist(), p.column("doc_id").to_pylist(), path, capacity, end_id)]
         if rows:
             doc, piece, start, length, crc = zip(*rows)

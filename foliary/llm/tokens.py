@@ -21,6 +21,8 @@ import pyarrow.compute as pc
 
 #: Chars of text that are encoded together.
 BATCH = 1 << 21
+#: Words that a worker's cache holds, and rows whose texts a task has in Python at once.
+CACHED, ROWS = 300_000, 2_000
 
 #: White space that Unicode has besides ASCII, and the separators that libraries see differently.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]")
@@ -30,6 +32,8 @@ SAFE = re.compile("[\x20-\x7e\t\n\rÀ-ą]*")
 ODD_LEADS = [b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2", b"\xe1", b"\xe2", b"\xe3", b"\xef"]
 ODD_RUNS = [b"\t", b"\x0b", b"\x0c", b"\r", b"  ", b"\n\n", b" \n", b"\n "]
 SPACED = re.compile(rb" ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
+#: ASCII marks that byte-level models take as one piece behind a word; an apostrophe may begin a piece with letters.
+MARKS = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -43,7 +47,7 @@ def byte_chars() -> dict[int, str]:
 class ChunkEncoder:
     """many(texts) gives little-endian unsigned 32-bit ids of each text as bytes."""
 
-    def __init__(self, path: str, most_cached: int = 1_000_000):
+    def __init__(self, path: str, most_cached: int = CACHED):
         import regex
         from tokenizers import Tokenizer
 
@@ -73,9 +77,12 @@ class ChunkEncoder:
     def core(self, mapped: str) -> bytes:
         return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
+    def mapped(self, piece: str) -> str:
+        return piece.encode().decode("latin-1").translate(self.chars)
+
     def piece(self, piece: str) -> bytes:
         """Ids of one pre-token."""
-        mapped = piece if piece.isalnum() and piece.isascii() else "".join(map(self.chars.__getitem__, piece.encode()))
+        mapped = piece if piece.isalnum() and piece.isascii() else self.mapped(piece)
         return self.cores[mapped] if len(mapped) < 64 else self.core(mapped)
 
     def chunk(self, raw: bytes) -> bytes:
@@ -101,6 +108,14 @@ class ChunkEncoder:
         """Ids of what stands between two spaces, a line end before it included."""
         if not word:
             return self.chunk(word)
+        # a plain word is cached here alone, and one with marks behind takes its ids and those of the marks, a piece of their own
+        if word.isalpha():
+            return self.core(self.lead + word.decode())
+        bare = word.rstrip(MARKS)
+        if bare.isalpha() or bare and not bare.isascii() and bare.decode("utf-8", "replace").isalpha():
+            if len(bare) < len(word):
+                return self.words[bare] + self.piece(word[len(bare) :].decode())
+            return self.core(self.lead + self.mapped(word.decode("utf-8", "replace")))
         return self.line_end + (self.chunk(word[1:]) if word[1:] else b"") if word[:1] == b"\n" else self.chunk(b" " + word)
 
     def odd(self, text: str, raw: bytes) -> bytes | None:
@@ -185,7 +200,7 @@ class Cache(dict):
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, most_cached: int = 1_000_000) -> ChunkEncoder:
+def encoder(path: str, most_cached: int = CACHED) -> ChunkEncoder:
     """One encoder for each worker process and file; workers live on between jobs, and so do their caches."""
     return ChunkEncoder(path, most_cached)
 

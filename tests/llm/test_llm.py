@@ -69,6 +69,30 @@ def test_ids_are_the_librarys(name):
 
 
 # ------------------------------------------------------------------ 1
+def test_marks_behind_words_are_the_librarys():
+    """Plain words and words with marks behind, of all kinds, whatever is cached."""
+    path = tokens.public_path("byte_bpe_50k.json")
+    real, e = Tokenizer.from_file(path), tokens.ChunkEncoder(path, most_cached=50)
+    words = ["the", "erst", "Été", "日本語", "ß", "x1", "don't", "it's", "we'", "", "a" * 70, "É" * 40, "²", "ª", "e\u0301", "\ud800"]
+    marks = ["", ".", ",", "...", ".%%%", "'", "!'s", "'.", "-", "--", "\\", "\"]", "“", "§", "_x", "<|", "(", "$1"]
+    texts = [f"{m}{w}{n} {w}{n}" for w in words for m in ("", "(", ".") for n in marks] + [" ".join(w + n for w in words for n in marks)]
+    for text, got in zip(texts, e.many(texts)):
+        assert np.frombuffer(got, dtype="<u4").tolist() == real.encode(text.encode("utf-8", "replace").decode(), add_special_tokens=False).ids, text
+
+
+def test_workers_cache_a_bounded_number_of_words_once(monkeypatch):
+    """Executors have several workers, and each has a cache: a plain word is in it once, and fewer words fit."""
+    sizes, turn = [], tokens.Cache.turn
+    monkeypatch.setattr(tokens.Cache, "turn", lambda self: turn(self) or sizes.append(len(self) + len(self.older)))
+    monkeypatch.setattr(tokens, "BATCH", 1)
+    tokens.encoder.cache_clear()
+    e = tokens.encoder(tokens.public_path("byte_bpe_50k.json"))
+    for at in range(0, 700_000, 100_000):
+        e.many([" ".join(f"{a}{b}{c}" for k in range(at, at + 100_000) for a, b, c in [(chr(97 + k % 26), chr(97 + k // 26 % 26), "".join(chr(97 + int(x)) for x in str(k)))])])
+    tokens.encoder.cache_clear()
+    assert max(sizes[::2]) <= 400_000 and max(sizes[1::2]) <= 1_000, sizes
+
+
 def test_token_counts(spark, odd, none, tmp_path):
     book = token_counts.Rollup(spark, f"file://{tmp_path}/book")
     counts = token_counts.counted(odd, {"words": common.words_of}, carry=("doc_id",))
