@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,11 +29,12 @@ DELTA = "source string, lang string, tokenizer string, docs long, tokens long"
 
 
 def bpe_counter(path: str):
-    @F.pandas_udf("long")
-    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("long")
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = tokens.encoder(path).batches
-        for texts in batches:
-            yield pd.Series([len(x) // 4 for _, blobs in encode(list(texts)) for x in blobs], dtype="int64")
+        for b in batches:
+            parts = (b.slice(at, tokens.ROWS).to_pylist() for at in range(0, len(b), tokens.ROWS))
+            yield pa.array([len(x) // 4 for texts in parts for _, blobs in encode(texts) for x in blobs], type=pa.int64())
 
     return count
 
