@@ -21,12 +21,14 @@ from pyspark.sql import functions as F
 
 from . import common, tokens
 
+#: Words that a worker's cache holds.
+CACHED = 800_000
 SCHEMA = "doc_id long, n_tokens long, ids array<int>"
 
 
 def encode_batches(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = tokens.encoder(path).batches, np.array([end_id], dtype="<u4").tobytes()
+        encode, end = tokens.encoder(path, CACHED).batches, np.array([end_id], dtype="<u4").tobytes()
         for b in (b.slice(at, tokens.ROWS) for b in batches for at in range(0, b.num_rows, tokens.ROWS)):
             ids = b.column("doc_id")
             for at, blobs in encode(b.column("text").to_pylist()):  # bounded output
