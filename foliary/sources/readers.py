@@ -43,8 +43,22 @@ def read_journals(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     splits = splits.select("_path", "_start", (F.col("_files") + F.col("_splits") - F.col("_first")).alias("_shift"))
     rows = rows.join(splits, ["_path", "_start"]).select("file", (F.col("_line") + F.col("_shift")).alias("_seq"), "value")
     rows = rows.filter(F.trim("value") != "")
-    parsed = F.from_json("value", JOURNAL, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    return rows.select("file", "_seq", parsed.alias("r")).select("file", "_seq", "r.*")
+    return parsed_lines(rows, "value")
+
+
+def parsed_lines(rows: DataFrame, line: str) -> DataFrame:
+    """Rows with the journal's columns instead of their line. What isn't one JSON object and nothing else (an empty line, two objects, an object with
+    a tail) keeps only `_corrupt`: from_json gives null for the first and reads no further than the first object of the others."""
+    rest = [c for c in rows.columns if c != line]
+    value, mark = F.coalesce(F.col(line), F.lit("")), F.xxhash64(line).cast("string")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "maxStringLen": str(2**31 - 1)}
+    # only where an object could end before the line does: followed by one more object, in a list, it must be the first of two
+    early = F.instr(value, "}") < F.length(F.rtrim(value, F.lit(" \t\r\n")))
+    two = F.from_json(F.concat(F.lit("["), value, F.lit(',{"id":"'), mark, F.lit('"}]')), "array<struct<id: string>>", {"maxStringLen": str(2**31 - 1)})
+    one = F.when(early, F.coalesce((F.size(two) == 2) & (F.get(two, F.lit(1))["id"] == mark), F.lit(False))).otherwise(True)
+    read = rows.select(*rest, value.alias("_value"), F.when(one, F.from_json(value, JOURNAL, options)).alias("r"))
+    names = [c.split()[0] for c in JOURNAL.split(", ")][:-1]
+    return read.select(*rest, *[f"r.{c}" for c in names], F.when(F.col("r").isNull(), F.col("_value")).otherwise(F.col("r._corrupt")).alias("_corrupt"))
 
 
 def journal_records(journals: DataFrame) -> DataFrame:

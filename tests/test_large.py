@@ -110,3 +110,22 @@ def test_ratio_of_equal_pairs(spark):
     rows = [(x, y) for x in ("abcd", "bcda", "", None, "x" * 250 + "y") for y in ("abcd", "dcba", "", None, "xy" * 120)] * 2
     got = spark.createDataFrame(rows, "a string, b string").select("a", "b", ratio("a", "b").alias("r")).collect()
     assert all(r["r"] == SequenceMatcher(None, r["a"] or "", r["b"] or "").ratio() for r in got) and len(got) == 50
+
+
+def test_lines_that_are_no_record_count(spark, tmp_path):
+    """Texts that are null, empty or blank, or begin with an object, and a row without an id."""
+    odd = {1: None, 2: "", 4: " \t", 5: "{} tail", 7: '{"id": "a"}{"id": "b"}', 8: '{"id": "a"} ] x }', 10: '{"id": "a"},{"id": "b"}'}
+    cases = F.create_map(*[x for k, v in odd.items() for x in (F.lit(k).cast("long"), F.lit(v).cast("string"))])
+    changed = lambda d: d.withColumn("text", F.when(F.col("doc_id").isin(*odd), cases[F.col("doc_id")]).otherwise(F.col("text"))).withColumn("doc_id", F.when(F.col("doc_id") != 11, F.col("doc_id")))
+    sf = copied(spark, tmp_path, ["documents"], documents=changed)
+    assert by_spark(spark, sf, "corrupt_line_report") == by_sql(sf, ["documents"], "corrupt_line_report")
+
+
+def test_lines_that_are_one_record(spark):
+    """Braces and ends of lists inside a record, white space behind it, and a field of another type."""
+    from foliary.sources import readers
+
+    good = ['{"id": "a", "extracted_text": "} ] {"}', ' {"id": "b"} \r', '{"id": "c", "origen": {"x": [{}]}}', '{"id": "d", "extracted_text": "' + "x" * 21_000_000 + '}"}']
+    rows = spark.createDataFrame([(x,) for x in [*good, '{"id": "e", "reader_version": "y"}', '{"id": "f", "e', "}{", "null", "[]"]], "line string")
+    got = [(r["id"], r["_corrupt"] is None) for r in readers.parsed_lines(rows, "line").select("id", "_corrupt").collect()]
+    assert got[:5] == [("a", True), ("b", True), ("c", True), ("d", True), ("e", False)] and not any(ok for _, ok in got[5:])
