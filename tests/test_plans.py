@@ -37,3 +37,12 @@ def test_steps_of_a_mix_end_in_tables(spark):
     out = mixing.mix(docs)
     assert "Window" not in out._jdf.queryExecution().sparkPlan().toString()
     assert out.count() == 60 and out.agg(F.max("taken")).first()[0] > 0
+
+
+@pytest.mark.parametrize("name", ["cascade_invalidate", "reopened_cases"])
+def test_copies_move_by_what_they_were_made_from_and_records_do_not(spark, name):
+    """Records carry numbers for their cases and contents, and only copies are dealt a second time."""
+    plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5(concat(cast(l_partkey" not in plan and "coalesce(copied_from" not in plan
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line and "copied_from#" in line]
+    assert joins and plan.count("Doe,Roe") == (name == "reopened_cases")
