@@ -149,3 +149,26 @@ def test_rebalance(spark):
     load = spark.createDataFrame([("a", i, 1.0) for i in range(6)] + [("b", 10, 1.0)], "team string, half_shard int, hours double")
     moves = staging.rebalance(load).collect()
     assert len(moves) == 2 and {(m["from_team"], m["to_team"]) for m in moves} == {("a", "b")}
+
+
+def test_case_files_on_a_mounted_folder(spark, tmp_path):
+    """Tasks place and read a case's file by plain calls: names as Spark would escape them, old files gone, none half written, and Spark reads the same."""
+    from foliary.sources import sinks
+
+    names = ["a", 'q/:%="x', "ü ñ", None]
+    rows = [(n, 1, f"{n} {i}\r ") for n in names for i in range(300)]
+    (tmp_path / "out" / "file=old").mkdir(parents=True)
+    (tmp_path / "out" / "file=old" / "part-0.txt").write_text("old")
+    records = spark.createDataFrame([(f"D, J - {600000 + i} - 210{i}-2019", f"i{i}", "n", "", "é") for i in range(9)], "caso string, id string, file_name string, subfolder string, text string")
+    summary = records.select(records.caso.alias("matter"))
+    sinks.write_case_jsonl(records, summary, f"file://{tmp_path}/out", generated="now")
+    assert not list((tmp_path / "out").glob("*/_*")) and not (tmp_path / "out" / "file=old").exists() and (tmp_path / "out" / "_SUCCESS").exists()
+    assert len(list((tmp_path / "out").glob("file=*/*.txt"))) == 9 and not list((tmp_path / "out").rglob("*.crc"))
+    spark.createDataFrame(rows, "file string, kind int, value string").select("file", "value").coalesce(1).write.partitionBy("file").text(f"{tmp_path}/spark")
+    (tmp_path / "own").mkdir()
+    got = spark.createDataFrame(rows, "file string, kind int, value string").select("file", "value").coalesce(1).mapInArrow(sinks.place_files(str(tmp_path / "own")), "files long")
+    assert got.first()["files"] == 4
+    whole = lambda p: {r["file"]: r["value"] for r in spark.read.schema("value string, file string").text(f"{tmp_path}/{p}", wholetext=True).collect()}
+    assert whole("own") == whole("spark") and {p.name for p in (tmp_path / "own").iterdir()} == {p.name for p in (tmp_path / "spark").iterdir() if p.is_dir()}
+    read = spark.createDataFrame([(n,) for n in [*names, "none"]], "file string").mapInArrow(sinks.read_files(str(tmp_path / "own"), 1000), "value string, file string")
+    assert {r["file"]: r["value"] for r in read.collect()} == whole("own")
