@@ -235,3 +235,35 @@ def test_every_two_windows_of_a_list_may_meet(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {(x["doc_id"], x["match_id"]) for x in passages.passages(docs, pivots=None).select("doc_id", "match_id").collect()}
     assert len(want) > 36 and want <= got
+
+
+def test_long_lists_are_dealt_and_every_two_windows_meet_once(spark):
+    from foliary.llm import passages
+
+    r = random.Random(5)
+    rows = [(r.choice([1, 1, 1, 2, 3, 4 + i]), r.randrange(40), i, i) for i in range(300)] + [(9, 7, 1, 1), (9, 7, 2, 2)]
+    windows = spark.createDataFrame(rows, "sig long, doc long, at int, until int")
+    want = sorted((s, d, a, u, e, b) for s, d, a, u in rows for t, e, b, _ in rows if s == t and d > e)
+    for most in (7, 10_000):
+        met = passages.all_pairs(windows, most)
+        assert sorted(tuple(x) for x in met.select("sig", "doc", "at", "until", "pivot", "pat").collect()) == want
+
+
+def test_the_query_of_passages_leaves_no_pair_to_drawn_pivots(spark, monkeypatch):
+    """Near passages around a line that all texts have, in families: drawn pivots leave pairs of a family unmet."""
+    from foliary.llm import passages
+    from foliary.llm.shingles import text_shingles
+
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    line, tails, texts = [word() for _ in range(32)], [[word() for _ in range(24)] for _ in range(6)], []
+    for i in range(36):
+        tail = list(tails[i % 6])
+        tail[r.randrange(24)] = word()
+        texts.append(" ".join([word() for _ in range(30)] + line + tail + [word() for _ in range(30)]))
+    sets = [(s & np.uint64(0xFFFFFFFF)).astype("<u4") for s in text_shingles(texts)]
+    want = {(i, j) for i in range(36) for j in range(i) if passages.matches(sets[i], sets[j], 46, 75)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(common, "documents", lambda spark, sf: docs)
+    pairs = lambda df: {(x["doc_id"], x["match_id"]) for x in df.select("doc_id", "match_id").collect()}
+    assert want <= pairs(passages.op5_passages(spark, "")) and want - pairs(passages.passages(docs))
